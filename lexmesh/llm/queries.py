@@ -26,3 +26,25 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+
+    return scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urls import judge
+
+    return judge(table(spark, sf_dir, "pages"))
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import COUNTS, judge
+
+    judged, _ = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept")
