@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +49,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     judged, _ = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", *COUNTS, "base_failed", "kept")
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import learn, score
+
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select("doc_id", "held_out", "score", "predicted", F.size("passages").alias("n_passages"))
+
+
+@query
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embeddings import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))

@@ -39,7 +39,7 @@ def longest_rule(rules: list[tuple[str, str, str]] = RULES) -> tuple[Column, Col
 
 
 def host_edges(pages: DataFrame, html_col: str) -> DataFrame:
-    """(src, dst, weight): links between hosts, and a link each way between a host and its parent domain.
+    """(src, dst, weight): links between hosts, and a link each way between a name and its parent domain.
 
     pages has host; relative links stay on their host and make no edge. Counts
     are summed per pair before anything is joined.
@@ -47,9 +47,10 @@ def host_edges(pages: DataFrame, html_col: str) -> DataFrame:
     hrefs = F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")), F.lit(r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""), F.lit(1))
     links = pages.where("host <> ''").select(F.col("host").alias("src"), F.explode(hrefs).alias("dst")).withColumn("dst", F.translate("dst", UPPER, UPPER.lower()))
     links = links.where("src <> dst and dst <> ''").groupBy("src", "dst").agg(F.count("*").cast("double").alias("weight"))
-    hosts = pages.where("host <> ''").select("host").distinct()
-    domains = hosts.withColumn("parent", F.regexp_extract("host", r"^[^.]+\.(.+\..+)$", 1)).where("parent <> ''")
-    family = domains.select(F.explode(F.array(F.struct(F.col("host").alias("src"), F.col("parent").alias("dst")), F.struct(F.col("parent").alias("src"), F.col("host").alias("dst")))).alias("e")).select("e.src", "e.dst", F.lit(1.0).alias("weight"))
+    labels = F.split("host", r"\.")
+    names = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    chain = pages.where("host like '%.%.%'").select("host").distinct().select(F.arrays_zip(names.alias("a"), F.slice(names, F.lit(2), F.size(names)).alias("b")).alias("e")).select(F.explode("e").alias("e")).where("e.b is not null").select("e.a", "e.b").distinct()
+    family = chain.select("a", "b").union(chain.select("b", "a")).toDF("src", "dst").withColumn("weight", F.lit(1.0))
     return links.unionByName(family).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
