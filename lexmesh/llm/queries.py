@@ -65,3 +65,10 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .embeddings import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffixes import repeated_spans
+
+    return repeated_spans(table(spark, sf_dir, "documents"))
