@@ -35,9 +35,13 @@ END_ID = 1
 SHARD_IDS = 12_000_000
 #: Width of a length bucket.
 STEP = 32
-#: Words whose ids a worker keeps.
-CACHE_WORDS = 400_000
+#: Words and pieces of words whose ids a worker keeps.
+CACHE_WORDS = 1_000_000
 SEPARATOR = "~"
+#: Fixed value: the tokenizer's own pre-tokenisation, for lower-cased words.
+PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Words of these characters are in normal form, and lower-case alike everywhere.
+PLAIN = r"[\x21-\x7D\u00C0-\u00FF]+"
 
 
 class WordEncoder:
@@ -51,24 +55,25 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        import regex
+
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         (self.mark,) = self.tok.encode(SEPARATOR, add_special_tokens=False).ids
+        self.piece, self.plain = regex.compile(PIECE), regex.compile(PLAIN)
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.flat = np.zeros(0, np.uint32)
-        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def learn(self, words: list[str]) -> None:
-        """Add words that are not in the cache."""
-        plain = [w for w in words if SEPARATOR not in w]
-        odd = [w for w in words if SEPARATOR in w]
-        parts: list[np.ndarray] = []
-        sizes: list[np.ndarray] = []
-        for k in range(0, len(plain), 20_000):
-            some = plain[k : k + 20_000]
+        self.pieces: dict[str, int] = {}
+        self.flat, self.piece_flat = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        self.start, self.size, self.piece_size = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each word); the words hold no separator."""
+        parts, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(words), 20_000):
+            some = words[k : k + 20_000]
             ids = np.array(self.tok.encode(f" {SEPARATOR} ".join([*some, ""]), add_special_tokens=False).ids, np.uint32)
             ends = np.flatnonzero(ids == self.mark)
             if len(ends) == len(some):
@@ -78,13 +83,35 @@ class WordEncoder:
                 each = [x.ids for x in self.tok.encode_batch(some, add_special_tokens=False)]
                 parts.append(np.array([i for x in each for i in x], np.uint32))
                 sizes.append(np.array([len(x) for x in each], np.int64))
+        return np.concatenate(parts), np.concatenate(sizes)
+
+    def learn(self, words: list[str]) -> None:
+        """Add words that are not in the cache: plain ones by their pre-tokens, others whole."""
+        simple = [w for w in words if self.plain.fullmatch(w)]
+        split = [self.piece.findall(w.lower()) for w in simple]
+        new = list({p: None for x in split for p in x if p not in self.pieces})
+        n = len(self.pieces)
+        self.pieces.update((p, n + i) for i, p in enumerate(new))
+        ids, sizes = self._ids(new)
+        self.piece_flat, self.piece_size = np.concatenate([self.piece_flat, ids]), np.concatenate([self.piece_size, sizes])
+        at = np.fromiter((self.pieces[p] for x in split for p in x), np.int64)
+        flat = [ragged(self.piece_flat, (np.cumsum(self.piece_size) - self.piece_size)[at], self.piece_size[at])]
+        ends = np.concatenate([[0], np.cumsum(self.piece_size[at])])
+        counts = np.fromiter((len(x) for x in split), np.int64, len(split))
+        lengths = [np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])]
+        rest = [w for w in words if not self.plain.fullmatch(w)]
+        whole = [w for w in rest if SEPARATOR not in w]
+        odd = [w for w in rest if SEPARATOR in w]
+        ids, sizes = self._ids(whole)
+        flat.append(ids)
+        lengths.append(sizes)
         for x in self.tok.encode_batch(odd, add_special_tokens=False) if odd else ():
-            parts.append(np.array(x.ids, np.uint32))
-            sizes.append(np.array([len(x.ids)], np.int64))
+            flat.append(np.array(x.ids, np.uint32))
+            lengths.append(np.array([len(x.ids)], np.int64))
         n = len(self.index)
-        self.index.update((w, n + i) for i, w in enumerate([*plain, *odd]))
-        self.size = np.concatenate([self.size, *sizes])
-        self.flat = np.concatenate([self.flat, *parts])
+        self.index.update((w, n + i) for i, w in enumerate([*simple, *whole, *odd]))
+        self.size = np.concatenate([self.size, *lengths])
+        self.flat = np.concatenate([self.flat, *flat])
         self.start = np.cumsum(self.size) - self.size
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +121,7 @@ class WordEncoder:
             texts = pc.replace_substring(texts, c, " ")
         words = pc.split_pattern(texts, " ")
         coded = words.flatten().dictionary_encode()
-        if len(self.index) > CACHE_WORDS:
+        if len(self.index) + len(self.pieces) > CACHE_WORDS:
             self.clear()
         distinct = coded.dictionary.to_pylist()
         if new := [w for w in distinct if w not in self.index]:
