@@ -72,3 +72,10 @@ def op2_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .suffixes import repeated_spans
 
     return repeated_spans(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngrams import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"))
