@@ -13,10 +13,13 @@ Three things keep the passes far below the size of the text:
   segment. Its whole content is one digit: a bucket of two equal segments
   settles all their windows at once.
 * Last digit: only windows of segments whose anchor repeats but whose content
-  doesn't (at the edges of repeated passages) are bucketed one by one.
+  doesn't (at the edges of repeated passages) are bucketed one by one. Such
+  segments are sent as they are, to the task that has their anchor's bucket; if
+  a bucket holds more than HOT contents, its windows are sent one by one, by
+  their own hashes, so that no bucket of any size meets in one task.
 
-Every pass sends packed records by hash, and each task first merges what it
-holds itself, so a string in a third of all documents comes once from each task.
+The passes send packed records by hash, and each task first merges equal ones
+that it holds, so a string in a third of all documents comes once from each task.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, column_bytes, materialize, mix64, prefix_hash, shuffle_partitions, slices, span_hash, spread, tune
+from .common import binary_array, column_bytes, materialize, mix64, prefix_hash, ragged, shuffle_partitions, slices, span_hash, spread, tune
 
 WIDTH = 200
 ANCHOR = 64
@@ -38,10 +41,15 @@ ANCHOR = 64
 MESSAGE = 1 << 18
 
 SEGMENT = np.dtype([("h", "<u8"), ("sig", "<u8"), ("did", "<i8"), ("th", "<i4"), ("start", "<u4"), ("n", "<u2"), ("state", "u1")])
-PLACE = np.dtype([("start", "<u4"), ("n", "<u2"), ("state", "u1")])
-WINDOW = np.dtype([("w", "<u8"), ("did", "<i8"), ("th", "<i4"), ("start", "<u4"), ("state", "u1")])
+PLACE = np.dtype([("h", "<u8"), ("start", "<u4"), ("n", "<u2"), ("state", "u1")])
+CONTENT = np.dtype([("h", "<u8"), ("did", "<i8"), ("th", "<i4"), ("start", "<u4"), ("n", "<u2"), ("state", "u1")])
+WINDOW = np.dtype([("w", "<u8"), ("did", "<i8"), ("th", "<i4"), ("start", "<u4"), ("n", "<u2"), ("state", "u1")])
+RUN = np.dtype([("start", "<u4"), ("n", "<u2")])
+OF_DOCUMENT = [("did", "<i8"), ("th", "<i4"), ("state", "u1")]
 ONE, SETTLED, MANY = 0, 1, 2  # states sent: one occurrence; nothing to ask; occurs again in the sending task
-DONE, OPEN, GIVES = 0, 1, 2  # states of places: repeated; to be settled by window; repeated, and gives its windows to others
+# states of places: repeated; to be settled by window; repeated, and gives its windows to others; the last two in a hot bucket
+DONE, OPEN, GIVES, HOT_OPEN, HOT_GIVES = 0, 1, 2, 3, 4
+HOT = 4096
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH, k: int = ANCHOR) -> np.ndarray:
@@ -107,7 +115,7 @@ def _combine(records: np.ndarray, keys: tuple[str, ...]) -> np.ndarray:
 
 def _messages(records: np.ndarray, key: str, parts: int) -> Iterator[pa.RecordBatch]:
     """(pid, blob) rows; settled records go by document, so that they don't meet at their key."""
-    by = np.where(records["state"] == SETTLED, records["did"].astype(np.uint64), records[key])
+    by = np.where(records["state"] == SETTLED, records["did"].astype(np.uint64), records[key].astype(np.uint64))
     pid = (mix64(by) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(pid, kind="stable")
     records, pid = records[order], pid[order]
@@ -123,7 +131,92 @@ def _received(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> np.ndarray:
     return np.concatenate(got) if got else np.zeros(0, kind)
 
 
-def _by_document(did: np.ndarray, th: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(start), RUN)
+    out["start"], out["n"] = start, n
+    return out
+
+
+def _contents(heads: np.ndarray, body: np.ndarray, width: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """(pid, blob, text) rows: segments with their bytes, to the task of their anchor."""
+    size = heads["n"].astype(np.int64) + width - 1
+    start = np.cumsum(size) - size
+    pid = (mix64(heads["h"]) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(pid, kind="stable")
+    cuts = np.flatnonzero(np.diff(pid[order])) + 1
+    for some in np.split(order, cuts):
+        for i in range(0, len(some), 8192):
+            x = some[i : i + 8192]
+            yield pa.RecordBatch.from_arrays([pa.array([pid[x[0]]], pa.int32()), pa.array([heads[x].tobytes()], pa.binary()), pa.array([ragged(body, start[x], size[x]).tobytes()], pa.binary())], ["pid", "blob", "text"])
+
+
+def _same_windows(heads: np.ndarray, body: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(did, th, runs) of the windows of open segments that another segment of their anchor has as well."""
+    size = heads["n"].astype(np.int64) + width - 1
+    first = np.cumsum(size) - size
+    n = heads["n"].astype(np.int64)
+    order = np.argsort(heads["h"], kind="stable")
+    did, th, runs = [], [], []
+    cuts = np.flatnonzero(np.diff(heads["h"][order])) + 1
+    held: list[np.ndarray] = []
+    weight = 0
+    groups = np.split(order, cuts)
+    for k, some in enumerate(groups):  # whole buckets, some megabytes at a time
+        held.append(some)
+        weight += int(size[some].sum())
+        if weight > 4 << 20 or k == len(groups) - 1:
+            x = np.concatenate(held)
+            held, weight = [], 0
+            text = ragged(body, first[x], size[x])
+            at = np.repeat(np.cumsum(size[x]) - size[x], n[x]) + spread(n[x])
+            pre, down = prefix_hash(text)
+            w = span_hash(pre, down, at, at + width)
+            owner = np.repeat(x, n[x])
+            place = heads["start"][owner] + spread(n[x]).astype(np.uint32)
+            o, g = _groups(heads["h"][owner], w)
+            hit = np.zeros(len(w), bool)
+            hit[o] = (np.bincount(g) > 1)[g]
+            hit &= heads["state"][owner] == OPEN
+            new = np.ones(len(w), bool)
+            new[1:] = (owner[1:] != owner[:-1]) | ~hit[:-1]
+            begin = np.flatnonzero(hit & new)
+            end = np.flatnonzero(hit & np.concatenate([(owner[1:] != owner[:-1]) | ~hit[1:], [True]]))
+            did.append(heads["did"][owner[begin]])
+            th.append(heads["th"][owner[begin]])
+            runs.append(_runs(place[begin], end - begin + 1))
+    return np.concatenate(did), np.concatenate(th), np.concatenate(runs)
+
+
+def _windows(r: np.ndarray) -> np.ndarray:
+    """Windows of hot buckets: one of each hash asks for all that a task holds; the rest is settled, in runs."""
+    gives = r["state"] >= 8
+    order = np.lexsort((gives, r["w"]))  # those that need an answer first
+    r, gives = r[order], gives[order]
+    new = np.concatenate([[True], r["w"][1:] != r["w"][:-1]])
+    several = (np.bincount(np.cumsum(new) - 1) > 1)[np.cumsum(new) - 1]
+    r["state"] = np.where(several & new, np.where(gives, MANY + 8, MANY), np.where(several, SETTLED, np.where(gives, ONE + 8, ONE)))
+    r = r[~(several & ~new & gives)]
+    done = np.sort(r[r["state"] == SETTLED], order=["did", "th", "start"])
+    if len(done):
+        first = np.flatnonzero(np.concatenate([[True], (done["did"][1:] != done["did"][:-1]) | (done["th"][1:] != done["th"][:-1]) | (done["start"][1:] != done["start"][:-1] + 1)]))
+        count = np.diff(np.concatenate([first, [len(done)]]))
+        done = done[first]
+        done["n"] = count
+    return np.concatenate([r[r["state"] != SETTLED], done])
+
+
+def _to_document(did: np.ndarray, th: np.ndarray, places: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
+    """(pid, blob) rows that take places to the task of their document."""
+    out = np.zeros(len(did), OF_DOCUMENT + [("place", places.dtype)])
+    out["did"], out["th"], out["place"] = did, th, places
+    if len(out):
+        yield from _messages(out, "did", parts)
+
+
+def _by_document(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[pa.RecordBatch]:
+    """One row (did, th, places) per document from such messages."""
+    r = _received(batches, np.dtype(OF_DOCUMENT + [("place", kind)]))
+    did, th, places = (np.ascontiguousarray(r[k]) for k in ("did", "th", "place"))
     if not len(did):
         return
     order, group = _groups(did, th)
@@ -133,7 +226,7 @@ def _by_document(did: np.ndarray, th: np.ndarray, places: np.ndarray) -> Iterato
         a, b = rows[i], rows[min(i + 20_000, len(first))]
         r = rows[i : min(i + 20_000, len(first)) + 1] - a
         f = order[first[i : i + 20_000]]
-        yield pa.RecordBatch.from_arrays([pa.array(did[f]), pa.array(th[f]), binary_array(r, places[order[a:b]])], ["did", "th", "places"])
+        yield pa.RecordBatch.from_arrays([pa.array(did[f]), pa.array(th[f]), binary_array(r, places[order[a:b]])], ["_did", "_th", "_places"])
 
 
 def _covered(n: int, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,7 +291,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         got["start"] += np.uint32(i - offsets[a])
                     got["did"], got["th"] = did[row], th[row]
                     held.append(got)
-            if sum(map(len, held)) > 3_000_000:
+            if sum(map(len, held)) > 1_000_000:
                 yield from _messages(_combine(np.concatenate(held), ("h", "sig")), "h", parts)
                 held = []
         if held:
@@ -207,7 +300,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = _received(batches, SEGMENT)
         place = np.zeros(len(r), PLACE)
-        place["start"], place["n"] = r["start"], r["n"]
+        place["h"], place["start"], place["n"] = r["h"], r["start"], r["n"]
         ask = np.flatnonzero(r["state"] != SETTLED)
         use = r["state"] == SETTLED
         if len(ask):
@@ -218,15 +311,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             first = np.concatenate([[True], group[1:] != group[:-1]])
             heads = np.flatnonzero(first)
             anchor = np.concatenate([[0], np.cumsum(s["h"][heads][1:] != s["h"][heads][:-1])])
-            shared = np.bincount(anchor)[anchor] > 1  # the anchor has other contents as well
+            kinds = np.bincount(anchor)[anchor]
+            shared = kinds > 1  # the anchor has other contents as well
             state = np.where(repeated[group], np.where(shared[group] & first, GIVES, DONE), OPEN)
+            state = np.where((kinds > HOT)[group] & (state != DONE), state + (HOT_OPEN - OPEN), state)
             use[ask] = repeated[group] | shared[group]
             place["state"][ask] = state
-        yield from _by_document(r["did"][use], r["th"][use], place[use])
+        yield from _to_document(r["did"][use], r["th"][use], place[use], parts)
 
     sent = base.select("_did", "_th", "_text").mapInArrow(first_pass, "pid int, blob binary")
-    segments = sent.repartition(parts, "pid").mapInArrow(settle, "did long, th int, places binary")
-    lists = segments.groupBy(F.col("did").alias("_did"), F.col("th").alias("_th")).agg(F.collect_list("places").alias("_places"))
+    settled = sent.repartition(parts, "pid").mapInArrow(settle, "pid int, blob binary")
+    lists = settled.repartition(parts, "pid").mapInArrow(lambda batches: _by_document(batches, PLACE), "_did long, _th int, _places binary")
     joined = base.join(lists, ["_did", "_th"], "left")
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in cols)
     done_kind = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
@@ -234,7 +329,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def places_of(column: pa.Array, i: int, kind: np.dtype) -> np.ndarray:
         x = column[i].as_py()
-        return np.frombuffer(b"".join(x), kind) if x else np.zeros(0, kind)
+        return np.frombuffer(x, kind) if x else np.zeros(0, kind)
 
     def finished(rows: list[tuple]) -> list[pa.Array]:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
@@ -261,52 +356,67 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     open_docs = state.where("_places is not null")
 
     def window_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        heads, bodies, windows = [], [], []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if heads:
+                yield from _contents(np.concatenate(heads), np.concatenate(bodies), width, parts)
+            if windows:
+                for m in _messages(_windows(np.concatenate(windows)), "w", parts):
+                    yield pa.RecordBatch.from_arrays([*m.columns, pa.array([None], pa.binary())], ["pid", "blob", "text"])
+            heads.clear(), bodies.clear(), windows.clear()
+
         for batch in batches:
             offsets, data = column_bytes(batch.column(2))
             did, th = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for i in range(len(batch)):
                 p = np.frombuffer(batch.column(3)[i].as_py(), PLACE)
                 p = np.unique(p[p["state"] != DONE])
-                at = np.repeat(p["start"].astype(np.int64), p["n"]) + spread(p["n"].astype(np.int64))
-                pre, down = prefix_hash(data[offsets[i] : offsets[i + 1]])
-                got = np.zeros(len(at), WINDOW)
-                got["w"], got["did"], got["th"], got["start"] = span_hash(pre, down, at, at + width), did[i], th[i], at
-                # a giver's windows need no answer
-                got["state"] = np.repeat(np.where(p["state"] == GIVES, 8, 0), p["n"])
-                held.append(got)
-            if sum(map(len, held)) > 3_000_000:
-                yield from send(held)
-                held = []
-        if held:
-            yield from send(held)
-
-    def send(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        r = np.concatenate(held)
-        gives = r["state"] >= 8
-        order = np.lexsort((gives, r["w"]))  # those that need an answer first
-        r, gives = r[order], gives[order]
-        new = np.concatenate([[True], r["w"][1:] != r["w"][:-1]]) if len(r) else np.zeros(0, bool)
-        group = np.cumsum(new) - 1
-        several = (np.bincount(group) > 1)[group] if len(r) else new
-        r["state"] = np.where(several & new, np.where(gives, MANY + 8, MANY), np.where(several, SETTLED, np.where(gives, ONE + 8, ONE)))
-        r = r[~(several & ~new & gives)]
-        yield from _messages(r, "w", parts)
+                text = data[offsets[i] : offsets[i + 1]]
+                hot = p["state"] >= HOT_OPEN
+                if not hot.all():
+                    q = p[~hot]
+                    head = np.zeros(len(q), CONTENT)
+                    head["h"], head["did"], head["th"], head["start"], head["n"], head["state"] = q["h"], did[i], th[i], q["start"], q["n"], q["state"]
+                    heads.append(head)
+                    bodies.append(ragged(text, q["start"].astype(np.int64), q["n"].astype(np.int64) + width - 1))
+                if hot.any():
+                    q = p[hot]
+                    at = np.repeat(q["start"].astype(np.int64), q["n"]) + spread(q["n"].astype(np.int64))
+                    pre, down = prefix_hash(text)
+                    got = np.zeros(len(at), WINDOW)
+                    got["w"], got["did"], got["th"], got["start"], got["n"] = span_hash(pre, down, at, at + width), did[i], th[i], at, 1
+                    got["state"] = np.repeat(np.where(q["state"] == HOT_GIVES, 8, 0), q["n"])  # a giver's windows need no answer
+                    windows.append(got)
+            if sum(map(len, bodies)) + sum(map(len, windows)) * 25 > 32 << 20:
+                yield from flush()
+        yield from flush()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = _received(batches, WINDOW)
-        use = r["state"] == SETTLED
-        ask = np.flatnonzero(~use)
-        if len(ask):
-            order, group = _groups(r["w"][ask])
-            ask = ask[order]
-            repeated = (np.bincount(group) > 1) | (np.bincount(group, (r["state"][ask] & 7) == MANY) > 0)
-            use[ask] = repeated[group] & (r["state"][ask] < 8)
-        yield from _by_document(r["did"][use], r["th"][use], np.ascontiguousarray(r["start"][use]))
-
-    asked = open_docs.select("_did", "_th", "_text", "_places").mapInArrow(window_pass, "pid int, blob binary")
-    answers = asked.repartition(parts, "pid").mapInArrow(answer, "did long, th int, places binary")
-    starts = answers.groupBy(F.col("did").alias("_did"), F.col("th").alias("_th")).agg(F.collect_list("places").alias("_starts"))
+        heads, bodies, windows = [], [], []
+        for batch in batches:
+            for blob, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if text is None:
+                    windows.append(np.frombuffer(blob, WINDOW))
+                else:
+                    heads.append(np.frombuffer(blob, CONTENT))
+                    bodies.append(np.frombuffer(text, np.uint8))
+        if heads:
+            yield from _to_document(*_same_windows(np.concatenate(heads), np.concatenate(bodies), width), parts)
+        if windows:
+            r = np.concatenate(windows)
+            use = r["state"] == SETTLED
+            ask = np.flatnonzero(~use)
+            if len(ask):
+                order, group = _groups(r["w"][ask])
+                ask = ask[order]
+                repeated = (np.bincount(group) > 1) | (np.bincount(group, (r["state"][ask] & 7) == MANY) > 0)
+                use[ask] = repeated[group] & (r["state"][ask] < 8)
+            yield from _to_document(r["did"][use], r["th"][use], _runs(r["start"][use], r["n"][use]), parts)
+
+    asked = open_docs.select("_did", "_th", "_text", "_places").mapInArrow(window_pass, "pid int, blob binary, text binary")
+    answers = asked.repartition(parts, "pid").mapInArrow(answer, "pid int, blob binary")
+    starts = answers.repartition(parts, "pid").mapInArrow(lambda batches: _by_document(batches, RUN), "_did long, _th int, _starts binary")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,9 +424,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             rows = []
             for i in range(len(batch)):
                 p = np.frombuffer(batch.column(where + 1)[i].as_py(), PLACE)
-                p = p[p["state"] != OPEN]
-                s = places_of(batch.column(where + 2), i, np.dtype("<u4"))
-                rows.append(_result(data[offsets[i] : offsets[i + 1]].tobytes(), np.concatenate([p["start"], s]), np.concatenate([p["n"], np.ones(len(s), "<u2")]), width, with_text))
+                p = p[(p["state"] != OPEN) & (p["state"] != HOT_OPEN)]
+                s = places_of(batch.column(where + 2), i, RUN)
+                rows.append(_result(data[offsets[i] : offsets[i + 1]].tobytes(), np.concatenate([p["start"], s["start"]]), np.concatenate([p["n"], s["n"]]), width, with_text))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(where)), *finished(rows)], [*cols, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
     last = open_docs.select(*cols, "_text", "_places", "_did", "_th").join(starts, ["_did", "_th"], "left").select(*cols, "_text", "_places", "_starts").mapInArrow(close, f"{kinds}, {done_kind}")
