@@ -45,10 +45,10 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .quality import COUNTS, judge
+    from .quality import COUNTS, judge, learn
 
-    judged, _ = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return judged.select("doc_id", *COUNTS, "base_failed", "kept")
+    docs = table(spark, sf_dir, "documents")
+    return judge(docs, learn(docs, table(spark, sf_dir, "labels"))).select("doc_id", *COUNTS, "base_failed", "kept")
 
 
 @query
@@ -79,3 +79,10 @@ def op1_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngrams import jaccard_join
 
     return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm import score
+
+    return score(table(spark, sf_dir, "documents"))
