@@ -17,8 +17,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
-
 #: White space of the word definition, and the counted symbols.
 SPACE = " \t\n\x0b\x0c\r"
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -189,23 +187,35 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def labelled_sample(stats: DataFrame, labels: DataFrame, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """(tested statistics, 1 for bad) of about `rows` labelled documents at most, chosen by a hash of the id."""
-    known = stats.join(labels.select(F.col("doc_id"), F.col("quality")).where("doc_id is not null and quality is not null").dropDuplicates(["doc_id"]), "doc_id")
-    total = labels.count()
-    share = min(1.0, rows / max(1, total))
-    some = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    got = some.select("doc_id", "quality", *TESTED).toPandas().sort_values("doc_id", kind="stable")
-    return got[TESTED].to_numpy(float), (got["quality"].to_numpy() == 0).astype(int)
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> list[Rule]:
+    """Rules from about `sample_rows` labelled documents at most, chosen by a hash of the id.
+
+    The sample's ids are few, so they are broadcast and no text is shuffled. Rows
+    whose id or label is null teach nothing.
+    """
+    known = labels.where("doc_id is not null and quality is not null").select("doc_id", "quality").dropDuplicates(["doc_id"])
+    share = min(1.0, sample_rows / max(1, known.count()))
+    some = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    stats = statistics(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id"), keep=("doc_id", "quality"))
+    got = stats.select("doc_id", "quality", *TESTED).toPandas().sort_values(["doc_id", *TESTED], kind="stable")
+    return learn_rules(got[TESTED].to_numpy(float), (got["quality"].to_numpy() == 0).astype(int), TESTED)
 
 
-def judge(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> tuple[DataFrame, list[Rule]]:
-    """(doc_id, counts, tested statistics, base_failed, kept for each row of docs; the learned rules).
+def judge(docs: DataFrame, rules: list[Rule], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns in `keep`, the counts, the tested statistics, base_failed and kept for each row of docs.
 
     Null texts have no words and fail the base rule, and so do null ids with such
     texts; repeated rows each get their row; an empty table gives none; without
     labels the base rule alone decides. Other columns are ignored.
     """
-    stats = materialize(statistics(docs), "statistics")
-    rules = learn_rules(*labelled_sample(stats, labels, sample_rows), TESTED)
-    return stats.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules)), rules
+    return statistics(docs, keep=keep).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+
+
+def passing(rows: DataFrame, rules: list[Rule], *keep: str) -> DataFrame:
+    """The columns `keep` of the rows that are kept.
+
+    The row number stops the optimizer from moving the test below the projections,
+    where it would compute every statistic anew for each mention.
+    """
+    judged = judge(rows, rules, keep=keep).withColumn("_at", F.monotonically_increasing_id())
+    return judged.where((F.col("_at") >= 0) & F.col("kept")).select(*keep)

@@ -246,7 +246,7 @@ def _best(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
             cols = [batch.column(i).slice(a, b - a) for i in range(at)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(n), pa.array(top), pa.array(model.probability(top, n.astype(float))), pa.array(passages, kind)], [*keep, "n", "top", "score", "passages"])
 
-    return docs.select(*keep, text_col).mapInArrow(run, f"{kinds}, n long, top double, score double, passages array<struct<first_word: long, last_word: long, score: double, chance: double>>")
+    return docs.select(*keep, F.col(text_col).alias("_scored")).mapInArrow(run, f"{kinds}, n long, top double, score double, passages array<struct<first_word: long, last_word: long, score: double, chance: double>>")
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,3 +259,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     out = _best(docs, model, [id_col], text_col)
     return out.select(id_col, F.coalesce(crc_mod(id_col, 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages")
+
+
+def passing(rows: DataFrame, model: Model, *keep: str, text_col: str = "text") -> DataFrame:
+    """The columns `keep` of the rows whose text is not predicted to be toxic."""
+    return _best(rows, model, list(keep), text_col).where("score < 0.5").select(*keep)
