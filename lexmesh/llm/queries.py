@@ -86,3 +86,12 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .lm import score
 
     return score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .pieces import encode
+
+    return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
