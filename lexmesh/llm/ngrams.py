@@ -42,8 +42,10 @@ SPLITS = 2
 SMALL = 48
 BLOCK = 1024
 DEPTH = 12
-#: Similarity estimates: pairs of small nodes above PAIR are candidates; a pivot links what is above LINK and releases what is above LEAVE.
-PAIR, LINK, LEAVE = 0.6, 0.5, 0.75
+#: Similarity estimates: pairs of small nodes above PAIR are candidates; a pivot links what is above LINK and
+#: releases what is above LEAVE. Distances add up to 1 - LEAVE + 0.2, so partners of what leaves are near LINK at
+#: worst; the rest of the gap is for the error of the estimates (0.06).
+PAIR, LINK, LEAVE = 0.6, 0.2, 0.5
 
 _rng = np.random.default_rng(20180401)
 _A = (_rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
@@ -174,7 +176,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, doc, sig, pivot, psig) of large nodes to (doc, pivot if near, children if it stays)."""
+    """Rows (node, doc, sig, pivot, psig) of large nodes to (doc, sig, pivot if near, children if it stays)."""
     for batch in batches:
         if not len(batch):
             continue
@@ -184,34 +186,40 @@ def _pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         next_ = children(node, sig)[stays]
         offs = np.concatenate([[0], np.cumsum(np.where(stays, SPLITS, 0))])
         lists = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(np.ascontiguousarray(next_).ravel().view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(batch.column(3).to_numpy(), mask=alike < LINK), lists], ["doc", "pivot", "next"])
+        yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(batch.column(3).to_numpy(), mask=alike < LINK), lists], ["doc", "sig", "pivot", "next"])
 
 
 def candidates(reps: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataFrame:
     """Candidate links (a, b) between the sets (doc, sig, nodes)."""
     spark = reps.sparkSession
     sigs = reps.select("doc", "sig")
-    rows = reps.select("doc", F.explode("nodes").alias("node")).distinct()
+    rows = reps.select("doc", F.explode("nodes").alias("node"))  # later levels have sig as well
     edges = spark.createDataFrame([], "a long, b long")
     for level in range(depth + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        live = materialize(rows.join(sizes, "node").select("node", "doc", "size"), "nodes")
-        leaves = live.where(F.col("size") <= small).select("node", "doc")
-        big = live.where(F.col("size") > small).select("node", "doc")
+        live = materialize(rows.join(sizes, "node"), "nodes")
+        small_, big = live.where(F.col("size") <= small), live.where(F.col("size") > small)
+        leaves = small_.drop("size")
         if level == depth:  # what is still together is compared in blocks of a small node's size
-            parts = live.where(F.col("size") > small).withColumn("parts", F.ceil(2 * F.col("size") / small).cast("int")).withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
+            parts = big.withColumn("parts", F.ceil(2 * F.col("size") / small).cast("int")).withColumn("part", F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int"))
             dealt = parts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            leaves = leaves.unionByName(dealt.select(F.xxhash64("node", F.least("part", "other"), F.greatest("part", "other")).alias("node"), "doc"))
-        near = leaves.join(sigs, "doc").select("node", "doc", "sig").repartition("node").sortWithinPartitions("node").mapInArrow(_pairs, "a long, b long")
+            leaves = leaves.unionByName(dealt.withColumn("node", F.xxhash64("node", F.least("part", "other"), F.greatest("part", "other"))).select(*leaves.columns))
+        if level == 0:
+            leaves = leaves.join(sigs, "doc")
+        near = leaves.select("node", "doc", "sig").repartition("node").sortWithinPartitions("node").mapInArrow(_pairs, "a long, b long")
         edges = edges.unionByName(near)
         if level == depth or not big.limit(1).count():
             break
         pivots = big.groupBy("node").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc")).alias("p")).select("node", F.col("p.doc").alias("pivot"))
-        pivots = pivots.join(sigs.select(F.col("doc").alias("pivot"), F.col("sig").alias("psig")), "pivot")
-        met = big.join(pivots, "node").join(sigs, "doc").select("node", "doc", "sig", "pivot", "psig")
-        split = materialize(met.mapInArrow(_pivots, "doc long, pivot long, next array<long>"), "split")
+        if level == 0:
+            pivots = pivots.join(sigs.select(F.col("doc").alias("pivot"), F.col("sig").alias("psig")), "pivot")
+            big = big.join(sigs, "doc")
+        else:
+            pivots = pivots.join(big.select("node", F.col("doc").alias("pivot"), F.col("sig").alias("psig")), ["node", "pivot"])
+        met = big.join(pivots, "node").select("node", "doc", "sig", "pivot", "psig")
+        split = materialize(met.mapInArrow(_pivots, "doc long, sig binary, pivot long, next array<long>"), "split")
         edges = edges.unionByName(split.where("pivot is not null and pivot <> doc").select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
-        rows = split.select("doc", F.explode("next").alias("node")).distinct()
+        rows = split.where("size(next) > 0").select("doc", "sig", F.explode("next").alias("node"))
     return edges
 
 
@@ -299,7 +307,7 @@ def _verify(similarity: float, words: int):
     return run
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, recall: float = 0.9999, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, recall: float = 0.9999, small: int = SMALL, block: int = BLOCK, with_hash: bool = False) -> DataFrame:
     """(id, class_id, n_links, kept): one row per distinct (id, text) of docs.
 
     n_links is the number of other documents whose shingle sets have at least
@@ -314,7 +322,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sketch = materialize(sketches(docs, id_col, text_col, words, runs).dropDuplicates(["id", "th"]), "sketches")
     filled = sketch.where("n > 0")
     classes = materialize(filled.groupBy("k1", "k2", "n").agg(F.min(F.struct("id", "th")).alias("r"), F.count("*").alias("copies")).select("k1", "k2", "n", "r.id", "r.th", "copies"), "classes")
-    reps = filled.select("id", "th", "sig", "nodes").join(classes.select("id", "th", "copies"), ["id", "th"]).select(F.col("id").alias("doc"), "th", "copies", "sig", "nodes")
+    reps = materialize(filled.select("id", "th", "sig", "nodes").join(classes.select("id", "th"), ["id", "th"]).select(F.col("id").alias("doc"), "sig", "nodes"), "sets")
     found = components(candidates(reps, small))
     sizes = found.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
     member = found.join(sizes, "root").select(F.col("v").alias("id"), "root", "parts").join(classes.select("id", "th", "copies"), "id")
@@ -327,7 +335,15 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     roots = components(checked.select(F.col("doc").alias("a"), F.col("root").alias("b")))
     linked = checked.groupBy("doc").agg(F.sum("links").alias("links")).join(roots.select(F.col("v").alias("doc"), F.col("root").alias("top")), "doc", "left")
     by_class = classes.select("k1", "k2", "n", "id", "copies").join(linked, classes.id == linked.doc, "left").select("k1", "k2", "n", F.coalesce("top", "id").alias("top"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    out = sketch.select("id", "k1", "k2", "n").join(by_class, ["k1", "k2", "n"], "left")
-    whole = out.select(F.col("id").alias(id_col), F.coalesce("top", "id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), (F.coalesce("top", "id") == F.col("id")).alias("kept"))
-    lone = docs.where(F.col(id_col).isNull()).select(F.col(id_col).cast("long").alias(id_col), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"))
+    out = sketch.select("id", "th", "k1", "k2", "n").join(by_class, ["k1", "k2", "n"], "left")
+    whole = out.select(F.col("id").alias(id_col), F.coalesce("top", "id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), (F.coalesce("top", "id") == F.col("id")).alias("kept"), *[F.col("th")] * with_hash)
+    lone = docs.where(F.col(id_col).isNull()).select(F.col(id_col).cast("long").alias(id_col), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"), *[F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("th")] * with_hash)
     return whole.unionByName(lone)
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that jaccard_join keeps, each once, with all their columns; null ids stay."""
+    kept = jaccard_join(docs, id_col, text_col, with_hash=True).where(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col("th").alias("_th"))
+    row = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).cast("long").alias("_id"), F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("_th"))
+    some = row.where("_id is not null").join(kept, ["_id", "_th"]).dropDuplicates(["_id", "_th"])
+    return some.select("_row.*").unionByName(row.where("_id is null").select("_row.*"))
