@@ -31,52 +31,42 @@ from .common import ragged, tune
 
 WINDOW = 2048
 END_ID = 1
-#: Ids that are packed together; bounds a task's memory.
-SHARD_IDS = 12_000_000
+#: Bytes of text that are encoded and packed together; bounds a task's memory.
+SHARD_BYTES = 32 << 20
 #: Width of a length bucket.
 STEP = 32
-#: Words and pieces of words whose ids a worker keeps.
-CACHE_WORDS = 1_000_000
 SEPARATOR = "~"
 #: Fixed value: the tokenizer's own pre-tokenisation, for lower-cased words.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Words of these characters are in normal form, and lower-case alike everywhere.
-PLAIN = r"[\x21-\x7D\u00C0-\u00FF]+"
+PLAIN = r"\A[\x21-\x7D\x{C0}-\x{FF}]+\z"
 
 
 class WordEncoder:
-    """Ids of whole texts through a cache of the ids of their words.
+    """Ids of whole texts through the ids of their distinct words.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its space-separated words, one after another.
+    are those of its space-separated words, one after another; and those of a
+    plain word are those of the pre-tokens of its lower-cased form.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        import regex
-
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         (self.mark,) = self.tok.encode(SEPARATOR, add_special_tokens=False).ids
-        self.piece, self.plain = regex.compile(PIECE), regex.compile(PLAIN)
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.pieces: dict[str, int] = {}
-        self.flat, self.piece_flat = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
-        self.start, self.size, self.piece_size = (np.zeros(0, np.int64) for _ in range(3))
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, number of ids of each word); the words hold no separator."""
+        """(all ids, number of ids of each word)."""
         parts, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for k in range(0, len(words), 20_000):
             some = words[k : k + 20_000]
-            ids = np.array(self.tok.encode(f" {SEPARATOR} ".join([*some, ""]), add_special_tokens=False).ids, np.uint32)
+            text = f" {SEPARATOR} ".join([*some, ""])
+            ids = np.array(self.tok.encode(text, add_special_tokens=False).ids, np.uint32)
             ends = np.flatnonzero(ids == self.mark)
-            if len(ends) == len(some):
+            if len(ends) == len(some) == text.count(SEPARATOR):
                 parts.append(ids[ids != self.mark])
                 sizes.append(np.diff(ends, prepend=-1) - 1)
             else:
@@ -85,34 +75,24 @@ class WordEncoder:
                 sizes.append(np.array([len(x) for x in each], np.int64))
         return np.concatenate(parts), np.concatenate(sizes)
 
-    def learn(self, words: list[str]) -> None:
-        """Add words that are not in the cache: plain ones by their pre-tokens, others whole."""
-        simple = [w for w in words if self.plain.fullmatch(w)]
-        split = [self.piece.findall(w.lower()) for w in simple]
-        new = list({p: None for x in split for p in x if p not in self.pieces})
-        n = len(self.pieces)
-        self.pieces.update((p, n + i) for i, p in enumerate(new))
-        ids, sizes = self._ids(new)
-        self.piece_flat, self.piece_size = np.concatenate([self.piece_flat, ids]), np.concatenate([self.piece_size, sizes])
-        at = np.fromiter((self.pieces[p] for x in split for p in x), np.int64)
-        flat = [ragged(self.piece_flat, (np.cumsum(self.piece_size) - self.piece_size)[at], self.piece_size[at])]
-        ends = np.concatenate([[0], np.cumsum(self.piece_size[at])])
-        counts = np.fromiter((len(x) for x in split), np.int64, len(split))
-        lengths = [np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])]
-        rest = [w for w in words if not self.plain.fullmatch(w)]
-        whole = [w for w in rest if SEPARATOR not in w]
-        odd = [w for w in rest if SEPARATOR in w]
-        ids, sizes = self._ids(whole)
-        flat.append(ids)
-        lengths.append(sizes)
-        for x in self.tok.encode_batch(odd, add_special_tokens=False) if odd else ():
-            flat.append(np.array(x.ids, np.uint32))
-            lengths.append(np.array([len(x.ids)], np.int64))
-        n = len(self.index)
-        self.index.update((w, n + i) for i, w in enumerate([*simple, *whole, *odd]))
-        self.size = np.concatenate([self.size, *lengths])
-        self.flat = np.concatenate([self.flat, *flat])
-        self.start = np.cumsum(self.size) - self.size
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same, for distinct words."""
+        plain = pc.match_substring_regex(words, PLAIN)
+        simple, rest = words.filter(plain), words.filter(pc.invert(plain))
+        lists = pc.split_pattern(pc.utf8_rtrim(pc.replace_substring_regex(pc.utf8_lower(simple), f"({PIECE})", r"\1 "), " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        ids, sizes = self._ids(coded.dictionary.to_pylist())
+        at = coded.indices.to_numpy()
+        flat, ends = ragged(ids, (np.cumsum(sizes) - sizes)[at], sizes[at]), np.concatenate([[0], np.cumsum(sizes[at])])
+        bounds = lists.offsets.to_numpy()[: len(lists) + 1]
+        rest_flat, rest_sizes = self._ids(rest.to_pylist())
+        order = np.empty(len(words), np.int64)
+        mask = plain.to_numpy(zero_copy_only=False)
+        order[mask], order[~mask] = np.arange(len(simple)), len(simple) + np.arange(len(rest))
+        size = np.concatenate([np.diff(ends[bounds - bounds[0]]) if len(lists) else np.zeros(0, np.int64), rest_sizes])
+        start = np.cumsum(size) - size
+        both = np.concatenate([flat, rest_flat])
+        return ragged(both, start[order], size[order]), size[order]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, one after another; number of ids of each). A null text has none."""
@@ -121,17 +101,12 @@ class WordEncoder:
             texts = pc.replace_substring(texts, c, " ")
         words = pc.split_pattern(texts, " ")
         coded = words.flatten().dictionary_encode()
-        if len(self.index) + len(self.pieces) > CACHE_WORDS:
-            self.clear()
-        distinct = coded.dictionary.to_pylist()
-        if new := [w for w in distinct if w not in self.index]:
-            self.learn(new)
-        to = np.fromiter((self.index[w] for w in distinct), np.int64, len(distinct))
-        at = to[coded.indices.to_numpy()] if len(distinct) else np.zeros(0, np.int64)
-        ids = ragged(self.flat, self.start[at], self.size[at])
-        before = np.concatenate([[0], np.cumsum(self.size[at])])
-        rows = words.offsets.to_numpy() - words.offsets[0].as_py() if len(words) else np.zeros(1, np.int64)
-        return ids, np.diff(before[rows])
+        flat, size = self._words(coded.dictionary)
+        at = coded.indices.to_numpy()
+        ids = ragged(flat.astype(np.uint16) if not len(flat) or flat.max() < 65536 else flat, (np.cumsum(size) - size)[at], size[at])
+        before = np.concatenate([[0], np.cumsum(size[at])])
+        rows = words.offsets.to_numpy()[: len(words) + 1]
+        return ids, np.diff(before[rows - rows[0]]) if len(words) else np.zeros(0, np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -317,22 +292,21 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard = encoder(tokenizer_path), 0
         part = TaskContext.get().partitionId()
-        names: list[pa.Array] = []
-        flat: list[np.ndarray] = []
-        sizes: list[np.ndarray] = []
-        held = 0
+        held: list[pa.RecordBatch] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, shard
+            nonlocal shard
             if not held:
                 return
-            ids, n = np.concatenate(flat), np.concatenate(sizes)
-            name = pa.concat_arrays(names)
-            names.clear(), flat.clear(), sizes.clear()
+            table = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            name = table.column(0).combine_chunks()
+            ids, n = enc.encode(table.column(1).combine_chunks().cast(pa.large_string()))
+            ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
             first = np.cumsum(n) - n
             pieces = plan(n, window)
             base = (part << 38) + (shard << 26)
-            shard, held = shard + 1, 0
+            shard += 1
             for k in range(0, len(pieces), 20_000):
                 d, start, length, sequence, offset = pieces[k : k + 20_000].T
                 a = first[d] + start
@@ -344,13 +318,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays(cols, [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids])
 
         for batch in batches:
-            got, n = enc.encode(batch.column(1))
-            ends = np.cumsum(n)
-            flat.append(np.insert(got, ends, end_id).astype(np.uint16 if len(enc.flat) == 0 or enc.flat.max() < 65536 else np.uint32))
-            sizes.append(n + 1)
-            names.append(batch.column(0))
-            held += len(flat[-1])
-            if held >= SHARD_IDS:
+            if len(batch):
+                held.append(batch)
+            if sum(x.nbytes for x in held) >= SHARD_BYTES:
                 yield from flush()
         yield from flush()
 
