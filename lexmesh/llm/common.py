@@ -6,9 +6,12 @@ batch of texts is one byte array and no Python string is made per word.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +69,21 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, giving memory back to the system at its end: workers live on between tasks."""
+
+    @wraps(run)
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return trimmed
+
+
 def crc_mod(col, n: int):
     """crc32 of the id as text, modulo n."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(n)
@@ -177,9 +195,15 @@ def spread(lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) - np.repeat(ends - lengths, lengths)
 
 
-def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def ragged(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, piece: int = 1 << 19) -> np.ndarray:
     """The concatenation of flat[s : s + n] for each start s and length n."""
-    return flat[np.repeat(starts, lengths) + spread(lengths)]
+    ends = np.cumsum(lengths)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, flat.dtype)
+    for a in range(0, len(starts), piece):  # the index arrays are larger than the result
+        s, n = starts[a : a + piece], lengths[a : a + piece]
+        at = ends[a : a + piece]
+        out[int(at[0] - n[0]) : int(at[-1])] = flat[np.repeat(s, n) + spread(n)]
+    return out
 
 
 def binary_array(rows: np.ndarray, flat: np.ndarray) -> pa.Array:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, column_bytes, materialize, tune
+from .common import binary_array, column_bytes, lean, materialize, tune
 from .components import components
 
 
@@ -97,7 +97,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                 full = data.take(pa.array(np.where(at < 0, 0, at), mask=at < 0))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), full], ["id", "x"])
 
-    one = vectors.where(F.col(id_col).isNotNull()).select(id_col, F.col(vector_col)).mapInArrow(unit, "id long, x binary")
+    one = vectors.where(F.col(id_col).isNotNull()).select(id_col, F.col(vector_col)).mapInArrow(lean(unit), "id long, x binary")
     one = materialize(one.groupBy("id").agg(F.max("x").alias("x")), "vectors")
     valid = one.where("x is not null")
     classes = materialize(valid.groupBy(F.sha2("x", 256).alias("key")).agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "classes")
@@ -125,7 +125,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     if not len(cells):
         linked = spark.createDataFrame([], "id long, links long, root long")
     else:
-        placed = materialize(reps.select("id", "copies", "x").mapInArrow(assign, "cell int, id long, copies long, near binary, x binary"), "cells")
+        placed = materialize(reps.select("id", "copies", "x").mapInArrow(lean(assign), "cell int, id long, copies long, near binary, x binary"), "cells")
         found = materialize(compare_cells(placed, cosine, block), "links")
         roots = components(found.where("root is not null").select(F.col("id").alias("a"), F.col("root").alias("b")))
         counts = found.groupBy("id").agg(F.sum("links").alias("links"))

@@ -24,11 +24,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SOLID, column_bytes, crc_mod, materialize, mix64, prefix_hash, shuffle_partitions, slices, span_hash, tune, word_spans
+from .common import LOWER, SOLID, column_bytes, crc_mod, lean, materialize, mix64, prefix_hash, shuffle_partitions, slices, span_hash, tune, word_spans
 
 END = np.uint64(0x0123456789ABCDEF)
-#: Items of the neural model; words whose counts are broadcast; documents and tokens that train.
-ITEMS, FREQUENT, TRAIN_DOCS, TRAIN_TOKENS = 512, 1 << 16, 4000, 1_500_000
+#: Items of the neural model; words whose counts are broadcast; tokens that train.
+ITEMS, FREQUENT, TRAIN_TOKENS = 512, 1 << 16, 1_500_000
 SMOOTH = 0.1
 
 COUNT = np.dtype([("h", "<u8"), ("c", "<u8")])
@@ -94,13 +94,13 @@ def count_tokens(train: DataFrame, parts: int) -> DataFrame:
             keys, at = np.unique(both["h"], return_inverse=True)
             out = np.zeros(len(keys), COUNT)
             out["h"], out["c"] = keys, np.bincount(at, both["c"].astype(float), len(keys)).astype(np.uint64)
-            top = out[np.lexsort((out["h"], -out["c"].astype(np.int64)))[:FREQUENT]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([pid], pa.int32()), pa.array([out.tobytes()], pa.binary()), pa.array([len(out)], pa.int64()), pa.array([int(out["c"].sum())], pa.int64()), pa.array([[{"h": int(h), "c": int(c)} for h, c in zip(top["h"].astype(np.int64), top["c"], strict=True)]], pa.list_(pa.struct([("h", pa.int64()), ("c", pa.int64())])))],
-                ["pid", "counts", "n_distinct", "n_tokens", "top"],
-            )
+            # hashes deal words evenly, so twice a part's share of the frequent ones is more than it has of them
+            top = out[np.lexsort((out["h"], -out["c"].astype(np.int64)))[: 2 * FREQUENT // parts + 1000]]
+            words = pa.StructArray.from_arrays([pa.array(top["h"].astype(np.int64)), pa.array(top["c"].astype(np.int64))], ["h", "c"])
+            lists = pa.ListArray.from_arrays(pa.array([0, len(top)], pa.int32()), words)
+            yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([out.tobytes()], pa.binary()), pa.array([len(out)], pa.int64()), pa.array([int(out["c"].sum())], pa.int64()), lists], ["pid", "counts", "n_distinct", "n_tokens", "top"])
 
-    return train.mapInArrow(send, "pid int, blob binary").repartition(parts, "pid").mapInArrow(merge, "pid int, counts binary, n_distinct long, n_tokens long, top array<struct<h: long, c: long>>")
+    return train.mapInArrow(lean(send), "pid int, blob binary").repartition(parts, "pid").mapInArrow(lean(merge), "pid int, counts binary, n_distinct long, n_tokens long, top array<struct<h: long, c: long>>")
 
 
 @dataclass
@@ -201,12 +201,12 @@ def tables(words: np.ndarray, c2: np.ndarray, c1: np.ndarray, targets: np.ndarra
     return first, second, np.log(np.maximum(e1 @ e2.T, 1e-30)) + m1[:, None] + m2[None, :]
 
 
-def fit(docs: DataFrame, text_col: str, id_col: str, counts: DataFrame, items: int = ITEMS, frequent: int = FREQUENT, train_docs: int = TRAIN_DOCS, train_tokens: int = TRAIN_TOKENS) -> Model:
+def fit(docs: DataFrame, text_col: str, id_col: str, counts: DataFrame, items: int = ITEMS, frequent: int = FREQUENT, train_tokens: int = TRAIN_TOKENS) -> Model:
     """Learn from the rows of docs (all of them training rows) with their counted tokens."""
     totals = counts.agg(F.sum("n_tokens").alias("n"), F.sum("n_distinct").alias("v"), F.count("*").alias("parts")).first()
     total, distinct = totals.n or 0, totals.v or 0
-    rows = counts.select(F.explode("top").alias("t")).select("t.h", "t.c").orderBy(F.desc("c"), "h").limit(frequent).toPandas()
-    keys, c = rows["h"].to_numpy(np.int64).view(np.uint64), rows["c"].to_numpy(np.int64)
+    rows = counts.select(F.explode("top").alias("t")).select("t.h", "t.c").orderBy(F.desc("c"), "h").limit(frequent).toArrow()
+    keys, c = rows.column("h").to_numpy().view(np.uint64), rows.column("c").to_numpy()
     m = min(items, len(keys))
     item = np.full(len(keys), m)
     item[:m] = np.arange(m)
@@ -221,20 +221,20 @@ def fit(docs: DataFrame, text_col: str, id_col: str, counts: DataFrame, items: i
         for _, _, _, h, at in _texts(batches, 0):
             got = known.items(h)
             two, one = contexts(got, at, m + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int16)) for x in (two, one, got)], ["two", "one", "item"])
+            yield pa.RecordBatch.from_arrays([pa.array([np.stack([two, one, got]).astype(np.int16).tobytes()], pa.binary())], ["seen"])
 
-    n_docs = docs.count()
-    share_docs = min(1.0, train_docs / max(1, n_docs))
-    some = docs.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(share_docs * (1 << 20)) + 1).select(text_col)
-    seen = some.mapInArrow(stream, "two short, one short, item short").limit(train_tokens).toPandas()
-    learned = train_items(seen["two"].to_numpy(np.int64), seen["one"].to_numpy(np.int64), seen["item"].to_numpy(np.int64), noise)
+    # whole documents, chosen by a hash of the id, with about train_tokens tokens in all
+    picked = F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(min(1.0, train_tokens / max(1, total)) * (1 << 20)) + 1
+    packed = docs.where(picked).select(text_col).mapInArrow(lean(stream), "seen binary").toArrow().column("seen").to_pylist()
+    two, one, got = np.concatenate([np.frombuffer(x, np.int16).reshape(3, -1) for x in packed] or [np.zeros((3, 0), np.int16)], axis=1).astype(np.int64)
+    learned = train_items(two, one, got, noise)
     # row m of the words is "other", row m + 1 the start; a target is never the start
     words = np.concatenate([learned[0], np.zeros((m + 2 - len(learned[0]), learned[0].shape[1]))])
     known.first, known.second, known.normaliser = tables(words, *learned[1:])
     return known
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items: int = ITEMS, frequent: int = FREQUENT, train_docs: int = TRAIN_DOCS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items: int = ITEMS, frequent: int = FREQUENT, train_tokens: int = TRAIN_TOKENS) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs.
 
     Rows with crc32(id) % 10 = 0 are held out, all others train; a null id trains. A
@@ -248,7 +248,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
     held_out = F.coalesce(crc_mod(id_col, 10) == 0, F.lit(False))
     train = docs.where(~held_out)
     counts = materialize(count_tokens(train.select(text_col), parts), "counts")
-    model = fit(train, text_col, id_col, counts, items, frequent, train_docs)
+    model = fit(train, text_col, id_col, counts, items, frequent, train_tokens)
     sent = spark.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -300,7 +300,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
             yield from flush(id_kind)
 
     schema = f"rid long, id {kind}, held_out boolean, n_tokens long, n_known long, logs double, logs_other double, n_other long, neural double, pid int, rids binary, blob binary"
-    seen = materialize(docs.select(F.col(id_col), held_out, F.col(text_col)).mapInArrow(look, schema), "looked")
+    seen = materialize(docs.select(F.col(id_col), held_out, F.col(text_col)).mapInArrow(lean(look), schema), "looked")
 
     def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows (pid, rids, blob) sorted so that each part's counts (null rids) come first."""
@@ -319,7 +319,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
                 yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(np.bincount(d, np.log10(c + SMOOTH), len(who))), pa.array(np.bincount(d, c > 0, len(who)).astype(np.int64))], ["rid", "logs", "known"])
 
     asked = seen.where("blob is not null").select("pid", "rids", "blob").unionByName(counts.select("pid", F.lit(None).cast("binary").alias("rids"), F.col("counts").alias("blob")))
-    answers = asked.repartition(parts, "pid").sortWithinPartitions("pid", F.col("rids").isNotNull()).mapInArrow(reply, "rid long, logs double, known long")
+    answers = asked.repartition(parts, "pid").sortWithinPartitions("pid", F.col("rids").isNotNull()).mapInArrow(lean(reply), "rid long, logs double, known long")
     more = answers.groupBy("rid").agg(F.sum("logs").alias("more_logs"), F.sum("known").alias("more_known"))
     n, v = model.total, model.distinct
     whole = float(np.log10(n + SMOOTH * (v + 1)))

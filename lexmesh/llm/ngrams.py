@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, binary_array, column_bytes, materialize, mix64, prefix_hash, slices, span_hash, tune, word_spans
+from .common import ALNUM, LOWER, binary_array, column_bytes, lean, materialize, mix64, prefix_hash, slices, span_hash, tune, word_spans
 from .components import components
 from .embeddings import forest
 
@@ -147,7 +147,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, runs: int)
                 )
 
     base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("th"), F.col(text_col))
-    return base.mapInArrow(run, "id long, th int, k1 long, k2 long, n long, sig binary, nodes array<long>")
+    return base.mapInArrow(lean(run), "id long, th int, k1 long, k2 long, n long, sig binary, nodes array<long>")
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,7 +206,7 @@ def candidates(reps: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataF
             leaves = leaves.unionByName(dealt.withColumn("node", F.xxhash64("node", F.least("part", "other"), F.greatest("part", "other"))).select(*leaves.columns))
         if level == 0:
             leaves = leaves.join(sigs, "doc")
-        near = leaves.select("node", "doc", "sig").repartition("node").sortWithinPartitions("node").mapInArrow(_pairs, "a long, b long")
+        near = leaves.select("node", "doc", "sig").repartition("node").sortWithinPartitions("node").mapInArrow(lean(_pairs), "a long, b long")
         edges = edges.unionByName(near)
         if level == depth or not big.limit(1).count():
             break
@@ -217,7 +217,7 @@ def candidates(reps: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataF
         else:
             pivots = pivots.join(big.select("node", F.col("doc").alias("pivot"), F.col("sig").alias("psig")), ["node", "pivot"])
         met = big.join(pivots, "node").select("node", "doc", "sig", "pivot", "psig")
-        split = materialize(met.mapInArrow(_pivots, "doc long, sig binary, pivot long, next array<long>"), "split")
+        split = materialize(met.mapInArrow(lean(_pivots), "doc long, sig binary, pivot long, next array<long>"), "split")
         edges = edges.unionByName(split.where("pivot is not null and pivot <> doc").select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
         rows = split.where("size(next) > 0").select("doc", "sig", F.explode("next").alias("node"))
     return edges
@@ -294,7 +294,7 @@ def _verify(similarity: float, words: int):
         for batch in batches:
             if len(batch):
                 held.append(batch)
-            if sum(len(x) for x in held) >= 4000:
+            if sum(len(x) for x in held) >= 2000:
                 out, rest = emit(pa.Table.from_batches(held), False)
                 held = rest.to_batches()
                 if out:
@@ -331,7 +331,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = member.join(texts, ["id", "th"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     keyed = met.select("root", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", F.col("id").alias("doc"), "copies", "text")
     dealt = keyed.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi")
-    checked = materialize(dealt.mapInArrow(_verify(similarity, words), "doc long, links long, root long"), "checked")
+    checked = materialize(dealt.mapInArrow(lean(_verify(similarity, words)), "doc long, links long, root long"), "checked")
     roots = components(checked.select(F.col("doc").alias("a"), F.col("root").alias("b")))
     linked = checked.groupBy("doc").agg(F.sum("links").alias("links")).join(roots.select(F.col("v").alias("doc"), F.col("root").alias("top")), "doc", "left")
     by_class = classes.select("k1", "k2", "n", "id", "copies").join(linked, classes.id == linked.doc, "left").select("k1", "k2", "n", F.coalesce("top", "id").alias("top"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))

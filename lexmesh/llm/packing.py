@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ragged, tune
+from .common import lean, ragged, tune
 
 WINDOW = 2048
 END_ID = 1
@@ -324,4 +324,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                 yield from flush()
         yield from flush()
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(lean(run), schema)

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, ragged, spread, tune
+from .common import lean, mix64, ragged, spread, tune
 
 MARK = "▁"
 #: Bytes of text that are encoded together; distinct words that a pass holds; the longest word that shares prefixes.
@@ -381,7 +381,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                 yield from flush()
         yield from flush()
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids array<int>, round_trip boolean")
+    return docs.select(id_col, text_col).mapInArrow(lean(run), f"`{id_col}` {kind}, n_tokens long, ids array<int>, round_trip boolean")
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -396,4 +396,4 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
             ids = lists.flatten().to_numpy().astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), decode_texts(ids, n, voc).cast(pa.string())], [id_col, "text"])
 
-    return encoded.select(id_col, F.col(ids_col).cast("array<int>")).mapInArrow(run, f"`{id_col}` {kind}, text string")
+    return encoded.select(id_col, F.col(ids_col).cast("array<int>")).mapInArrow(lean(run), f"`{id_col}` {kind}, text string")

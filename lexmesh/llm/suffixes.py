@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, column_bytes, materialize, mix64, prefix_hash, ragged, shuffle_partitions, slices, span_hash, spread, tune
+from .common import binary_array, column_bytes, lean, materialize, mix64, prefix_hash, ragged, shuffle_partitions, slices, span_hash, spread, tune
 
 WIDTH = 200
 ANCHOR = 64
@@ -291,7 +291,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         got["start"] += np.uint32(i - offsets[a])
                     got["did"], got["th"] = did[row], th[row]
                     held.append(got)
-            if sum(map(len, held)) > 1_000_000:
+            if sum(map(len, held)) > 500_000:
                 yield from _messages(_combine(np.concatenate(held), ("h", "sig")), "h", parts)
                 held = []
         if held:
@@ -319,9 +319,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             place["state"][ask] = state
         yield from _to_document(r["did"][use], r["th"][use], place[use], parts)
 
-    sent = base.select("_did", "_th", "_text").mapInArrow(first_pass, "pid int, blob binary")
-    settled = sent.repartition(parts, "pid").mapInArrow(settle, "pid int, blob binary")
-    lists = settled.repartition(parts, "pid").mapInArrow(lambda batches: _by_document(batches, PLACE), "_did long, _th int, _places binary")
+    sent = base.select("_did", "_th", "_text").mapInArrow(lean(first_pass), "pid int, blob binary")
+    settled = sent.repartition(parts, "pid").mapInArrow(lean(settle), "pid int, blob binary")
+    lists = settled.repartition(parts, "pid").mapInArrow(lean(lambda batches: _by_document(batches, PLACE)), "_did long, _th int, _places binary")
     joined = base.join(lists, ["_did", "_th"], "left")
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in cols)
     done_kind = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
@@ -351,7 +351,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             text = pc.if_else(open_, batch.column(where), pa.scalar(None, batch.column(where).type))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(where)), *finished(rows), batch.column(where + 1), batch.column(where + 2), text, pa.array(left, pa.binary())], [*cols, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "_did", "_th", "_text", "_places"])
 
-    ready = joined.select(*cols, "_text", "_did", "_th", "_places").mapInArrow(finish, f"{kinds}, {done_kind}, _did long, _th int, _text string, _places binary")
+    ready = joined.select(*cols, "_text", "_did", "_th", "_places").mapInArrow(lean(finish), f"{kinds}, {done_kind}, _did long, _th int, _text string, _places binary")
     state = materialize(ready, "suffixes")
     open_docs = state.where("_places is not null")
 
@@ -388,7 +388,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     got["w"], got["did"], got["th"], got["start"], got["n"] = span_hash(pre, down, at, at + width), did[i], th[i], at, 1
                     got["state"] = np.repeat(np.where(q["state"] == HOT_GIVES, 8, 0), q["n"])  # a giver's windows need no answer
                     windows.append(got)
-            if sum(map(len, bodies)) + sum(map(len, windows)) * 25 > 32 << 20:
+            if sum(map(len, bodies)) + sum(map(len, windows)) * 25 > 8 << 20:
                 yield from flush()
         yield from flush()
 
@@ -414,9 +414,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 use[ask] = repeated[group] & (r["state"][ask] < 8)
             yield from _to_document(r["did"][use], r["th"][use], _runs(r["start"][use], r["n"][use]), parts)
 
-    asked = open_docs.select("_did", "_th", "_text", "_places").mapInArrow(window_pass, "pid int, blob binary, text binary")
-    answers = asked.repartition(parts, "pid").mapInArrow(answer, "pid int, blob binary")
-    starts = answers.repartition(parts, "pid").mapInArrow(lambda batches: _by_document(batches, RUN), "_did long, _th int, _starts binary")
+    asked = open_docs.select("_did", "_th", "_text", "_places").mapInArrow(lean(window_pass), "pid int, blob binary, text binary")
+    answers = asked.repartition(parts, "pid").mapInArrow(lean(answer), "pid int, blob binary")
+    starts = answers.repartition(parts, "pid").mapInArrow(lean(lambda batches: _by_document(batches, RUN)), "_did long, _th int, _starts binary")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -429,7 +429,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 rows.append(_result(data[offsets[i] : offsets[i + 1]].tobytes(), np.concatenate([p["start"], s["start"]]), np.concatenate([p["n"], s["n"]]), width, with_text))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(where)), *finished(rows)], [*cols, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
-    last = open_docs.select(*cols, "_text", "_places", "_did", "_th").join(starts, ["_did", "_th"], "left").select(*cols, "_text", "_places", "_starts").mapInArrow(close, f"{kinds}, {done_kind}")
+    last = open_docs.select(*cols, "_text", "_places", "_did", "_th").join(starts, ["_did", "_th"], "left").select(*cols, "_text", "_places", "_starts").mapInArrow(lean(close), f"{kinds}, {done_kind}")
     out = state.where("_places is null").select(*cols, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text").unionByName(last)
     return out if with_text else out.drop("kept_text")
 

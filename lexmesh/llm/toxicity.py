@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, column_bytes, crc_mod, prefix_hash, slices, span_hash, tune, word_spans
+from .common import ALNUM, LOWER, column_bytes, crc_mod, lean, prefix_hash, slices, span_hash, tune, word_spans
 
 STEMS = (4, 5, 6)
 #: Documents that the Dirichlet prior of a feature is worth, spread by its frequency.
@@ -156,7 +156,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, most_fe
     n1, n0 = classes.get(1, 0), classes.get(0, 0)
     if not n1 or not n0:
         return Model(np.zeros(0, np.uint64), np.zeros(0))
-    counts = train.mapInArrow(count, "h long, y1 long, y0 long").groupBy("h").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0"))
+    counts = train.mapInArrow(lean(count), "h long, y1 long, y0 long").groupBy("h").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0"))
     prior = PRIOR * (F.col("y1") + F.col("y0")) / F.lit(float(n1 + n0)) + 0.5
     odds = lambda y, n: F.log((F.col(y) + prior) / (F.lit(float(n) + PRIOR + 1.0) - F.col(y) - prior))
     scored = counts.where("y1 > 2").withColumn("score", odds("y1", n1) - odds("y0", n0)).withColumn("z", F.col("score") / F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior)))
@@ -193,7 +193,7 @@ def _diverse(train: DataFrame, keys: np.ndarray, scores: np.ndarray) -> tuple[np
                     pick = maybe[(keys[at] == h[maybe]) & (toxic[doc[maybe]] == 1)]
                     yield pa.RecordBatch.from_arrays([pa.array(h[pick].view(np.int64)), pa.array(before[pick].view(np.int64))], ["h", "before"])
 
-    got = train.mapInArrow(contexts, "h long, before long").groupBy("h", "before").agg(F.count("*").alias("n")).groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).where((F.col("kinds") >= 3) & (2 * F.col("kinds") >= F.col("n"))).select("h").toPandas()
+    got = train.mapInArrow(lean(contexts), "h long, before long").groupBy("h", "before").agg(F.count("*").alias("n")).groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).where((F.col("kinds") >= 3) & (2 * F.col("kinds") >= F.col("n"))).select("h").toPandas()
     keep = np.isin(keys, got["h"].to_numpy(np.int64).view(np.uint64))
     return keys[keep], scores[keep]
 
@@ -246,7 +246,7 @@ def _best(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
             cols = [batch.column(i).slice(a, b - a) for i in range(at)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(n), pa.array(top), pa.array(model.probability(top, n.astype(float))), pa.array(passages, kind)], [*keep, "n", "top", "score", "passages"])
 
-    return docs.select(*keep, F.col(text_col).alias("_scored")).mapInArrow(run, f"{kinds}, n long, top double, score double, passages array<struct<first_word: long, last_word: long, score: double, chance: double>>")
+    return docs.select(*keep, F.col(text_col).alias("_scored")).mapInArrow(lean(run), f"{kinds}, n long, top double, score double, passages array<struct<first_word: long, last_word: long, score: double, chance: double>>")
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
