@@ -33,6 +33,7 @@ SMOOTH = 0.1
 
 COUNT = np.dtype([("h", "<u8"), ("c", "<u8")])
 ASK = np.dtype([("h", "<u8"), ("d", "<u2")])
+SUM = np.dtype([("rid", "<i8"), ("logs", "<f8"), ("known", "<i8")])
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -302,9 +303,25 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
     schema = f"rid long, id {kind}, held_out boolean, n_tokens long, n_known long, logs double, logs_other double, n_other long, neural double, pid int, rids binary, blob binary"
     seen = materialize(docs.select(F.col(id_col), held_out, F.col(text_col)).mapInArrow(lean(look), schema), "looked")
 
+    def sums(held: list[np.ndarray]) -> np.ndarray:
+        both = np.concatenate(held)
+        keys, at = np.unique(both["rid"], return_inverse=True)
+        out = np.zeros(len(keys), SUM)
+        out["rid"], out["logs"], out["known"] = keys, np.bincount(at, both["logs"], len(keys)), np.bincount(at, both["known"], len(keys))
+        return out
+
     def reply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows (pid, rids, blob) sorted so that each part's counts (null rids) come first."""
-        now, table = None, np.zeros(0, COUNT)
+        """Rows (pid, rids, blob) sorted so that each part's counts (null rids) come first, to messages (to, sums)."""
+        now, table, held = None, np.zeros(0, COUNT), []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            out = sums(held)
+            held.clear()
+            to = (mix64(out["rid"].astype(np.uint64)) % np.uint64(parts)).astype(np.int32)
+            order = np.argsort(to, kind="stable")
+            for some in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
+                yield pa.RecordBatch.from_arrays([pa.array([to[some[0]]], pa.int32()), pa.array([out[some].tobytes()], pa.binary())], ["to", "sums"])
+
         for batch in batches:
             for pid, rids, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if rids is None:
@@ -315,12 +332,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
                 if now == pid and len(table):
                     at = np.minimum(np.searchsorted(table["h"], r["h"]), len(table) - 1)
                     c = np.where(table["h"][at] == r["h"], table["c"][at], 0).astype(float)
+                part = np.zeros(len(who), SUM)
                 d = r["d"].astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(np.bincount(d, np.log10(c + SMOOTH), len(who))), pa.array(np.bincount(d, c > 0, len(who)).astype(np.int64))], ["rid", "logs", "known"])
+                part["rid"], part["logs"], part["known"] = who, np.bincount(d, np.log10(c + SMOOTH), len(who)), np.bincount(d, c > 0, len(who))
+                held.append(part)
+            if sum(map(len, held)) > 500_000:
+                yield from flush()
+        if held:
+            yield from flush()
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [np.frombuffer(x, SUM) for batch in batches for x in batch.column(1).to_pylist()]
+        if got:
+            out = sums(got)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[k])) for k in ("rid", "logs", "known")], ["rid", "more_logs", "more_known"])
 
     asked = seen.where("blob is not null").select("pid", "rids", "blob").unionByName(counts.select("pid", F.lit(None).cast("binary").alias("rids"), F.col("counts").alias("blob")))
-    answers = asked.repartition(parts, "pid").sortWithinPartitions("pid", F.col("rids").isNotNull()).mapInArrow(lean(reply), "rid long, logs double, known long")
-    more = answers.groupBy("rid").agg(F.sum("logs").alias("more_logs"), F.sum("known").alias("more_known"))
+    answers = asked.repartition(parts, "pid").sortWithinPartitions("pid", F.col("rids").isNotNull()).mapInArrow(lean(reply), "to int, sums binary")
+    more = answers.repartition(parts, "to").mapInArrow(lean(gather), "rid long, more_logs double, more_known long")
     n, v = model.total, model.distinct
     whole = float(np.log10(n + SMOOTH * (v + 1)))
     rest = float(np.log10(max(model.other_total, 0.0) + SMOOTH * (max(model.other_distinct, 0.0) + 1)))
