@@ -40,9 +40,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the bytes that strings of 200 bytes cover which start elsewhere too."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    left = suffixes.repeated_spans(docs, keep_cols=others, with_text=True)
-    return left.select(*(F.col("kept_text").alias(c) if c == "text" else F.length("kept_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    left = suffixes.repeated_spans(rows, keep_cols=("_row",), with_text=True)
+    size = F.length("kept_text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
+    new = {"text": F.col("kept_text"), "n_chars": size}
+    return left.select(*(new[c].alias(c) if c in new else F.col("_row")[c].alias(c) for c in docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
