@@ -228,3 +228,58 @@ def stage_blockers(flags: DataFrame, stage: str, conditions: dict[str, str]) ->
     """(stage, blockers): names of the conditions that some row of a stage fails."""
     worst = flags.groupBy(stage).agg(*(F.bool_and(F.expr(c)).alias(k) for k, c in conditions.items()))
     return worst.select(stage, F.array_compact(F.array(*(F.when(~F.col(k), k) for k in conditions))).alias("blockers"))
+
+
+# ------------------------------------------------------------------ JSON schemas and entity files
+
+_KINDS = {"string": "string", "integer": "bigint", "number": "double", "boolean": "boolean", "array": "array<string>", "object": "map<string,string>"}
+
+
+def schema_issues(json: Column, schema: dict) -> Column:
+    """Array of messages for one JSON object under a flat JSON schema.
+
+    Understands required, additionalProperties false, and for properties type,
+    enum, pattern, minimum, maximum and minLength. Nulls are skipped, except
+    where a key is required.
+    """
+    top = F.coalesce(F.from_json(json, "map<string,string>"), F.create_map().cast("map<string,string>"))
+    keys = F.json_object_keys(json)
+    out = [F.when(keys.isNull(), "no JSON object")]
+    for k in schema.get("required", []):
+        out.append(F.when(~F.coalesce(F.array_contains(keys, k), F.lit(False)), f"missing {k}"))
+    props = schema.get("properties", {})
+    if schema.get("additionalProperties") is False:
+        extra = F.array_except(keys, F.array(*map(F.lit, props)))
+        out.append(F.when(F.size(extra) > 0, F.concat(F.lit("extra "), F.array_join(F.array_sort(extra), ","))))
+    for k, p in props.items():
+        v = F.element_at(top, F.lit(k))
+        kind = p.get("type", "string")
+        number = v.try_cast("double")
+        if kind in ("integer", "number"):
+            out.append(F.when(v.isNotNull() & (number.isNull() | ((number != F.floor(number)) if kind == "integer" else F.lit(False))), f"{k} is no {kind}"))
+        elif kind in ("array", "object"):
+            out.append(F.when(v.isNotNull() & F.from_json(v, _KINDS[kind]).isNull(), f"{k} is no {kind}"))
+        if "enum" in p:
+            out.append(F.when(v.isNotNull() & ~v.isin([str(x) for x in p["enum"] if x is not None]), f"{k} not in its list"))
+        if "pattern" in p:
+            out.append(F.when(v.isNotNull() & ~v.rlike(p["pattern"]), f"{k} has another form"))
+        if "minimum" in p:
+            out.append(F.when(number < p["minimum"], f"{k} below {p['minimum']}"))
+        if "maximum" in p:
+            out.append(F.when(number > p["maximum"], f"{k} above {p['maximum']}"))
+        if "minLength" in p:
+            out.append(F.when(F.length(v) < p["minLength"], f"{k} too short"))
+    return F.array_compact(F.array(*out))
+
+
+def entity_issues(entities: DataFrame, sections: DataFrame, job: str = "job", section: str = "section") -> DataFrame:
+    """(job, section, entity, issue): types and layers outside their lists, sections that don't exist."""
+    base = entities.select(job, section, "entity", "type", "layer")
+    listed = base.select(job, section, "entity", F.explode(F.array_compact(F.array(F.when(~F.col("type").isin(rules.ENTITY_TYPES), "type"), F.when(~F.col("layer").isin(rules.LAYERS), "layer")))).alias("issue"))
+    lost = base.join(sections.select(job, section).distinct(), [job, section], "left_anti").select(job, section, "entity", F.lit("section").alias("issue"))
+    return listed.unionByName(lost)
+
+
+def job_status(issues: DataFrame, job: str = "job", severe: str = "severe") -> DataFrame:
+    """(job, status): fail with a severe issue, warn with any, else OK."""
+    return issues.groupBy(job).agg(F.when(F.bool_or(severe), "fail").when(F.bool_or(F.col(severe).isNotNull()), "warn").otherwise("OK").alias("status"))

@@ -1,0 +1,66 @@
+"""Layout blocks as a Python data source, with a plug-in that reads a document.
+
+    spark.dataSource.register(BlockSource)
+    spark.read.format("layout_blocks").option("path", folder).option("reader", "package.module:function").load()
+
+The function takes a file's path and yields (page, text, max_font_size, bbox)
+rows; the default reads JSON lines with these keys. A second function, named by
+the option "fallback", is asked where the first finds no text.
+"""
+
+from __future__ import annotations
+
+import importlib
+import json
+import os
+from collections.abc import Callable, Iterator
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+
+def read_json(path: str) -> Iterator[tuple]:
+    with open(path, encoding="utf-8") as f:
+        for line in f:
+            if line.strip():
+                x = json.loads(line)
+                yield x["page"], x["text"], float(x.get("max_font_size", 0.0)), [float(v) for v in x.get("bbox", [])]
+
+
+def named(spec: str | None) -> Callable[[str], Iterator[tuple]]:
+    if not spec:
+        return read_json
+    module, _, name = spec.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
+class FilePartition(InputPartition):
+    def __init__(self, path: str) -> None:
+        self.path = path
+
+
+class BlockReader(DataSourceReader):
+    def __init__(self, options: dict) -> None:
+        self.options = options
+
+    def partitions(self) -> list[FilePartition]:
+        suffix = self.options.get("suffix", ".jsonl")
+        return [FilePartition(os.path.join(d, f)) for d, _, files in sorted(os.walk(self.options["path"])) for f in sorted(files) if f.endswith(suffix)]
+
+    def read(self, partition: FilePartition) -> Iterator[tuple]:
+        rows = list(named(self.options.get("reader"))(partition.path))
+        if self.options.get("fallback") and not any(r[1].strip() for r in rows):
+            rows = list(named(self.options["fallback"])(partition.path))
+        for i, (page, text, size, bbox) in enumerate(rows):
+            yield partition.path, i, page, text, size, bbox
+
+
+class BlockSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "layout_blocks"
+
+    def schema(self) -> str:
+        return "path string, pos int, page int, text string, max_font_size double, bbox array<double>"
+
+    def reader(self, schema) -> BlockReader:
+        return BlockReader(self.options)

@@ -244,3 +244,54 @@ def test_tumbling_stream(spark, tmp_path):
     batch = {tuple(r) for r in ingest.tumbling(e, "ts", "10 minutes", ["k"]).collect()}
     got = {tuple(r) for r in spark.read.parquet(out).collect()}
     assert got <= batch and len(got) >= 9  # the last window is open
+
+
+def test_global_articles(spark):
+    from lexmesh.operators import articles
+
+    long = "texto de un articulo que es lo bastante largo para quedar"
+    pages = spark.createDataFrame(
+        [("a", 1, "INDICE\nARTÍCULO 1 x"), ("a", 2, f"inicio\nARTÍCULO 1. {long}\nReformado P.O. 1999, y más letras aquí"), ("a", 3, f"{long} sigue\nARTÍCULO 2 bis {long}\nCAPÍTULO II\notra cosa {long}"), ("a", 4, f"\nARTÍCULO 1 {long}")],
+        "k string, page int, body string",
+    )
+    got = {(r.number, r.suffix): (r.page, r.body) for r in articles.global_articles(pages, "k").collect()}
+    assert set(got) == {(1, None), (2, "bis")}
+    assert got[1, None][0] == 2 and "Reformado" not in got[1, None][1]
+    assert got[2, "bis"][0] == 3 and "otra cosa" not in got[2, "bis"][1]
+    assert one(spark, articles.number_label(F.lit(28), F.lit("bis")), a=1) == "28 Bis"
+    listed = spark.createDataFrame([("a", 2, "bis")], "k string, number int, suffix string")
+    kept = articles.listed_or_relevant(articles.global_articles(pages, "k"), listed, "k")
+    assert [(r.number, r.suffix) for r in kept.collect()] == [(2, "bis")]
+
+
+def test_titles_tables_and_responses(spark):
+    from lexmesh.operators import articles
+
+    assert one(spark, articles.title(F.split("a", "\n")), a="Página 3\nuna linea 1 2 3 4, y\nREGLAMENTO INTERIOR DE X\n") == "REGLAMENTO INTERIOR DE X"
+    lines = spark.createDataFrame([("d", i, t) for i, t in enumerate(["| a |", "| b |", "x", "| c |"])], "k string, i int, t string")
+    assert {(r.first, r.last, r.rows) for r in articles.table_runs(lines, "k", "i", "t").collect()} == {(0, 1, 2), (3, 3, 1)}
+    assert one(spark, articles.cleaned_response(F.col("a")), a="<think>x</think>\n```md\n# t\n```\n") == "# t"
+
+
+def test_schema_issues(spark):
+    schema = {"required": ["id", "n"], "additionalProperties": False, "properties": {"id": {"type": "string", "pattern": "^[a-f0-9]{3}$"}, "n": {"type": "integer", "minimum": 1, "maximum": 5}, "k": {"enum": ["x", "y"]}}}
+    issues = lambda s: one(spark, records.schema_issues(F.col("a"), schema), a=s)
+    assert issues('{"id":"abc","n":3,"k":"x"}') == []
+    assert issues('{"id":"q","n":9,"z":1}') == ["extra z", "id has another form", "n above 5"]
+    assert issues('{"n":1.5,"k":"w"}') == ["missing id", "n is no integer", "k not in its list"]
+
+
+def test_entity_issues(spark):
+    e = spark.createDataFrame([("j", "s", "A", "CARGO", "informal"), ("j", "t", "B", "X", "informal")], "job string, section string, entity string, type string, layer string")
+    s = spark.createDataFrame([("j", "s")], "job string, section string")
+    assert {(r.entity, r.issue) for r in records.entity_issues(e, s).collect()} == {("B", "type"), ("B", "section")}
+
+
+def test_layout_blocks(spark, tmp_path):
+    from lexmesh.sources.blocks import BlockSource
+
+    (tmp_path / "a.jsonl").write_text('{"page":1,"text":"TITULO","max_font_size":20}\n{"page":1,"text":"1) uno","max_font_size":10}\n{"page":2,"text":"texto","max_font_size":10}\n')
+    spark.dataSource.register(BlockSource)
+    blocks = spark.read.format("layout_blocks").option("path", str(tmp_path)).load()
+    md = records.blocks_to_markdown(blocks, "path", "pos", "text", "max_font_size").first().md
+    assert md == "\n# TITULO\n\n1. uno\ntexto\n"
