@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .oracles import ORACLES as ORACLES
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -40,7 +41,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .urls import judge
 
-    return judge(table(spark, sf_dir, "pages"))
+    return judge(table(spark, sf_dir, "pages")).drop("trust", "distrust")
 
 
 @query

@@ -153,3 +153,19 @@ def test_pipeline(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     left = docs.join(labels, "doc_id").agg(F.sum("toxic").alias("t")).first().t or 0
     assert left < labels.agg(F.sum("toxic").alias("t")).first().t
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "embeddings"):
+        con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    got = queries.QUERIES[name](spark, SF)
+    cols = sorted(got.columns)
+    ran = con.execute(queries.ORACLES[name])
+    at = [[d[0] for d in ran.description].index(c) for c in cols]
+    plain = lambda x: round(x, 6) if isinstance(x, float) else x
+    want = sorted(repr([plain(r[i]) for i in at]) for r in ran.fetchall())
+    assert sorted(repr([plain(r[c]) for c in cols]) for r in got.collect()) == want
