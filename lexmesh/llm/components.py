@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every vertex has one neighbour below it, which has none itself."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")), F.struct(F.col("v").alias("x"), F.lit(0).alias("below"), F.lit(1).alias("above")))).alias("e")).select("e.*")
+    return not ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above")).where("below > 1 or (below = 1 and above = 1)").limit(1).count()
+
+
 def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     """(v, root) for every vertex of edges (a, b): root is the smallest vertex of its component.
 
@@ -21,17 +27,14 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     alone = now.where("u = v").select(F.col("u").alias("v"), F.col("u").alias("root"))
     now = now.where("u <> v")
     for _ in range(most_rounds):
+        if _stars(now):
+            break
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
+        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
         now = materialize(small, "edges")
-        # stars: every vertex has one neighbour, and that one has none below it
-        tops = now.groupBy("u").agg(F.count("*").alias("n"))
-        if not now.select(F.col("v").alias("u")).join(tops.select("u"), "u", "left_semi").limit(1).count() and not tops.where("n > 1").limit(1).count():
-            break
     else:
         raise RuntimeError("components did not settle")
     members = now.select(F.col("u").alias("v"), F.col("v").alias("root"))
