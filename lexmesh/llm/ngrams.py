@@ -9,7 +9,7 @@ leaf of a run with probability 0.93 however deep the tree gets; the number of
 runs follows from the recall that is asked for.
 
 * A node of one set is dropped; in a node of at most `small` sets all pairs are
-  compared (by their 64 samples).
+  compared (by their 64 samples), and a spanning forest of the links goes on.
 * In a larger node all sets are compared with one pivot. Sets near the pivot
   are linked with it; those so near that all their partners are linked with the
   pivot too (Jaccard distance is a metric) leave the node, and the others are
@@ -39,7 +39,7 @@ WORDS = 5
 SIMILARITY = 0.8
 SAMPLES = 64
 SPLITS = 2
-SMALL = 48
+SMALL = 256
 BLOCK = 1024
 DEPTH = 12
 #: Similarity estimates: pairs of small nodes above PAIR are candidates; a pivot links what is above LINK and
@@ -161,10 +161,12 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(i):
                 break
             i = i[(sig[i] == sig[i + d]).mean(1) >= PAIR]
-            found.append(np.stack([doc[i], doc[i + d]]))
+            found.append(np.stack([i, i + d]))
         if found and sum(x.shape[1] for x in found):
-            a, b = np.concatenate(found, 1)
-            a, b = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
+            # candidates only say what belongs together: a spanning forest says it with fewer links than rows
+            root = forest(len(node), *np.concatenate(found, 1))
+            a, b = doc, doc[root]
+            a, b = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)])[:, a != b], axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     for batch in batches:
