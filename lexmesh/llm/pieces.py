@@ -30,7 +30,7 @@ from .common import lean, mix64, ragged, spread, tune
 
 MARK = "▁"
 #: Bytes of text that are encoded together; distinct words that a pass holds; the longest word that shares prefixes.
-SHARD_BYTES, CHUNK, LONGEST = 24 << 20, 60_000, 64
+SHARD_BYTES, CHUNK, LONGEST = 8 << 20, 40_000, 64
 GAP = "\x00"
 
 
