@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -196,7 +197,7 @@ def candidates(reps: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataF
     spark = reps.sparkSession
     sigs = reps.select("doc", "sig")
     rows = reps.select("doc", F.explode("nodes").alias("node"))  # later levels have sig as well
-    edges = spark.createDataFrame([], "a long, b long")
+    edges, small_nodes = spark.createDataFrame([], "a long, b long"), []
     for level in range(depth + 1):
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
         live = materialize(rows.join(sizes, "node"), "nodes")
@@ -208,8 +209,7 @@ def candidates(reps: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataF
             leaves = leaves.unionByName(dealt.withColumn("node", F.xxhash64("node", F.least("part", "other"), F.greatest("part", "other"))).select(*leaves.columns))
         if level == 0:
             leaves = leaves.join(sigs, "doc")
-        near = leaves.select("node", "doc", "sig").repartition("node").sortWithinPartitions("node").mapInArrow(lean(_pairs), "a long, b long")
-        edges = edges.unionByName(near)
+        small_nodes.append(leaves.select("node", "doc", "sig"))
         if level == depth or not big.limit(1).count():
             break
         pivots = big.groupBy("node").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc")).alias("p")).select("node", F.col("p.doc").alias("pivot"))
@@ -222,7 +222,9 @@ def candidates(reps: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataF
         split = materialize(met.mapInArrow(lean(_pivots), "doc long, sig binary, pivot long, next array<long>"), "split")
         edges = edges.unionByName(split.where("pivot is not null and pivot <> doc").select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
         rows = split.where("size(next) > 0").select("doc", "sig", F.explode("next").alias("node"))
-    return edges
+    # the small nodes of all levels are compared in one pass
+    near = reduce(DataFrame.unionByName, small_nodes).repartition("node").sortWithinPartitions("node").mapInArrow(lean(_pairs), "a long, b long")
+    return edges.unionByName(near)
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
