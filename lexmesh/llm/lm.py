@@ -4,10 +4,11 @@ Counts of all training tokens are summed by hash over the whole corpus. A
 log-bilinear model (Mnih and Hinton, 2007) predicts a token's item, one of the
 most frequent words or "other", from the two items before it; it is trained in
 numpy by noise-contrastive estimation (Gutmann and Hyvarinen, 2010; Mnih and Teh,
-2012) on tokens of a bounded sample of training documents (a parameter). Batched
-matrix products then give the normaliser of every pair of items, so that the
-probabilities sum to one; a word within "other" has its smoothed share of the
-counts. Scoring is table look-ups.
+2012) on all training documents: first in the driver on a bounded sample, which is
+the start of every task's pass over all tokens of its documents; the tasks' models
+are averaged by tokens (McDonald et al., 2010). Batched matrix products then give
+the normaliser of every pair of items, so that the probabilities sum to one; a
+word within "other" has its smoothed share of the counts. Scoring is table look-ups.
 
 Frequent words' counts travel with the tasks (a bounded table). Other words go,
 packed, to the task that holds their counts, and come back as sums per document.
@@ -27,8 +28,10 @@ from pyspark.sql import functions as F
 from .common import LOWER, SOLID, column_bytes, crc_mod, lean, materialize, mix64, prefix_hash, shuffle_partitions, slices, span_hash, tune, word_spans
 
 END = np.uint64(0x0123456789ABCDEF)
-#: Items of the neural model; words whose counts are broadcast; tokens that train.
+#: Items of the neural model at least; words whose counts are broadcast; tokens that train the start.
 ITEMS, FREQUENT, TRAIN_TOKENS = 512, 1 << 16, 1_500_000
+#: One item for so many distinct words, and items at most: the tables have items squared values.
+WORDS_PER_ITEM, MOST_ITEMS = 16, 2048
 SMOOTH = 0.1
 
 COUNT = np.dtype([("h", "<u8"), ("c", "<u8")])
@@ -147,49 +150,68 @@ def contexts(items: np.ndarray, rows: np.ndarray, start: int) -> tuple[np.ndarra
     return two, one
 
 
-def train_items(two: np.ndarray, one: np.ndarray, item: np.ndarray, noise: np.ndarray, size: int = 24, k: int = 12, epochs: int = 3, batch: int = 4096, rate: float = 0.15, seed: int = 11) -> tuple[np.ndarray, ...]:
-    """Noise-contrastive estimation of a log-bilinear model with AdaGrad: (words, c_two, c_one, targets, bias).
+def _sums(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """The sum of the rows of each of n places."""
+    size = rows.shape[1]
+    return np.bincount((at[:, None] * size + np.arange(size)).ravel(), rows.ravel(), n * size).reshape(n, size).astype(rows.dtype)
+
+
+class Trainer:
+    """Noise-contrastive estimation of a log-bilinear model with AdaGrad; params are (words, c_two, c_one, targets, bias).
 
     noise is the items' distribution, from which k noise items a token are drawn.
     """
-    rng = np.random.default_rng(seed)
-    n = len(noise)
-    words, targets = rng.normal(0, 0.1, (n + 1, size)), rng.normal(0, 0.1, (n, size))
-    c2, c1, bias = np.eye(size) * 0.5, np.eye(size), np.log(noise)
-    params = [words, c2, c1, targets, bias]
-    memory = [np.full(p.shape, 1e-2) for p in params]
-    log_noise = np.log(k * noise)
-    cumulative = np.cumsum(noise)
-
-    def step(i: int, grad: np.ndarray) -> None:
-        memory[i] += grad * grad
-        params[i] -= rate * grad / np.sqrt(memory[i])
 
-    for _ in range(epochs):
-        order = rng.permutation(len(item))
+    def __init__(self, noise: np.ndarray, size: int = 24, k: int = 12, rate: float = 0.15, seed: int = 11) -> None:
+        self.noise, self.k, self.rate, self.rng = noise, k, rate, np.random.default_rng(seed)
+        n = len(noise)
+        words, targets = self.rng.normal(0, 0.1, (n + 1, size)), self.rng.normal(0, 0.1, (n, size))
+        self.params = [words, np.eye(size) * 0.5, np.eye(size), targets, np.log(noise)]
+        self.memory = [np.full(p.shape, 1e-2) for p in self.params]
+        self.log_noise, self.cumulative = np.log(k * noise), np.cumsum(noise)
+
+    def copy(self, seed: int) -> Trainer:
+        """In single precision, with its own random numbers; goes on from here."""
+        out = Trainer.__new__(Trainer)
+        out.noise, out.k, out.rate, out.rng, out.cumulative = self.noise, self.k, self.rate, np.random.default_rng(seed), self.cumulative
+        out.params, out.memory = ([p.astype(np.float32) for p in x] for x in (self.params, self.memory))
+        out.log_noise = self.log_noise.astype(np.float32)
+        return out
+
+    def learn(self, two: np.ndarray, one: np.ndarray, item: np.ndarray, batch: int = 4096) -> None:
+        """One pass over tokens in random order."""
+        order = self.rng.permutation(len(item))
         for b in range(0, len(order), batch):
             o = order[b : b + batch]
-            r2, r1 = words[two[o]], words[one[o]]
-            q = r2 @ c2 + r1 @ c1
-            # one set of noise items serves the batch, each weighed k / len(set)
-            drawn = np.searchsorted(cumulative, rng.random(256)).clip(0, n - 1)
-            good = (q * targets[item[o]]).sum(1) + bias[item[o]]
-            bad = q @ targets[drawn].T + bias[drawn]
-            weight = k / len(drawn)
-            g_good = -1 / (1 + np.exp(np.clip(good - log_noise[item[o]], -30, 30)))
-            g_bad = weight / (1 + np.exp(np.clip(-(bad - log_noise[drawn]), -30, 30)))
-            m = len(o)
-            dq = (g_good[:, None] * targets[item[o]] + g_bad @ targets[drawn]) / m
-            dt, db, dw = np.zeros_like(targets), np.zeros_like(bias), np.zeros_like(words)
-            np.add.at(dt, item[o], g_good[:, None] * q / m)
-            np.add.at(dt, drawn, g_bad.T @ q / m)
-            np.add.at(db, item[o], g_good / m)
-            np.add.at(db, drawn, g_bad.sum(0) / m)
-            np.add.at(dw, two[o], dq @ c2.T)
-            np.add.at(dw, one[o], dq @ c1.T)
-            for i, g in enumerate((dw, r2.T @ dq, r1.T @ dq, dt, db)):
-                step(i, g)
-    return words, c2, c1, targets, bias
+            self._step(two[o], one[o], item[o])
+
+    def _step(self, two: np.ndarray, one: np.ndarray, item: np.ndarray) -> None:
+        words, c2, c1, targets, bias = self.params
+        n, m = len(self.noise), len(item)
+        r2, r1 = words[two], words[one]
+        q = r2 @ c2 + r1 @ c1
+        # one set of noise items serves the batch, each weighed k / len(set)
+        drawn = np.searchsorted(self.cumulative, self.rng.random(256)).clip(0, n - 1)
+        good = (q * targets[item]).sum(1) + bias[item]
+        bad = q @ targets[drawn].T + bias[drawn]
+        weight = self.k / len(drawn)
+        g_good = -1 / (1 + np.exp(np.clip(good - self.log_noise[item], -30, 30)))
+        g_bad = weight / (1 + np.exp(np.clip(self.log_noise[drawn] - bad, -30, 30)))
+        dq = (g_good[:, None] * targets[item] + g_bad @ targets[drawn]) / m
+        dt = _sums(np.concatenate([item, drawn]), np.concatenate([g_good[:, None] * q, g_bad.T @ q]) / m, n)
+        db = np.bincount(np.concatenate([item, drawn]), np.concatenate([g_good, g_bad.sum(0)]) / m, n).astype(bias.dtype)
+        dw = _sums(np.concatenate([two, one]), np.concatenate([dq @ c2.T, dq @ c1.T]), n + 1)
+        for i, grad in enumerate((dw, r2.T @ dq, r1.T @ dq, dt, db)):
+            self.memory[i] += grad * grad
+            self.params[i] -= self.rate * grad / np.sqrt(self.memory[i])
+
+
+def train_items(two: np.ndarray, one: np.ndarray, item: np.ndarray, noise: np.ndarray, size: int = 24, k: int = 12, epochs: int = 3, batch: int = 4096, rate: float = 0.15, seed: int = 11) -> tuple[np.ndarray, ...]:
+    """(words, c_two, c_one, targets, bias) after some passes over the tokens."""
+    trainer = Trainer(noise, size, k, rate, seed)
+    for _ in range(epochs):
+        trainer.learn(two, one, item, batch)
+    return tuple(trainer.params)
 
 
 def tables(words: np.ndarray, c2: np.ndarray, c1: np.ndarray, targets: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -202,13 +224,16 @@ def tables(words: np.ndarray, c2: np.ndarray, c1: np.ndarray, targets: np.ndarra
     return first, second, np.log(np.maximum(e1 @ e2.T, 1e-30)) + m1[:, None] + m2[None, :]
 
 
-def fit(docs: DataFrame, text_col: str, id_col: str, counts: DataFrame, items: int = ITEMS, frequent: int = FREQUENT, train_tokens: int = TRAIN_TOKENS) -> Model:
-    """Learn from the rows of docs (all of them training rows) with their counted tokens."""
+def fit(docs: DataFrame, text_col: str, id_col: str, counts: DataFrame, items: int | None = None, frequent: int = FREQUENT, train_tokens: int = TRAIN_TOKENS, epochs: int = 3) -> Model:
+    """Learn from the rows of docs (all of them training rows) with their counted tokens.
+
+    Without a number of items, it grows with the distinct words.
+    """
     totals = counts.agg(F.sum("n_tokens").alias("n"), F.sum("n_distinct").alias("v"), F.count("*").alias("parts")).first()
     total, distinct = totals.n or 0, totals.v or 0
     rows = counts.select(F.explode("top").alias("t")).select("t.h", "t.c").orderBy(F.desc("c"), "h").limit(frequent).toArrow()
     keys, c = rows.column("h").to_numpy().view(np.uint64), rows.column("c").to_numpy()
-    m = min(items, len(keys))
+    m = min(items or min(MOST_ITEMS, max(ITEMS, distinct // WORDS_PER_ITEM)), len(keys))
     item = np.full(len(keys), m)
     item[:m] = np.arange(m)
     share = np.concatenate([c[:m].astype(float), [max(1.0, total - c[:m].sum())]])
@@ -224,18 +249,54 @@ def fit(docs: DataFrame, text_col: str, id_col: str, counts: DataFrame, items: i
             two, one = contexts(got, at, m + 1)
             yield pa.RecordBatch.from_arrays([pa.array([np.stack([two, one, got]).astype(np.int16).tobytes()], pa.binary())], ["seen"])
 
-    # whole documents, chosen by a hash of the id, with about train_tokens tokens in all
+    # whole documents, chosen by a hash of the id, with about train_tokens tokens in all, train the start
     picked = F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(min(1.0, train_tokens / max(1, total)) * (1 << 20)) + 1
     packed = docs.where(picked).select(text_col).mapInArrow(lean(stream), "seen binary").toArrow().column("seen").to_pylist()
     two, one, got = np.concatenate([np.frombuffer(x, np.int16).reshape(3, -1) for x in packed] or [np.zeros((3, 0), np.int16)], axis=1).astype(np.int64)
-    learned = train_items(two, one, got, noise)
+    trainer = Trainer(noise)
+    for _ in range(epochs):
+        trainer.learn(two, one, got)
+    learned = trainer.params
+    if total > train_tokens:
+        learned = _train_all(docs.select(text_col), known, trainer)
     # row m of the words is "other", row m + 1 the start; a target is never the start
     words = np.concatenate([learned[0], np.zeros((m + 2 - len(learned[0]), learned[0].shape[1]))])
     known.first, known.second, known.normaliser = tables(words, *learned[1:])
     return known
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items: int = ITEMS, frequent: int = FREQUENT, train_tokens: int = TRAIN_TOKENS) -> DataFrame:
+def _train_all(texts: DataFrame, known: Model, start: Trainer, most: int = 1 << 18) -> list[np.ndarray]:
+    """The average by tokens of the models that go on from `start`, one a task, over all tokens of all texts."""
+    sent = texts.sparkSession.sparkContext.broadcast((known, start))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, begin = sent.value
+        trainer, held, waiting, n = begin.copy(TaskContext.get().partitionId()), [], 0, 0
+        for _, _, _, h, at in _texts(batches, 0):
+            got = model.items(h)
+            held.append(np.stack([*contexts(got, at, model.other + 1), got]))
+            waiting += len(got)
+            if waiting >= most:
+                trainer.learn(*np.concatenate(held, axis=1))
+                n, waiting = n + waiting, 0
+                held.clear()
+        if waiting:
+            trainer.learn(*np.concatenate(held, axis=1))
+            n += waiting
+        if n:
+            flat = np.concatenate([p.ravel() for p in trainer.params])
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], ["n", "params"])
+
+    total, seen = np.zeros(sum(p.size for p in start.params)), 0
+    for row in materialize(texts.mapInArrow(lean(run), "n long, params binary"), "trained").toLocalIterator():
+        total += np.frombuffer(row.params, np.float32) * float(row.n)
+        seen += row.n
+    sent.unpersist()
+    cuts = np.cumsum([p.size for p in start.params])[:-1]
+    return [x.reshape(p.shape) for x, p in zip(np.split(total / seen, cuts), start.params, strict=True)]
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items: int | None = None, frequent: int = FREQUENT, train_tokens: int = TRAIN_TOKENS) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of docs.
 
     Rows with crc32(id) % 10 = 0 are held out, all others train; a null id trains. A

@@ -321,6 +321,15 @@ def test_item_probabilities_sum_to_one_and_learn():
     assert np.log(p[two, one, item]).mean() > np.log(1 / n) + 1
 
 
+def test_sequences_outside_the_start_sample_train(spark):
+    rng = random.Random(5)
+    cycle = [f"w{i}" for i in range(8)]
+    rows = [(i, " ".join(cycle[(j + k) % 8] for j in range(1000))) for i in range(400) for k in [rng.randrange(8)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = [(r.score - r.base_score) / r.n_tokens for r in lm.score(df, train_tokens=1).where("held_out").collect()]
+    assert min(got) > 0.3  # each word follows from the one before it; no document is in the sample
+
+
 def test_language_model_edges(none, spark):
     assert lm.score(none).collect() == []
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
