@@ -23,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, column_bytes, crc_mod, lean, prefix_hash, slices, span_hash, tune, word_spans
+from .common import ALNUM, LOWER, column_bytes, crc_mod, lean, materialize, prefix_hash, slices, span_hash, tune, word_spans
 
 STEMS = (4, 5, 6)
 #: Documents that the Dirichlet prior of a feature is worth, spread by its frequency.
 PRIOR = 10.0
+#: Different words before a feature that are enough, however often it occurs.
+CONTEXTS = 32
 
 
 def _features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
@@ -125,7 +127,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, most_fe
     share = min(1.0, sample_rows / max(1, known.count()))
     some = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
     tune(spark)
-    train = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("toxic", "text")
+    # equal texts count once, so that a copied text weighs no more than another
+    train = materialize(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("toxic", "text").dropDuplicates(), "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -173,8 +176,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, most_fe
 def _diverse(train: DataFrame, keys: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The features whose toxic occurrences follow many different words.
 
-    Copies of one toxic text repeat its harmless words as well, but always in the
-    same places; a toxic word comes after any word.
+    Near copies of one toxic text repeat its harmless words as well, but always in
+    the same places; a toxic word comes after any word. As different words run out
+    in large samples, CONTEXTS of them are enough.
     """
     order = np.argsort(keys)
     keys, scores = keys[order], scores[order]
@@ -193,7 +197,7 @@ def _diverse(train: DataFrame, keys: np.ndarray, scores: np.ndarray) -> tuple[np
                     pick = maybe[(keys[at] == h[maybe]) & (toxic[doc[maybe]] == 1)]
                     yield pa.RecordBatch.from_arrays([pa.array(h[pick].view(np.int64)), pa.array(before[pick].view(np.int64))], ["h", "before"])
 
-    got = train.mapInArrow(lean(contexts), "h long, before long").groupBy("h", "before").agg(F.count("*").alias("n")).groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).where((F.col("kinds") >= 3) & (2 * F.col("kinds") >= F.col("n"))).select("h").toPandas()
+    got = train.mapInArrow(lean(contexts), "h long, before long").groupBy("h", "before").agg(F.count("*").alias("n")).groupBy("h").agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).where((F.col("kinds") >= 3) & ((2 * F.col("kinds") >= F.col("n")) | (F.col("kinds") >= CONTEXTS))).select("h").toPandas()
     keep = np.isin(keys, got["h"].to_numpy(np.int64).view(np.uint64))
     return keys[keep], scores[keep]
 

@@ -337,6 +337,19 @@ def test_language_model_edges(none, spark):
     assert (r.n_tokens, r.n_known, r.train_tokens) == (3, 0, 0)
 
 
+@pytest.mark.parametrize(("copies", "kinds", "others"), [(300, 60, 60), (0, 40, 400)])
+def test_toxic_words_survive_copies_and_saturation(spark, copies, kinds, others):
+    rng = random.Random(4)
+    plain = lambda: [f"p{rng.randrange(60)}" for _ in range(12)]
+    texts = [(1, "what a total idiot went home")] * copies
+    texts += [(1, " ".join([*plain(), f"k{i % kinds}", "idiot", *plain()])) for i in range(others)]
+    texts += [(0, " ".join([*plain(), f"k{i % kinds}", *plain()])) for i in range(600)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame([(i, y) for i, (y, _) in enumerate(texts)], "doc_id long, toxic int"))
+    ask = spark.createDataFrame([(1, "p1 p2 p3 idiot p4 p5"), (2, "p1 p2 home total p4 p5")], "doc_id long, text string")
+    assert {r.doc_id: r.predicted for r in toxicity.score(ask, model).collect()} == {1: 1, 2: 0}
+
+
 # ------------------------------------------------------------------ quality
 
 
