@@ -8,6 +8,8 @@ without a rule is blocked if its distrust exceeds its trust.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 DAMPING = 0.85
+#: Change of any host's mass over CUT rounds, as a share of it, at which propagation ends.
+TOLERANCE = 1e-6
+#: Rounds of the SQL, which can't test for the end.
 ROUNDS = 8
 #: Rounds between two written tables.
 CUT = 4
@@ -54,21 +59,28 @@ def host_edges(pages: DataFrame, html_col: str) -> DataFrame:
     return links.unionByName(family).groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
     """(host, kind, mass): personalised PageRank of each kind of seed.
 
     edges has (kind, src, dst, share), shares of a source and kind sum to 1;
     seeds has (kind, host, mass). The mass of a host without links is lost,
     which scales all hosts of a kind alike. Each round is a join on (kind, host)
-    and a sum by it; every few rounds are written, so lineage stays short.
+    and a sum by it; every few rounds are written, so lineage stays short. Without
+    a number of rounds, they end when no host is new and no mass changes by more
+    than TOLERANCE of itself.
     """
     start = seeds.select("kind", "host", "mass")
-    mass = start
-    for k in range(1, rounds + 1):
+    mass = before = start
+    for k in itertools.count(1) if rounds is None else range(1, rounds + 1):
         moved = mass.withColumnRenamed("host", "src").join(edges, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass"))
         mass = moved.unionByName(start.withColumn("mass", F.col("mass") * (1 - damping))).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
         if k % CUT == 0 or k == rounds:
             mass = materialize(mass, "mass")
+            if rounds is None:
+                was = before.select("kind", "host", F.col("mass").alias("was"))
+                if not mass.join(was, ["kind", "host"], "left").where(F.abs(F.col("mass") - F.coalesce("was", F.lit(0.0))) > TOLERANCE * F.col("mass")).limit(1).count():
+                    break
+                before = mass
     return mass
 
 

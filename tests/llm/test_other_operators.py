@@ -66,6 +66,13 @@ def test_distrust_flows_against_links_and_trust_along_them(spark):
     assert got == {1: "allow", 2: "block", 3: "block", 4: "allow", 5: "allow"}
 
 
+def test_distrust_reaches_the_start_of_a_long_chain(spark):
+    hosts = [f"h{i}.org" for i in range(12)] + ["bad.net"]
+    rows = [(i, f"http://{a}/", f'<a href="//{b}/x">x</a>') for i, (a, b) in enumerate(zip(hosts, hosts[1:], strict=False))] + [(99, "http://bad.net/es/1", "")]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.verdict for r in got} == {"block"}
+
+
 def test_mass_is_personalised_pagerank(spark):
     e = [("t", "a", "b", 1.0), ("t", "b", "a", 0.5), ("t", "b", "c", 0.5)]
     got = {r.host: r.mass for r in urls.propagate(spark.createDataFrame(e, "kind string, src string, dst string, share double"), spark.createDataFrame([("t", "a", 1.0)], "kind string, host string, mass double"), rounds=6).collect()}
