@@ -20,20 +20,68 @@ from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch: texts can be long, so batches hold few of them.
 ARROW_ROWS = 1000
+#: Bytes in an Arrow batch, in which one longer row still comes whole.
+ARROW_BYTES = 8 << 20
+#: Bytes of input for which one part of packed records is made.
+PART_BYTES = 16 << 20
 #: Bytes of text that the numpy kernels handle at once.
 SLICE_BYTES = 1 << 20
 
 
 def tune(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small enough for a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    """Keep Arrow batches of whole texts small enough for a Python worker, by rows and by bytes.
+
+    The settings hold for the session from then on, as results are computed later;
+    smaller settings of the caller stay.
+    """
+    for key, most in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
+        now = int(spark.conf.get(f"spark.sql.execution.arrow.{key}").rstrip("bB"))
+        if not 0 < now <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that df reads (sources that don't know their size count as empty)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(x for x in sizes if x < 1 << 60)
+
+
+def parts_for(df: DataFrame, each: int = PART_BYTES) -> int:
+    """Parts in which packed records of df are dealt: they grow with the input, so that a part never does."""
+    return max(shuffle_partitions(df.sparkSession), -(-input_bytes(df) // each))
+
+
+def by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
+    """(part, its rows) of batches whose first column is ascending: one part is held at a time."""
+    now, held = -1, []
+    for batch in batches:
+        pid = batch.column(0).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(pid)) + 1).tolist(), len(pid)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b:
+                continue
+            if held and pid[a] != now:
+                yield now, held
+                held = []
+            now = int(pid[a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield now, held
+
+
+def dealt(sent: DataFrame, parts: int, key: str = "pid") -> DataFrame:
+    """sent by part, each part's rows together: what by_part reads."""
+    return sent.repartition(parts, key).sortWithinPartitions(key)
+
+
 _own_root: list[str] = []
+#: Tables written by materialize, in order.
+written: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -60,13 +108,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete the tables that operators have written; their results can't be read afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/tables")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def drop_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete these tables, or all that operators have written; results that read them can't be read afterwards."""
+    for place in [f"{shared_root(spark)}/tables"] if paths is None else paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    written[:] = [] if paths is None else [x for x in written if x not in paths]
 
 
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -89,6 +140,19 @@ def crc_mod(col, n: int):
     return F.crc32(F.col(col).cast("string").cast("binary")) % F.lit(n)
 
 
+def labelled_sample(labels: DataFrame, label: str, rows: int, id_col: str = "doc_id") -> DataFrame:
+    """(id, label) of at most `rows` labelled ids, chosen by a hash of the id; few enough to be broadcast.
+
+    Ids and labels that are null are left out, and so are ids with both labels.
+    """
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull()).groupBy(id_col).agg(F.min(F.col(label).cast("int")).alias(label), F.max(F.col(label).cast("int")).alias("_other"))
+    known = known.where(F.col(label) == F.col("_other")).drop("_other")
+    # the limit is met by the smallest hashes: the rows before it are cut to about twice as many by their share
+    share = min(1.0, 2 * rows / max(1, known.count()))
+    some = known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 40)) <= int(share * (1 << 40)))
+    return some.orderBy(F.xxhash64(id_col), id_col).limit(rows)
+
+
 # ---------------------------------------------------------------- numpy on bytes
 
 

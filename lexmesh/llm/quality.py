@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import labelled_sample
+
 #: White space of the word definition, and the counted symbols.
 SPACE = " \t\n\x0b\x0c\r"
 WORD_GAP = r"[\x20\x09-\x0D]+"
@@ -188,14 +190,12 @@ def base_failed() -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> list[Rule]:
-    """Rules from about `sample_rows` labelled documents at most, chosen by a hash of the id.
+    """Rules from `sample_rows` labelled documents at most, chosen by a hash of the id.
 
     The sample's ids are few, so they are broadcast and no text is shuffled. Rows
-    whose id or label is null teach nothing.
+    whose id or label is null teach nothing, nor do ids with both labels.
     """
-    known = labels.where("doc_id is not null and quality is not null").select("doc_id", "quality").dropDuplicates(["doc_id"])
-    share = min(1.0, sample_rows / max(1, known.count()))
-    some = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    some = labelled_sample(labels, "quality", sample_rows)
     stats = statistics(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id"), keep=("doc_id", "quality"))
     got = stats.select("doc_id", "quality", *TESTED).toPandas().sort_values(["doc_id", *TESTED], kind="stable")
     return learn_rules(got[TESTED].to_numpy(float), (got["quality"].to_numpy() == 0).astype(int), TESTED)

@@ -20,6 +20,11 @@ Three things keep the passes far below the size of the text:
 
 The passes send packed records by hash, and each task first merges equal ones
 that it holds, so a string in a third of all documents comes once from each task.
+There is one part for so many bytes of input, and a task takes its parts one by one.
+
+Windows are equal if two independent 64-bit hashes are; segments are if the hashes
+of their anchor and of their content are. At n strings that share an anchor, about
+n*n/2^65 false pairs of segments are expected, and n*n/2^129 of windows.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, column_bytes, lean, materialize, mix64, prefix_hash, ragged, shuffle_partitions, slices, span_hash, spread, tune
+from .common import binary_array, by_part, column_bytes, dealt, lean, materialize, mix64, parts_for, prefix_hash, ragged, slices, span_hash, spread, tune
 
 WIDTH = 200
 ANCHOR = 64
@@ -43,7 +48,7 @@ MESSAGE = 1 << 18
 SEGMENT = np.dtype([("h", "<u8"), ("sig", "<u8"), ("did", "<i8"), ("th", "<i4"), ("start", "<u4"), ("n", "<u2"), ("state", "u1")])
 PLACE = np.dtype([("h", "<u8"), ("start", "<u4"), ("n", "<u2"), ("state", "u1")])
 CONTENT = np.dtype([("h", "<u8"), ("did", "<i8"), ("th", "<i4"), ("start", "<u4"), ("n", "<u2"), ("state", "u1")])
-WINDOW = np.dtype([("w", "<u8"), ("did", "<i8"), ("th", "<i4"), ("start", "<u4"), ("n", "<u2"), ("state", "u1")])
+WINDOW = np.dtype([("w", "<u8"), ("v", "<u8"), ("did", "<i8"), ("th", "<i4"), ("start", "<u4"), ("n", "<u2"), ("state", "u1")])
 RUN = np.dtype([("start", "<u4"), ("n", "<u2")])
 OF_DOCUMENT = [("did", "<i8"), ("th", "<i4"), ("state", "u1")]
 ONE, SETTLED, MANY = 0, 1, 2  # states sent: one occurrence; nothing to ask; occurs again in the sending task
@@ -126,9 +131,10 @@ def _messages(records: np.ndarray, key: str, parts: int) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([pa.array([pid[i]], pa.int32()), pa.array([records[i:j].tobytes()], pa.binary())], ["pid", "blob"])
 
 
-def _received(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> np.ndarray:
-    got = [np.frombuffer(x, kind) for batch in batches for x in batch.column(1).to_pylist()]
-    return np.concatenate(got) if got else np.zeros(0, kind)
+def _received(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[np.ndarray]:
+    """The records of each part."""
+    for _, rows in by_part(batches):
+        yield np.concatenate([np.frombuffer(x, kind) for batch in rows for x in batch.column(1).to_pylist()])
 
 
 def _runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -161,19 +167,20 @@ def _same_windows(heads: np.ndarray, body: np.ndarray, width: int) -> tuple[np.n
     held: list[np.ndarray] = []
     weight = 0
     groups = np.split(order, cuts)
-    for k, some in enumerate(groups):  # whole buckets, some megabytes at a time
+    for k, some in enumerate(groups):  # whole buckets, a megabyte at a time
         held.append(some)
         weight += int(size[some].sum())
-        if weight > 4 << 20 or k == len(groups) - 1:
+        if weight > 1 << 20 or k == len(groups) - 1:
             x = np.concatenate(held)
             held, weight = [], 0
             text = ragged(body, first[x], size[x])
             at = np.repeat(np.cumsum(size[x]) - size[x], n[x]) + spread(n[x])
             pre, down = prefix_hash(text)
             w = span_hash(pre, down, at, at + width)
+            pre, down = prefix_hash(text, 1)
             owner = np.repeat(x, n[x])
             place = heads["start"][owner] + spread(n[x]).astype(np.uint32)
-            o, g = _groups(heads["h"][owner], w)
+            o, g = _groups(w, span_hash(pre, down, at, at + width))
             hit = np.zeros(len(w), bool)
             hit[o] = (np.bincount(g) > 1)[g]
             hit &= heads["state"][owner] == OPEN
@@ -190,9 +197,9 @@ def _same_windows(heads: np.ndarray, body: np.ndarray, width: int) -> tuple[np.n
 def _windows(r: np.ndarray) -> np.ndarray:
     """Windows of hot buckets: one of each hash asks for all that a task holds; the rest is settled, in runs."""
     gives = r["state"] >= 8
-    order = np.lexsort((gives, r["w"]))  # those that need an answer first
+    order = np.lexsort((gives, r["v"], r["w"]))  # those that need an answer first
     r, gives = r[order], gives[order]
-    new = np.concatenate([[True], r["w"][1:] != r["w"][:-1]])
+    new = np.concatenate([[True], (r["w"][1:] != r["w"][:-1]) | (r["v"][1:] != r["v"][:-1])])
     several = (np.bincount(np.cumsum(new) - 1) > 1)[np.cumsum(new) - 1]
     r["state"] = np.where(several & new, np.where(gives, MANY + 8, MANY), np.where(several, SETTLED, np.where(gives, ONE + 8, ONE)))
     r = r[~(several & ~new & gives)]
@@ -215,18 +222,16 @@ def _to_document(did: np.ndarray, th: np.ndarray, places: np.ndarray, parts: int
 
 def _by_document(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[pa.RecordBatch]:
     """One row (did, th, places) per document from such messages."""
-    r = _received(batches, np.dtype(OF_DOCUMENT + [("place", kind)]))
-    did, th, places = (np.ascontiguousarray(r[k]) for k in ("did", "th", "place"))
-    if not len(did):
-        return
-    order, group = _groups(did, th)
-    first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    rows = np.concatenate([first, [len(order)]])
-    for i in range(0, len(first), 20_000):
-        a, b = rows[i], rows[min(i + 20_000, len(first))]
-        r = rows[i : min(i + 20_000, len(first)) + 1] - a
-        f = order[first[i : i + 20_000]]
-        yield pa.RecordBatch.from_arrays([pa.array(did[f]), pa.array(th[f]), binary_array(r, places[order[a:b]])], ["_did", "_th", "_places"])
+    for r in _received(batches, np.dtype(OF_DOCUMENT + [("place", kind)])):
+        did, th, places = (np.ascontiguousarray(r[k]) for k in ("did", "th", "place"))
+        order, group = _groups(did, th)
+        first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        rows = np.concatenate([first, [len(order)]])
+        for i in range(0, len(first), 20_000):
+            a, b = rows[i], rows[min(i + 20_000, len(first))]
+            offs = rows[i : min(i + 20_000, len(first)) + 1] - a
+            f = order[first[i : i + 20_000]]
+            yield pa.RecordBatch.from_arrays([pa.array(did[f]), pa.array(th[f]), binary_array(offs, places[order[a:b]])], ["_did", "_th", "_places"])
 
 
 def _covered(n: int, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,28 +267,28 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A byte is removed if a string of `width` bytes that covers it starts anywhere
     else, in the same document or another; strings never cross documents. kept_text
-    is what remains, read as UTF-8 (a cut character becomes U+FFFD).
+    is what remains, read as UTF-8 (a cut character becomes U+FFFD). A column of
+    keep_cols that has the name of the id or of a result column is left out.
 
     A null text is empty, and texts shorter than `width` lose nothing; a null id
     is an id like any other; rows that repeat are documents of their own, so
     their texts of `width` bytes or more are removed whole; an empty table
     gives no rows; other columns are ignored. A document's text must be under 4 GB.
     """
-    spark = docs.sparkSession
-    tune(spark)
-    parts = shuffle_partitions(spark)
+    tune(docs.sparkSession)
+    parts = parts_for(docs)
     k = min(ANCHOR, max(1, width // 2))
-    id_kind = docs.schema[id_col].dataType.simpleString()
-    cols = [id_col, *[c for c in keep_cols if c != id_col]]
-    base = docs.select(*cols, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    base = base.withColumn("_did", F.xxhash64(F.col(id_col))).withColumn("_th", F.hash("_text"))
+    kept = [c for c in keep_cols if c not in (id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")]
+    base = docs.select(F.col(id_col).alias("_id"), *[F.struct(*kept).alias("_keep")] * bool(kept), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    base = base.withColumn("_did", F.xxhash64("_id")).withColumn("_th", F.hash("_text"))
+    cols = ["_id", *["_keep"] * bool(kept)]
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
             offsets, data = column_bytes(batch.column(2))
             did, th = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, MOST):
                 for i, j in _chunks(int(offsets[a]), int(offsets[b]), width):
                     got = anchors(data[i:j], np.clip(offsets[a : b + 1], i, j) - i, width, k)
                     row = got["did"] + a
@@ -298,32 +303,32 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield from _messages(_combine(np.concatenate(held), ("h", "sig")), "h", parts)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = _received(batches, SEGMENT)
-        place = np.zeros(len(r), PLACE)
-        place["h"], place["start"], place["n"] = r["h"], r["start"], r["n"]
-        ask = np.flatnonzero(r["state"] != SETTLED)
-        use = r["state"] == SETTLED
-        if len(ask):
-            s = r[ask]
-            order, group = _groups(s["h"], s["sig"])
-            s, ask = s[order], ask[order]
-            repeated = (np.bincount(group) > 1) | (np.bincount(group, s["state"] == MANY) > 0)
-            first = np.concatenate([[True], group[1:] != group[:-1]])
-            heads = np.flatnonzero(first)
-            anchor = np.concatenate([[0], np.cumsum(s["h"][heads][1:] != s["h"][heads][:-1])])
-            kinds = np.bincount(anchor)[anchor]
-            shared = kinds > 1  # the anchor has other contents as well
-            state = np.where(repeated[group], np.where(shared[group] & first, GIVES, DONE), OPEN)
-            state = np.where((kinds > HOT)[group] & (state != DONE), state + (HOT_OPEN - OPEN), state)
-            use[ask] = repeated[group] | shared[group]
-            place["state"][ask] = state
-        yield from _to_document(r["did"][use], r["th"][use], place[use], parts)
+        for r in _received(batches, SEGMENT):
+            place = np.zeros(len(r), PLACE)
+            place["h"], place["start"], place["n"] = r["h"], r["start"], r["n"]
+            ask = np.flatnonzero(r["state"] != SETTLED)
+            use = r["state"] == SETTLED
+            if len(ask):
+                s = r[ask]
+                order, group = _groups(s["h"], s["sig"])
+                s, ask = s[order], ask[order]
+                repeated = (np.bincount(group) > 1) | (np.bincount(group, s["state"] == MANY) > 0)
+                first = np.concatenate([[True], group[1:] != group[:-1]])
+                heads = np.flatnonzero(first)
+                anchor = np.concatenate([[0], np.cumsum(s["h"][heads][1:] != s["h"][heads][:-1])])
+                kinds = np.bincount(anchor)[anchor]
+                shared = kinds > 1  # the anchor has other contents as well
+                state = np.where(repeated[group], np.where(shared[group] & first, GIVES, DONE), OPEN)
+                state = np.where((kinds > HOT)[group] & (state != DONE), state + (HOT_OPEN - OPEN), state)
+                use[ask] = repeated[group] | shared[group]
+                place["state"][ask] = state
+            yield from _to_document(r["did"][use], r["th"][use], place[use], parts)
 
     sent = base.select("_did", "_th", "_text").mapInArrow(lean(first_pass), "pid int, blob binary")
-    settled = sent.repartition(parts, "pid").mapInArrow(lean(settle), "pid int, blob binary")
-    lists = settled.repartition(parts, "pid").mapInArrow(lean(lambda batches: _by_document(batches, PLACE)), "_did long, _th int, _places binary")
+    settled = dealt(sent, parts).mapInArrow(lean(settle), "pid int, blob binary")
+    lists = dealt(settled, parts).mapInArrow(lean(lambda batches: _by_document(batches, PLACE)), "_did long, _th int, _places binary")
     joined = base.join(lists, ["_did", "_th"], "left")
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in cols)
+    kinds = ", ".join(f"{c} {base.schema[c].dataType.simpleString()}" for c in cols)
     done_kind = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string"
     where = len(cols)
 
@@ -383,40 +388,43 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 if hot.any():
                     q = p[hot]
                     at = np.repeat(q["start"].astype(np.int64), q["n"]) + spread(q["n"].astype(np.int64))
-                    pre, down = prefix_hash(text)
                     got = np.zeros(len(at), WINDOW)
-                    got["w"], got["did"], got["th"], got["start"], got["n"] = span_hash(pre, down, at, at + width), did[i], th[i], at, 1
+                    for base, name in enumerate("wv"):
+                        pre, down = prefix_hash(text, base)
+                        got[name] = span_hash(pre, down, at, at + width)
+                    got["did"], got["th"], got["start"], got["n"] = did[i], th[i], at, 1
                     got["state"] = np.repeat(np.where(q["state"] == HOT_GIVES, 8, 0), q["n"])  # a giver's windows need no answer
                     windows.append(got)
-            if sum(map(len, bodies)) + sum(map(len, windows)) * 25 > 8 << 20:
+            if sum(map(len, bodies)) + sum(map(len, windows)) * 33 > 8 << 20:
                 yield from flush()
         yield from flush()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, bodies, windows = [], [], []
-        for batch in batches:
-            for blob, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                if text is None:
-                    windows.append(np.frombuffer(blob, WINDOW))
-                else:
-                    heads.append(np.frombuffer(blob, CONTENT))
-                    bodies.append(np.frombuffer(text, np.uint8))
-        if heads:
-            yield from _to_document(*_same_windows(np.concatenate(heads), np.concatenate(bodies), width), parts)
-        if windows:
-            r = np.concatenate(windows)
-            use = r["state"] == SETTLED
-            ask = np.flatnonzero(~use)
-            if len(ask):
-                order, group = _groups(r["w"][ask])
-                ask = ask[order]
-                repeated = (np.bincount(group) > 1) | (np.bincount(group, (r["state"][ask] & 7) == MANY) > 0)
-                use[ask] = repeated[group] & (r["state"][ask] < 8)
-            yield from _to_document(r["did"][use], r["th"][use], _runs(r["start"][use], r["n"][use]), parts)
+        for _, rows in by_part(batches):
+            heads, bodies, windows = [], [], []
+            for batch in rows:
+                for blob, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                    if text is None:
+                        windows.append(np.frombuffer(blob, WINDOW))
+                    else:
+                        heads.append(np.frombuffer(blob, CONTENT))
+                        bodies.append(np.frombuffer(text, np.uint8))
+            if heads:
+                yield from _to_document(*_same_windows(np.concatenate(heads), np.concatenate(bodies), width), parts)
+            if windows:
+                r = np.concatenate(windows)
+                use = r["state"] == SETTLED
+                ask = np.flatnonzero(~use)
+                if len(ask):
+                    order, group = _groups(r["w"][ask], r["v"][ask])
+                    ask = ask[order]
+                    repeated = (np.bincount(group) > 1) | (np.bincount(group, (r["state"][ask] & 7) == MANY) > 0)
+                    use[ask] = repeated[group] & (r["state"][ask] < 8)
+                yield from _to_document(r["did"][use], r["th"][use], _runs(r["start"][use], r["n"][use]), parts)
 
     asked = open_docs.select("_did", "_th", "_text", "_places").mapInArrow(lean(window_pass), "pid int, blob binary, text binary")
-    answers = asked.repartition(parts, "pid").mapInArrow(lean(answer), "pid int, blob binary")
-    starts = answers.repartition(parts, "pid").mapInArrow(lean(lambda batches: _by_document(batches, RUN)), "_did long, _th int, _starts binary")
+    answers = dealt(asked, parts).mapInArrow(lean(answer), "pid int, blob binary")
+    starts = dealt(answers, parts).mapInArrow(lean(lambda batches: _by_document(batches, RUN)), "_did long, _th int, _starts binary")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -431,11 +439,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     last = open_docs.select(*cols, "_text", "_places", "_did", "_th").join(starts, ["_did", "_th"], "left").select(*cols, "_text", "_places", "_starts").mapInArrow(lean(close), f"{kinds}, {done_kind}")
     out = state.where("_places is null").select(*cols, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text").unionByName(last)
-    return out if with_text else out.drop("kept_text")
+    return out.select(F.col("_id").alias(id_col), *(F.col("_keep")[c].alias(c) for c in kept), "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept_text"] * with_text)
 
 
 #: Bytes that the anchor kernel handles at once (its packed keys hold 24 bits of position).
-MOST = 2 << 20
+MOST = 1 << 18
 
 
 def _chunks(a: int, b: int, width: int) -> Iterator[tuple[int, int]]:

@@ -8,8 +8,9 @@ toxic are kept; all other tokens share one small negative score.
 
 Scoring: every maximal scoring segment of a text is found in one scan (Ruzzo and
 Tompa, 1999). Scores of the best segment follow an extreme-value law in clean
-texts (Karlin and Altschul, 1990), which makes them comparable between texts of
-any length; a logistic curve over the surprise gives the score.
+texts (Karlin and Altschul, 1990), whose rate and location are fitted, which makes
+them comparable between texts of any length; all segments of a text are taken
+together by the law of their sums. A logistic curve over the surprise gives the score.
 """
 
 from __future__ import annotations
@@ -23,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, column_bytes, crc_mod, lean, materialize, prefix_hash, slices, span_hash, tune, word_spans
+from .common import ALNUM, LOWER, column_bytes, crc_mod, labelled_sample, lean, materialize, prefix_hash, slices, span_hash, tune, word_spans
 
 STEMS = (4, 5, 6)
 #: Documents that the Dirichlet prior of a feature is worth, spread by its frequency.
 PRIOR = 10.0
+#: The chance in clean text up to which a segment is a passage of its own.
+SIGNIFICANT = 0.01
 #: Different words before a feature that are enough, however often it occurs.
 CONTEXTS = 32
 
@@ -51,7 +54,7 @@ class Model:
     keys: np.ndarray
     scores: np.ndarray
     other: float = -0.02
-    rate: float = 1.0  # lambda of the extreme-value law
+    rate: float = 1.0  # of the extreme-value law
     log_k: float = 0.0
     weights: tuple[float, float] = (-4.0, 1.0)
 
@@ -70,16 +73,34 @@ class Model:
                 np.maximum.at(best, maybe[hit], self.scores[at[hit]])
         return best
 
-    def surprise(self, top: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """-log of the chance that a clean text of n tokens has a segment of this score."""
-        x = self.rate * top - np.log(n + 1.0) - self.log_k
-        with np.errstate(over="ignore", divide="ignore"):
-            p = -np.expm1(-np.exp(-x))
-        return np.where(x > 30, x, -np.log(np.maximum(p, 1e-300))) * (top > 0)
+    def excess(self, scores: np.ndarray, n: float) -> np.ndarray:
+        """Scores of segments on the scale of the extreme-value law, for a text of n tokens."""
+        return self.rate * np.asarray(scores, float) - math.log(n + 1.0) - self.log_k
+
+    def surprise(self, scores: list[float], n: float) -> float:
+        """-log of the chance that a clean text of n tokens has segments with these scores.
+
+        The best segment alone has the extreme-value law's chance. The r best
+        together are judged by the sum of their excess T (Karlin and Altschul, 1993):
+        exp(-T) T^(r-1) / (r! (r-1)!); each further segment costs a factor 2, as r is
+        chosen to make the text most surprising.
+        """
+        if not len(scores):
+            return 0.0
+        x = np.sort(self.excess(scores, n))[::-1]
+        best = float(x[0]) if x[0] > 30 else -math.log(max(-math.expm1(-math.exp(-float(x[0]))), 1e-300))
+        total = float(x[0])
+        for r, more in enumerate(x[1:].tolist(), 2):
+            if more <= 0:
+                break
+            total += more
+            if total > r:  # where the tail is a tail
+                best = max(best, total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r) - (r - 1) * math.log(2))
+        return best
 
-    def probability(self, top: np.ndarray, n: np.ndarray) -> np.ndarray:
+    def probability(self, surprise: np.ndarray) -> np.ndarray:
         a, b = self.weights
-        return 1 / (1 + np.exp(-np.clip(a + b * self.surprise(top, n), -50, 50)))
+        return 1 / (1 + np.exp(-np.clip(a + b * np.minimum(surprise, 60), -50, 50)))
 
 
 def segments(at: np.ndarray, scores: np.ndarray, other: float) -> list[tuple[int, int, float]]:
@@ -116,16 +137,14 @@ def _documents(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[tuple[p
             yield batch, a, b, rows, _features(part, starts, ends), starts, ends
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, most_features: int = 20_000, z: float = 3.0, least_odds: float = 2.0) -> Model:
-    """A model from about `sample_rows` labelled rows at most, none with crc32(doc_id) % 5 = 0.
+def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, z: float = 3.0, least_odds: float = 2.0) -> Model:
+    """A model from `sample_rows` labelled rows at most, none with crc32(doc_id) % 5 = 0.
 
-    Rows whose id or label is null teach nothing. Without rows of both classes
-    nothing is toxic.
+    Rows whose id or label is null teach nothing, nor do ids with both labels.
+    Without rows of both classes nothing is toxic.
     """
     spark = docs.sparkSession
-    known = labels.where("doc_id is not null and toxic is not null").where(crc_mod("doc_id", 5) != 0).select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
-    share = min(1.0, sample_rows / max(1, known.count()))
-    some = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    some = labelled_sample(labels.where(crc_mod("doc_id", 5) != 0), "toxic", sample_rows)
     tune(spark)
     # equal texts count once, so that a copied text weighs no more than another
     train = materialize(docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("toxic", "text").dropDuplicates(), "labelled")
@@ -163,16 +182,47 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, most_fe
     prior = PRIOR * (F.col("y1") + F.col("y0")) / F.lit(float(n1 + n0)) + 0.5
     odds = lambda y, n: F.log((F.col(y) + prior) / (F.lit(float(n) + PRIOR + 1.0) - F.col(y) - prior))
     scored = counts.where("y1 > 2").withColumn("score", odds("y1", n1) - odds("y0", n0)).withColumn("z", F.col("score") / F.sqrt(1 / (F.col("y1") + prior) + 1 / (F.col("y0") + prior)))
-    top = scored.where((F.col("z") > z) & (F.col("score") > least_odds)).orderBy(F.desc("z"), "h").limit(most_features).select("h", "score").toPandas()
-    top = _diverse(train, top["h"].to_numpy(np.int64).view(np.uint64), top["score"].to_numpy(float))
-    keys, odds_of = top
+    top = scored.where((F.col("z") > z) & (F.col("score") > least_odds)).select("h", "score").toPandas()  # of a bounded sample
+    keys, odds_of = _diverse(train, top["h"].to_numpy(np.int64).view(np.uint64), top["score"].to_numpy(float))
     order = np.argsort(keys)
-    model = Model(keys[order], np.minimum(odds_of[order], 8.0))
-    got = _best(train, model, ["toxic"]).select("toxic", "top", "n").toPandas()
-    _calibrate(model, got["top"].to_numpy(float), got["n"].to_numpy(float), got["toxic"].to_numpy(int))
+    model = Model(keys[order], odds_of[order])
+    model.rate = _rate(train.where("toxic = 0").select("text"), model)
+    got = _best(train, model, ["toxic"]).select("toxic", "found", "n").toPandas()
+    y, n = got["toxic"].to_numpy(int), got["n"].to_numpy(float)
+    best = np.array([max(x, default=0.0) for x in got["found"]])
+    clean = (y == 0) & (best > 0)
+    if clean.sum() >= 20:  # the law's location, by moments
+        model.log_k = float((model.rate * best[clean] - np.log(n[clean] + 1)).mean()) - 0.5772
+    _calibrate(model, np.array([model.surprise(x, m) for x, m in zip(got["found"], n, strict=True)]), y)
     return model
 
 
+def _rate(texts: DataFrame, model: Model, step: float = 0.05) -> float:
+    """The law's rate: lambda > 0 with E[exp(lambda * score)] = 1 over the tokens of clean texts (Karlin and Altschul, 1990).
+
+    1, the rate of exact log-odds, if no clean token scores.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, _, _, features, starts, _ in _documents(batches, 0):
+            s = model.of(features)
+            bins, n = np.unique(np.round(s[s > 0] / step).astype(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(bins, 0)), pa.array(np.append(n, len(starts) - n.sum()).astype(np.int64))], ["bin", "n"])
+
+    got = texts.mapInArrow(lean(run), "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
+    score, n = np.where(got["bin"] > 0, got["bin"] * step, model.other), got["n"].to_numpy(float)
+    if not (score > 0).any() or (score * n).sum() >= 0:
+        return 1.0
+    moment = lambda rate: float((n * np.expm1(rate * score)).sum())
+    low, high = 0.0, 1.0
+    while moment(high) < 0:
+        high *= 2
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if moment(mid) < 0 else (low, mid)
+    return high
+
+
 def _diverse(train: DataFrame, keys: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The features whose toxic occurrences follow many different words.
 
@@ -202,14 +252,9 @@ def _diverse(train: DataFrame, keys: np.ndarray, scores: np.ndarray) -> tuple[np
     return keys[keep], scores[keep]
 
 
-def _calibrate(model: Model, top: np.ndarray, n: np.ndarray, y: np.ndarray) -> None:
-    """The extreme-value law's location by moments on clean texts, then a ridge logistic curve."""
-    clean = (y == 0) & (top > 0)
-    if clean.sum() >= 20:
-        x = model.rate * top[clean] - np.log(n[clean] + 1)
-        model.log_k = float(x.mean()) - 0.5772
-    x = model.surprise(top, n)
-    x = np.minimum(x, 60)
+def _calibrate(model: Model, surprise: np.ndarray, y: np.ndarray) -> None:
+    """A ridge logistic curve over the surprise."""
+    x = np.minimum(surprise, 60)
     w = np.array([-2.0, 0.5])
     design = np.stack([np.ones(len(x)), x], 1)
     ridge = np.diag([1e-3, 1e-3]) * len(x) / 100
@@ -225,32 +270,35 @@ def _calibrate(model: Model, top: np.ndarray, n: np.ndarray, y: np.ndarray) -> N
         model.weights = (float(w[0]), float(w[1]))
 
 
-def _best(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """keep, n (tokens), top (score of the best segment), score, passages of each row."""
+def _best(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """keep, n (tokens), found (scores of all maximal segments), score, passages and, if asked for, the text of each row."""
     tune(docs.sparkSession)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = len(keep)
-        for batch, a, b, rows, features, starts, ends in _documents(batches, at):
+        for batch, a, b, rows, features, _, _ in _documents(batches, at):
             s = model.of(features)
             n = np.diff(rows)
-            top, passages = np.zeros(b - a), [[] for _ in range(b - a)]
+            surprise, passages, every = np.zeros(b - a), [[] for _ in range(b - a)], [[] for _ in range(b - a)]
             hot = np.flatnonzero(s)
-            owner = np.searchsorted(rows, hot, "right") - 1
-            for doc in np.unique(owner):
-                mine = hot[owner == doc]
+            edges = np.searchsorted(hot, rows)
+            for doc in np.flatnonzero(np.diff(edges)).tolist():
+                mine = hot[edges[doc] : edges[doc + 1]]
                 found = segments(mine - rows[doc], s[mine], model.other)
-                top[doc] = max(x[2] for x in found)
+                every[doc] = [x[2] for x in found]
+                surprise[doc] = model.surprise(every[doc], float(n[doc]))
                 for first, last, score in found:
-                    expected = math.exp(min(50.0, -float(model.surprise(np.array([score]), n[doc : doc + 1])[0])))
-                    if expected <= 0.01:
-                        passages[doc].append({"first_word": first, "last_word": last - 1, "score": score, "chance": expected})
+                    chance = math.exp(-min(700.0, model.surprise([score], float(n[doc]))))
+                    if chance <= SIGNIFICANT:
+                        passages[doc].append({"first_word": first, "last_word": last - 1, "score": score, "chance": chance})
             kind = pa.list_(pa.struct([("first_word", pa.int64()), ("last_word", pa.int64()), ("score", pa.float64()), ("chance", pa.float64())]))
             cols = [batch.column(i).slice(a, b - a) for i in range(at)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(n), pa.array(top), pa.array(model.probability(top, n.astype(float))), pa.array(passages, kind)], [*keep, "n", "top", "score", "passages"])
+            text = [batch.column(at).slice(a, b - a)] * with_text
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(n), pa.array(every, pa.list_(pa.float64())), pa.array(model.probability(surprise)), pa.array(passages, kind), *text], [*keep, "n", "found", "score", "passages", *["_scored"] * with_text])
 
-    return docs.select(*keep, F.col(text_col).alias("_scored")).mapInArrow(lean(run), f"{kinds}, n long, top double, score double, passages array<struct<first_word: long, last_word: long, score: double, chance: double>>")
+    schema = f"{kinds}, n long, found array<double>, score double, passages array<struct<first_word: long, last_word: long, score: double, chance: double>>" + ", _scored string" * with_text
+    return docs.select(*keep, F.col(text_col).alias("_scored")).mapInArrow(lean(run), schema)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,12 +307,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     A null or empty text has no tokens and gets the lowest score. A null id is
     not held out. Repeated rows each get their row; an empty table gives none;
     other columns are ignored. passages are the segments whose chance in clean
-    text is at most 0.01.
+    text is at most SIGNIFICANT; the score takes all segments together.
     """
     out = _best(docs, model, [id_col], text_col)
     return out.select(id_col, F.coalesce(crc_mod(id_col, 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "passages")
 
 
-def passing(rows: DataFrame, model: Model, *keep: str, text_col: str = "text") -> DataFrame:
-    """The columns `keep` of the rows whose text is not predicted to be toxic."""
-    return _best(rows, model, list(keep), text_col).where("score < 0.5").select(*keep)
+def passing(rows: DataFrame, model: Model, *keep: str, text_col: str = "text", with_text: bool = False) -> DataFrame:
+    """The columns `keep` (and the text, if asked for) of the rows whose text is not predicted to be toxic."""
+    left = _best(rows, model, list(keep), text_col, with_text).where("score < 0.5")
+    return left.select(*keep, *[F.col("_scored").alias(text_col)] * with_text)
