@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, shuffle_partitions
 
 
-def _stars(edges: DataFrame) -> bool:
-    """Whether every vertex has one neighbour below it, which has none itself."""
-    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above")), F.struct(F.col("v").alias("x"), F.lit(0).alias("below"), F.lit(1).alias("above")))).alias("e")).select("e.*")
-    return not ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above")).where("below > 1 or (below = 1 and above = 1)").limit(1).count()
+def with_value(edges: DataFrame, values: DataFrame, hot: int, key: list[str]) -> DataFrame:
+    """edges with the value columns of their key; values has (key, columns, n) with the number n of its edges.
+
+    Keys of more than `hot` edges are broadcast, so their edges stay where they
+    are; with `hot` a share of all edges these are no more than that share allows.
+    """
+    hubs = F.broadcast(values.where(F.col("n") > hot).drop("n"))
+    rest = edges.join(hubs.select(*key), key, "left_anti").join(values.where(F.col("n") <= hot).drop("n"), key)
+    return edges.join(hubs, key).unionByName(rest)
 
 
 def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
@@ -20,21 +25,25 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     Null ends are dropped, loops count as lone vertices, repeated edges don't
     matter. Every round is two sums by vertex and two joins, and is written to
     the shared folder; the number of rounds grows with the logarithm of the
-    number of vertices. Nothing is collected.
+    number of vertices. Vertices with more than a small share of all edges are
+    broadcast, at most four for each shuffle partition. Nothing is collected.
     """
     clean = edges.where("a is not null and b is not null").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now = materialize(clean, "edges")
     alone = now.where("u = v").select(F.col("u").alias("v"), F.col("u").alias("root"))
     now = now.where("u <> v")
+    share = 4 * shuffle_partitions(edges.sparkSession)
     for _ in range(most_rounds):
-        if _stars(now):
+        up = now.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        least = materialize(now.unionByName(up).groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"), F.count_if(F.col("v") < F.col("u")).alias("below")), "least")
+        # stars: every vertex has one neighbour below it, which has none itself
+        seen = least.agg(F.sum("n").alias("n"), F.bool_or(F.expr("below > 1 or (below = 1 and n > 1)")).alias("open")).first()
+        if not seen.open:
             break
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # written, so that the join below is dealt by its own exchanges: those of a hub's edges can be split
-        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
+        hot = seen.n // share + 1
+        large = materialize(with_value(up, least.drop("below"), hot, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
+        lower = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = with_value(large, lower, hot, ["u"]).select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
         now = materialize(small, "edges")
     else:
         raise RuntimeError("components did not settle")

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, SOLID, column_bytes, crc_mod, lean, materialize, mix64, prefix_hash, shuffle_partitions, slices, span_hash, tune, word_spans
+from .common import LOWER, SOLID, by_part, column_bytes, crc_mod, dealt, lean, materialize, mix64, parts_for, prefix_hash, slices, span_hash, tune, word_spans
 
 END = np.uint64(0x0123456789ABCDEF)
 #: Items of the neural model at least; words whose counts are broadcast; tokens that train the start.
@@ -89,12 +89,8 @@ def count_tokens(train: DataFrame, parts: int) -> DataFrame:
             yield from flush()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: dict[int, list[np.ndarray]] = {}
-        for batch in batches:
-            for pid, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                got.setdefault(pid, []).append(np.frombuffer(blob, COUNT))
-        for pid, parts_ in got.items():
-            both = np.concatenate(parts_)
+        for pid, rows in by_part(batches):
+            both = np.concatenate([np.frombuffer(blob, COUNT) for batch in rows for blob in batch.column(1).to_pylist()])
             keys, at = np.unique(both["h"], return_inverse=True)
             out = np.zeros(len(keys), COUNT)
             out["h"], out["c"] = keys, np.bincount(at, both["c"].astype(float), len(keys)).astype(np.uint64)
@@ -104,7 +100,7 @@ def count_tokens(train: DataFrame, parts: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array([0, len(top)], pa.int32()), words)
             yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([out.tobytes()], pa.binary()), pa.array([len(out)], pa.int64()), pa.array([int(out["c"].sum())], pa.int64()), lists], ["pid", "counts", "n_distinct", "n_tokens", "top"])
 
-    return train.mapInArrow(lean(send), "pid int, blob binary").repartition(parts, "pid").mapInArrow(lean(merge), "pid int, counts binary, n_distinct long, n_tokens long, top array<struct<h: long, c: long>>")
+    return dealt(train.mapInArrow(lean(send), "pid int, blob binary"), parts).mapInArrow(lean(merge), "pid int, counts binary, n_distinct long, n_tokens long, top array<struct<h: long, c: long>>")
 
 
 @dataclass
@@ -224,7 +220,7 @@ def tables(words: np.ndarray, c2: np.ndarray, c1: np.ndarray, targets: np.ndarra
     return first, second, np.log(np.maximum(e1 @ e2.T, 1e-30)) + m1[:, None] + m2[None, :]
 
 
-def fit(docs: DataFrame, text_col: str, id_col: str, counts: DataFrame, items: int | None = None, frequent: int = FREQUENT, train_tokens: int = TRAIN_TOKENS, epochs: int = 3) -> Model:
+def fit(docs: DataFrame, text_col: str, counts: DataFrame, items: int | None = None, frequent: int = FREQUENT, train_tokens: int = TRAIN_TOKENS, epochs: int = 3) -> Model:
     """Learn from the rows of docs (all of them training rows) with their counted tokens.
 
     Without a number of items, it grows with the distinct words.
@@ -249,9 +245,10 @@ def fit(docs: DataFrame, text_col: str, id_col: str, counts: DataFrame, items: i
             two, one = contexts(got, at, m + 1)
             yield pa.RecordBatch.from_arrays([pa.array([np.stack([two, one, got]).astype(np.int16).tobytes()], pa.binary())], ["seen"])
 
-    # whole documents, chosen by a hash of the id, with about train_tokens tokens in all, train the start
-    picked = F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(min(1.0, train_tokens / max(1, total)) * (1 << 20)) + 1
-    packed = docs.where(picked).select(text_col).mapInArrow(lean(stream), "seen binary").toArrow().column("seen").to_pylist()
+    # whole documents, chosen by a hash of the row number, with about train_tokens tokens in all, train the start
+    numbered = docs.select(text_col, F.monotonically_increasing_id().alias("_n"))
+    picked = F.pmod(F.xxhash64("_n"), F.lit(1 << 40)) <= int(min(1.0, train_tokens / max(1, total)) * (1 << 40))
+    packed = numbered.where(picked).select(text_col).mapInArrow(lean(stream), "seen binary").toArrow().column("seen").to_pylist()
     two, one, got = np.concatenate([np.frombuffer(x, np.int16).reshape(3, -1) for x in packed] or [np.zeros((3, 0), np.int16)], axis=1).astype(np.int64)
     trainer = Trainer(noise)
     for _ in range(epochs):
@@ -306,11 +303,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
     """
     spark = docs.sparkSession
     tune(spark)
-    parts = shuffle_partitions(spark)
+    parts = parts_for(docs)
     held_out = F.coalesce(crc_mod(id_col, 10) == 0, F.lit(False))
     train = docs.where(~held_out)
     counts = materialize(count_tokens(train.select(text_col), parts), "counts")
-    model = fit(train, text_col, id_col, counts, items, frequent, train_tokens)
+    model = fit(train, text_col, counts, items, frequent, train_tokens)
     sent = spark.sparkContext.broadcast(model)
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -403,14 +400,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
             yield from flush()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [np.frombuffer(x, SUM) for batch in batches for x in batch.column(1).to_pylist()]
-        if got:
-            out = sums(got)
+        for _, rows in by_part(batches):
+            out = sums([np.frombuffer(x, SUM) for batch in rows for x in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[k])) for k in ("rid", "logs", "known")], ["rid", "more_logs", "more_known"])
 
     asked = seen.where("blob is not null").select("pid", "rids", "blob").unionByName(counts.select("pid", F.lit(None).cast("binary").alias("rids"), F.col("counts").alias("blob")))
     answers = asked.repartition(parts, "pid").sortWithinPartitions("pid", F.col("rids").isNotNull()).mapInArrow(lean(reply), "to int, sums binary")
-    more = answers.repartition(parts, "to").mapInArrow(lean(gather), "rid long, more_logs double, more_known long")
+    more = dealt(answers, parts, "to").mapInArrow(lean(gather), "rid long, more_logs double, more_known long")
     n, v = model.total, model.distinct
     whole = float(np.log10(n + SMOOTH * (v + 1)))
     rest = float(np.log10(max(model.other_total, 0.0) + SMOOTH * (max(model.other_distinct, 0.0) + 1)))

@@ -44,9 +44,9 @@ SMALL = 256
 BLOCK = 1024
 DEPTH = 12
 #: Similarity estimates: pairs of small nodes above PAIR are candidates; a pivot links what is above LINK and
-#: releases what is above LEAVE. Distances add up to 1 - LEAVE + 0.2, so partners of what leaves are near LINK at
-#: worst; the rest of the gap is for the error of the estimates (0.06).
-PAIR, LINK, LEAVE = 0.6, 0.2, 0.5
+#: releases what is above LEAVE. Distances add up to 1 - LEAVE + 0.2, so partners of what leaves are above
+#: LEAVE - 0.2; the rest of the gap is three times the error of the difference of two such estimates (0.05).
+PAIR, LINK, LEAVE = 0.6, 0.45, 0.8
 
 _rng = np.random.default_rng(20180401)
 _A = (_rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
@@ -147,8 +147,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, runs: int)
                     ["id", "th", "k1", "k2", "n", "sig", "nodes"],
                 )
 
-    base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("th"), F.col(text_col))
-    return base.mapInArrow(lean(run), "id long, th int, k1 long, k2 long, n long, sig binary, nodes array<long>")
+    base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"), F.col(text_col))
+    return base.mapInArrow(lean(run), "id long, th long, k1 long, k2 long, n long, sig binary, nodes array<long>")
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,9 +330,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = components(candidates(reps, small))
     sizes = found.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
     member = found.join(sizes, "root").select(F.col("v").alias("id"), "root", "parts").join(classes.select("id", "th", "copies"), "id")
-    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("th"), F.col(text_col).alias("text"))
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"), F.col(text_col).alias("text"))
     # a row that repeats another would be a second copy of it in its block
-    met = member.join(texts, ["id", "th"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = member.join(texts, ["id", "th"]).dropDuplicates(["id", "th"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     keyed = met.select("root", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", F.col("id").alias("doc"), "copies", "text")
     dealt = keyed.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi")
     checked = materialize(dealt.mapInArrow(lean(_verify(similarity, words)), "doc long, links long, root long"), "checked")
@@ -341,13 +341,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by_class = classes.select("k1", "k2", "n", "id", "copies").join(linked, classes.id == linked.doc, "left").select("k1", "k2", "n", F.coalesce("top", "id").alias("top"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     out = sketch.select("id", "th", "k1", "k2", "n").join(by_class, ["k1", "k2", "n"], "left")
     whole = out.select(F.col("id").alias(id_col), F.coalesce("top", "id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), (F.coalesce("top", "id") == F.col("id")).alias("kept"), *[F.col("th")] * with_hash)
-    lone = docs.where(F.col(id_col).isNull()).select(F.col(id_col).cast("long").alias(id_col), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"), *[F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("th")] * with_hash)
+    lone = docs.where(F.col(id_col).isNull()).select(F.col(id_col).cast("long").alias(id_col), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"), *[F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th")] * with_hash)
     return whole.unionByName(lone)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that jaccard_join keeps, each once, with all their columns; null ids stay."""
     kept = jaccard_join(docs, id_col, text_col, with_hash=True).where(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col("th").alias("_th"))
-    row = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).cast("long").alias("_id"), F.hash(F.coalesce(F.col(text_col), F.lit(""))).alias("_th"))
+    row = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).cast("long").alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_th"))
     some = row.where("_id is not null").join(kept, ["_id", "_th"]).dropDuplicates(["_id", "_th"])
     return some.select("_row.*").unionByName(row.where("_id is null").select("_row.*"))

@@ -30,20 +30,21 @@ SELECT v AS vec_id, coalesce(n_links, 0) AS n_links, component_id, v = component
 
 
 def _op6() -> str:
-    rows = []
-    for k, (base, label, text) in enumerate([(True, *p) for p in licenses.PHRASES] + [(False, *p) for p in licenses.NOTICES]):
-        words = text.split(" ")
-        pairs = [(i, a, b) for i, (a, b) in enumerate(zip(words, words[1:], strict=False)) if base or len(words) <= licenses.BRIEF or max(len(a), len(b)) > licenses.SHORT]
-        rows += [f"({k}, '{label}', {base}, {len(pairs)}, {i}, '{a}', '{b}')" for i, a, b in pairs]
+    kinds, grams = licenses.template_grams()
+    quoted = lambda x: "NULL" if x is None else f"'{x}'"
     return f"""
-WITH t(tpl, label, base, size, tpos, a, b) AS (VALUES {", ".join(rows)}),
+WITH kinds(tpl, label, base, words) AS (VALUES {", ".join(f"({t}, '{label}', {base}, {n})" for t, label, base, n in kinds)}),
+t(tpl, tpos, a, b, c) AS (VALUES {", ".join(f"({t}, {i}, '{a}', '{b}', {quoted(c)})" for t, i, a, b, c in grams)}),
 w AS (SELECT doc_id, {WORDS} AS w FROM documents),
-g AS (SELECT doc_id, i - 1 AS pos, w[i] AS a, w[i + 1] AS b FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM w)),
-v AS (SELECT doc_id, tpl, label, base, size, pos - tpos AS diag, list(DISTINCT tpos) AS bits FROM g JOIN t USING (a, b) GROUP BY ALL),
-o AS (SELECT *, CASE WHEN base OR lag(diag) OVER k IS NULL OR diag - lag(diag) OVER k > {licenses.NEAR} THEN 1 ELSE 0 END AS begins FROM v WINDOW k AS (PARTITION BY doc_id, tpl ORDER BY diag)),
-m AS (SELECT doc_id, tpl, label, base, diag, cover FROM (SELECT doc_id, tpl, label, base, run, min(diag) AS diag, len(list_distinct(flatten(list(bits)))) / any_value(size) AS cover FROM (SELECT *, sum(begins) OVER (PARTITION BY doc_id, tpl ORDER BY diag ROWS UNBOUNDED PRECEDING) AS run FROM o) GROUP BY 1, 2, 3, 4, 5)),
-f AS (SELECT *, base AND cover = 1 AS whole, (base AND cover = 1) OR (NOT base AND cover >= {licenses.COVER}) AS valid FROM m),
-d AS (SELECT doc_id, count(*) FILTER (whole) AS n_base, min(diag) FILTER (whole) AS first_word, max(diag) FILTER (whole) AS last_word, array_to_string(list_sort(list(DISTINCT label) FILTER (whole)), ',') AS base_labels, array_to_string(list_sort(list(DISTINCT label) FILTER (valid)), ',') AS labels, max(CASE WHEN whole OR NOT base THEN cover ELSE 0 END) AS score FROM f GROUP BY 1)
+g AS (SELECT doc_id, i - 1 AS pos, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM w)),
+h AS (SELECT doc_id, tpl, pos, tpos, pos - tpos AS diag FROM g JOIN t ON g.a = t.a AND g.b = t.b AND (t.c IS NULL OR t.c = g.c)),
+o AS (SELECT *, coalesce((diag - lag(diag) OVER l > CASE WHEN base THEN 0 ELSE {licenses.NEAR} END)::INT, 1) AS begins FROM h JOIN kinds USING (tpl) WINDOW l AS (PARTITION BY doc_id, tpl ORDER BY diag, pos)),
+r AS (SELECT *, sum(begins) OVER (PARTITION BY doc_id, tpl ORDER BY diag, pos ROWS UNBOUNDED PRECEDING) AS run, CASE WHEN base THEN {licenses.BASE_GRAM} ELSE {licenses.GRAM} END AS k FROM o),
+i AS (SELECT *, tpos > coalesce(max(tpos) OVER (PARTITION BY doc_id, tpl, run ORDER BY pos, tpos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS counts FROM r),
+n AS (SELECT *, least(k, coalesce(lead(tpos) OVER (PARTITION BY doc_id, tpl, run, counts ORDER BY tpos, pos) - tpos, k)) AS adds FROM i),
+m AS (SELECT doc_id, label, base, words, min(diag) AS diag, sum(adds) FILTER (counts) / words AS cover, max(pos) + any_value(k) - min(pos) <= {licenses.LONGER} * words AS fits FROM n GROUP BY doc_id, tpl, run, label, base, words),
+f AS (SELECT *, base AND cover = 1 AS whole, (base AND cover = 1) OR (NOT base AND fits AND cover >= {licenses.COVER}) AS valid FROM m),
+d AS (SELECT doc_id, count(*) FILTER (whole) AS n_base, min(diag) FILTER (whole) AS first_word, max(diag) FILTER (whole) AS last_word, array_to_string(list_sort(list(DISTINCT label) FILTER (whole)), ',') AS base_labels, array_to_string(list_sort(list(DISTINCT label) FILTER (valid)), ',') AS labels, max(CASE WHEN whole OR (NOT base AND fits) THEN cover ELSE 0 END) AS score FROM f GROUP BY 1)
 SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score FROM w LEFT JOIN d USING (doc_id)
 """
 
@@ -65,8 +66,8 @@ parts AS (SELECT string_split(host, '.') AS q FROM h WHERE host LIKE '%.%.%'),
 chain AS (SELECT DISTINCT array_to_string(q[i:], '.') AS a, array_to_string(q[i + 1:], '.') AS b FROM (SELECT q, unnest(range(1, len(q) - 1)) AS i FROM parts)),
 w AS (SELECT src, dst, sum(x) AS x FROM (SELECT src, dst, 1.0::DOUBLE AS x FROM links WHERE src <> dst AND dst <> '' UNION ALL SELECT a, b, 1.0 FROM chain UNION ALL SELECT b, a, 1.0 FROM chain) GROUP BY 1, 2),
 k AS (SELECT 'trust' AS kind, src, dst, x FROM w UNION ALL SELECT 'distrust', dst, src, x FROM w),
-e AS (SELECT kind, src, dst, x / sum(x) OVER (PARTITION BY kind, src) AS share FROM k),
-m0 AS (SELECT 'trust' AS kind, host, a / n AS mass FROM h WHERE a > 0 UNION ALL SELECT 'distrust', host, b / n FROM h WHERE b > 0),
+e AS MATERIALIZED (SELECT kind, src, dst, x / sum(x) OVER (PARTITION BY kind, src) AS share FROM k),
+m0 AS MATERIALIZED (SELECT 'trust' AS kind, host, a / n AS mass FROM h WHERE a > 0 UNION ALL SELECT 'distrust', host, b / n FROM h WHERE b > 0),
 {rounds}
 z AS (SELECT host, coalesce(sum(mass) FILTER (kind = 'distrust'), 0) > coalesce(sum(mass) FILTER (kind = 'trust'), 0) AS bad FROM m{urls.ROUNDS} GROUP BY 1)
 SELECT page_id, p.host, path, rule, coalesce(v, CASE WHEN bad THEN 'block' ELSE 'allow' END) AS verdict FROM p LEFT JOIN z ON z.host = p.host

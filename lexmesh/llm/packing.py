@@ -305,7 +305,10 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
             first = np.cumsum(n) - n
             pieces = plan(n, window)
-            base = (part << 38) + (shard << 26)
+            # 2**19 partitions of 2**24 shards of 2**20 sequences
+            base = (part << 44) + (shard << 20)
+            if shard >> 24 or part >> 19 or len(pieces) and pieces[:, 3].max() >> 20:
+                raise OverflowError("more shards, partitions or sequences than sequence ids can tell apart")
             shard += 1
             for k in range(0, len(pieces), 20_000):
                 d, start, length, sequence, offset = pieces[k : k + 20_000].T

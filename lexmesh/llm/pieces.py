@@ -3,16 +3,16 @@
 Marked words (a word with the marks that stand for the spaces before it) are
 encoded once per shard: no piece of the vocabulary joins across a mark that
 follows a word, so a text's ids are those of its words, one after another. The
-distinct words are sorted, which makes them a trie; the forward pass visits
-every trie node once, and words reuse the values of the prefixes they share.
-
-A node's forward value is the last piece of the best encoding of its prefix.
-For a unigram model the best encoding has the largest sum of scores (Viterbi).
-For a byte-pair model sums of scores don't give the encoding that merging gives;
-there a prefix ends in piece t after a prefix that ends in s if and only if
-merging s and t's characters leaves the two apart, which is one pair test, and
-exactly one t passes. The nodes of a depth are visited together, so that the
-pass is a few array operations per depth.
+distinct words are sorted, which makes them a trie in depth-first order; the
+forward pass visits every trie node once, and words reuse the values of the
+prefixes they share. A text without spaces is one long word like any other.
+
+For a unigram model a node's forward value is the largest sum of scores (Viterbi)
+and its last piece. For a byte-pair model sums of scores don't give the encoding
+that merging gives; there the value is the last piece of the prefix's encoding: a
+prefix ends in piece t after a prefix that ends in s if and only if merging s and
+t's characters leaves the two apart, which is one pair test, and exactly one t
+passes.
 """
 
 from __future__ import annotations
@@ -26,11 +26,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lean, mix64, ragged, spread, tune
+from .common import lean, ragged, tune
 
 MARK = "▁"
-#: Bytes of text that are encoded together; distinct words that a pass holds; the longest word that shares prefixes.
-SHARD_BYTES, CHUNK, LONGEST = 8 << 20, 40_000, 64
+#: Bytes of text that are encoded together.
+SHARD_BYTES = 8 << 20
 GAP = "\x00"
 
 
@@ -48,11 +48,6 @@ class Vocabulary:
         self.longest = max((len(p) for p, ok in zip(pieces, normal, strict=True) if ok), default=1)
         ids = [i for i, ok in enumerate(normal) if ok]
         self.index = {pieces[i]: i for i in ids}
-        h = np.array([self.hash_of(pieces[i]) for i in ids], np.uint64)
-        order = np.argsort(h)
-        self.keys, self.ids = h[order], np.array(ids, np.int64)[order]
-        self.filter = np.zeros(1 << 20, bool)
-        self.filter[(h >> np.uint64(44)).astype(np.int64)] = True
         self.sizes = np.array([len(p) for p in pieces])
         # rank: the order in which merges happen; single characters come before all
         best = sorted(ids, key=lambda i: (-scores[i], i))
@@ -67,11 +62,6 @@ class Vocabulary:
         self.raw_size = np.array([len(x) for x in raw], np.int64)
         self.raw_start = np.cumsum(self.raw_size) - self.raw_size
 
-    @staticmethod
-    def hash_of(piece: str) -> np.uint64:
-        x = np.frombuffer(piece.encode("utf-32-le"), np.uint32).astype(np.uint64)
-        return _span(*_prefix(x), np.array([0]), np.array([len(x)]))[0]
-
     def merge(self, text: str) -> list[int]:
         """Ids of a short text by merging the best pair again and again (reference for the pair test)."""
         parts = list(text)
@@ -108,71 +98,39 @@ class Vocabulary:
                 a, b = self.index.get(p[:k]), self.index.get(p[k:])
                 if a is not None and b is not None:
                     pairs[a * len(self.pieces) + b] = i
-        keys = np.array(sorted(pairs), np.int64)
-        self.pair_keys, self.pair_rank = keys, self.rank[[pairs[k] for k in keys.tolist()]] if len(keys) else np.zeros(0, np.int64)
-        self.known = np.zeros(0, np.int64)
-        self.known_ok = np.zeros(0, bool)
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Ids of pieces by hash, -1 where there is none."""
-        out = np.full(len(h), -1, np.int64)
-        maybe = np.flatnonzero(self.filter[(h >> np.uint64(44)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.keys, h[maybe]), len(self.keys) - 1)
-        out[maybe] = np.where(self.keys[at] == h[maybe], self.ids[at], -1)
-        return out
-
-    def apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether pieces a and b, side by side, stay as they are under merging."""
-        keys, at = np.unique(a * len(self.pieces) + b, return_inverse=True)
-        spot = np.minimum(np.searchsorted(self.known, keys), max(0, len(self.known) - 1))
-        seen = self.known[spot] == keys if len(self.known) else np.zeros(len(keys), bool)
-        ok = np.zeros(len(keys), bool)
-        if len(self.known):
-            ok[seen] = self.known_ok[spot[seen]]
-        new = np.flatnonzero(~seen)
-        if len(new):
-            ok[new] = self._apart(keys[new] // len(self.pieces), keys[new] % len(self.pieces))
-            if len(self.known) > 2_000_000:
-                self.known, self.known_ok = np.zeros(0, np.int64), np.zeros(0, bool)
-            both, flags = np.concatenate([self.known, keys[new]]), np.concatenate([self.known_ok, ok[new]])
-            order = np.argsort(both, kind="stable")
-            self.known, self.known_ok = both[order], flags[order]
-        return ok[at]
-
-    def _apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Undo the merges that made a's end and b's start, latest first: none may lose to a merge across the border."""
-        n, out, live = len(self.pieces), np.ones(len(a), bool), np.arange(len(a))
-        a, b = a.copy(), b.copy()
-        limit = np.full(len(a), np.iinfo(np.int64).max)
-        while len(live):
-            x, y = a[live], b[live]
-            key = x * n + y
-            spot = np.minimum(np.searchsorted(self.pair_keys, key), max(0, len(self.pair_keys) - 1))
-            rank = np.where(self.pair_keys[spot] == key, self.pair_rank[spot], np.iinfo(np.int64).max) if len(self.pair_keys) else np.full(len(key), np.iinfo(np.int64).max)
-            lost = rank < limit[live]
-            out[live[lost]] = False
-            can_x, can_y = self.right[x] != x, self.left[y] != y
-            rx, ry = np.where(can_x, self.rank[x], -1), np.where(can_y, self.rank[y], -1)
-            end = ~can_x & ~can_y
-            undo_x = rx > ry  # the later merge is undone first; of equals the right one came later
-            limit[live] = np.where(undo_x, rx, ry + 1)
-            a[live] = np.where(undo_x & can_x, self.right[x], x)
-            b[live] = np.where(~undo_x & can_y, self.left[y], y)
-            live = live[~lost & ~end]
-        return out
-
-
-def _prefix(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    from .common import _BASES
-
-    up, down = _BASES[0].upto(len(x) + 1)
-    pre = np.zeros(len(x) + 1, np.uint64)
-    np.cumsum((x + np.uint64(1)) * up[:-1], out=pre[1:])
-    return pre, down
-
-
-def _span(pre: np.ndarray, down: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix64((pre[end] - pre[start]) * down[start])
+        rank = self.rank.tolist()
+        self.pairs = {k: rank[i] for k, i in pairs.items()}
+        self.halves = self.left.tolist(), self.right.tolist(), rank
+        self.known: dict[int, bool] = {}
+
+    def apart(self, a: int, b: int) -> bool:
+        """Whether pieces a and b, side by side, stay as they are under merging.
+
+        The merges that made a's end and b's start are undone, latest first: none
+        may lose to a merge across the border.
+        """
+        key = a * len(self.pieces) + b
+        if (known := self.known.get(key)) is not None:
+            return known
+        left, right, rank = self.halves
+        n, limit, ok = len(self.pieces), 1 << 62, True
+        while True:
+            across = self.pairs.get(a * n + b)
+            if across is not None and across < limit:
+                ok = False
+                break
+            x, y = right[a], left[b]
+            if x == a and y == b:
+                break
+            rx, ry = rank[a] if x != a else -1, rank[b] if y != b else -1
+            if rx > ry:  # the later merge is undone first; of equals the right one came later
+                a, limit = x, rx
+            else:
+                b, limit = y, ry + 1
+        if len(self.known) > 2_000_000:
+            self.known.clear()
+        self.known[key] = ok
+        return ok
 
 
 @lru_cache(maxsize=2)
@@ -193,101 +151,70 @@ def load(path: str) -> Vocabulary:
 
 
 def encode_words(words: list[str], voc: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all words, one after another; number of ids of each): words are sorted and distinct."""
-    flat, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-    for k in range(0, len(words), CHUNK):
-        f, s = _encode(words[k : k + CHUNK], voc)
-        flat.append(f)
-        sizes.append(s)
-    return np.concatenate(flat), np.concatenate(sizes)
-
-
-def _encode(words: list[str], voc: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    n = len(words)
-    size = np.fromiter(map(len, words), np.int64, n)
-    x = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    start = np.cumsum(size) - size
-    pre, down = _prefix(x)
-    # nodes: (word, depth) pairs that are not shared with the word before
-    shared = np.zeros(n, np.int64)
-    alive = np.arange(1, n)
-    for d in range(int(size.max(initial=0))):
-        alive = alive[(size[alive] > d) & (size[alive - 1] > d)]
-        alive = alive[x[start[alive] + d] == x[start[alive - 1] + d]]
-        if not len(alive):
-            break
-        shared[alive] = d + 1
-    single = voc.find(_span(pre, down, np.arange(len(x)), np.arange(len(x)) + 1))
-    last = np.full(len(x) + 1, -1, np.int64)  # by end position: the last piece of the best encoding; -1: bytes of one character
-    total = np.zeros(len(x) + 1) if not voc.merges else None
-    byte_score = float(voc.scores.min()) - 10.0
-    for d in range(1, int(size.max(initial=0)) + 1):
-        reach = np.flatnonzero(size >= d)
-        own = shared[reach] < d
-        nodes = reach[own]
-        end = start[nodes] + d
-        if voc.merges:
-            open_ = np.arange(len(nodes))
-            value = np.full(len(nodes), -1, np.int64)
-            for m in range(min(voc.longest, d), 0, -1):
-                if not len(open_):
-                    break
-                e = end[open_]
-                t = single[e - 1] if m == 1 else voc.find(_span(pre, down, e - m, e))
-                here = np.flatnonzero((t >= 0) & voc.whole[t])
-                if m == d:
-                    ok = np.ones(len(here), bool)
-                else:
-                    s = last[e[here] - m - 1]
-                    ok = s < 0
-                    ok[~ok] = voc.apart(s[~ok], t[here[~ok]])
-                value[open_[here[ok]]] = t[here[ok]]
-                keep = np.ones(len(open_), bool)
-                keep[here[ok]] = False
-                open_ = open_[keep]
-            last[end - 1] = value
-        else:
-            best, value = np.full(len(nodes), -np.inf), np.full(len(nodes), -1, np.int64)
-            for m in range(1, min(voc.longest, d) + 1):
-                t = single[end - 1] if m == 1 else voc.find(_span(pre, down, end - m, end))
-                before = total[end - m - 1] if m < d else np.zeros(len(nodes))
-                sc = np.where(t >= 0, before + voc.scores[t], before + byte_score if m == 1 else -np.inf)
-                better = sc > best
-                best, value = np.where(better, sc, best), np.where(better, t, value)
-            last[end - 1], total[end - 1] = value, best
-        # words that share the prefix take the value of the word before them
-        copy = reach[~own]
-        if len(copy):
-            owner = np.maximum.accumulate(np.where(own, reach, -1))[~own]
-            last[start[copy] + d - 1] = last[start[owner] + d - 1]
-            if total is not None:
-                total[start[copy] + d - 1] = total[start[owner] + d - 1]
-    # back from the ends of the words
-    at, word = start + size, np.arange(n)
-    steps = []
-    while len(word):
-        t = last[at - 1]
-        steps.append((word, at, t))
-        at = at - np.where(t >= 0, voc.sizes[t], 1)
-        more = at > start[word]
-        at, word = at[more], word[more]
-    if not steps:
-        return np.zeros(0, np.int32), np.zeros(n, np.int64)
-    w, p, t = (np.concatenate(c) for c in zip(*steps, strict=True))
-    order = np.lexsort((p, w))
-    w, p, t = w[order], p[order], t[order]
-    odd = np.flatnonzero(t < 0)
-    if not len(odd):
-        return t.astype(np.int32), np.bincount(w, minlength=n)
-    code = x[p[odd] - 1]
-    raw = [chr(int(c)).encode("utf-8", "replace") for c in code]
-    count = np.ones(len(t), np.int64)
-    count[odd] = [len(r) for r in raw]
-    out = np.repeat(t, count)
-    ends = np.cumsum(count)
-    spots = np.repeat(ends[odd] - count[odd], count[odd]) + spread(count[odd])
-    out[spots] = voc.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
-    return out.astype(np.int32), np.bincount(w, count, n).astype(np.int64)
+    """(ids of all words, one after another; number of ids of each): words are sorted and distinct.
+
+    Sorted words are the trie in depth-first order. `last` and `total` hold the
+    forward values along the path to the present node; going on to the next word
+    drops those below the prefix that both share, and no node is computed twice.
+    """
+    index, whole, longest, merges, scores, byte_ids = voc.index, voc.whole.tolist(), voc.longest, voc.merges, voc.scores.tolist(), voc.byte_ids.tolist()
+    apart, known, count = voc.apart, getattr(voc, "known", {}), len(voc.pieces)
+    sizes, byte_score = voc.sizes.tolist(), float(voc.scores.min()) - 10.0
+    last, total, before = [-1], [0.0], ""
+    flat: list[int] = []
+    ends = [0]
+    for w in words:
+        d = _shared(before, w)
+        del last[d + 1 :], total[d + 1 :]
+        for e in range(d + 1, len(w) + 1):
+            value = -1  # the bytes of one character
+            if merges:
+                for m in range(min(longest, e), 0, -1):
+                    t = index.get(w[e - m : e])
+                    if t is None or not whole[t]:
+                        continue
+                    s = last[e - m]
+                    if m == e or s < 0:
+                        value = t
+                        break
+                    if (ok := known.get(s * count + t)) is None:
+                        ok = apart(s, t)
+                    if ok:
+                        value = t
+                        break
+            else:
+                best = total[e - 1] + byte_score
+                for m in range(1, min(longest, e) + 1):
+                    t = index.get(w[e - m : e])
+                    if t is not None and (m == 1 or total[e - m] + scores[t] > best):
+                        best, value = total[e - m] + scores[t], t
+                total.append(best)
+            last.append(value)
+        # back from the end of the word
+        at, ids = len(w), []
+        while at:
+            t = last[at]
+            if t >= 0:
+                ids.append(t)
+                at -= sizes[t]
+            else:
+                at -= 1
+                ids += [byte_ids[x] for x in reversed(w[at].encode("utf-8", "replace"))]
+        flat += reversed(ids)
+        ends.append(len(flat))
+        before = w
+    return np.array(flat, np.int32), np.diff(np.array(ends, np.int64))
+
+
+def _shared(a: str, b: str) -> int:
+    """Length of the prefix that both have."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:  # equal up to low, not up to high
+        mid = (low + high) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid)
+    return low
 
 
 def encode_texts(texts: pa.Array, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -307,22 +234,10 @@ def encode_texts(texts: pa.Array, voc: Vocabulary) -> tuple[np.ndarray, np.ndarr
     distinct = coded.dictionary
     order = pc.sort_indices(distinct).to_numpy()
     words = [w.replace(" ", MARK) for w in distinct.take(pa.array(order)).to_pylist()]
-    short = [w for w in words if len(w) <= LONGEST]
-    long = [w for w in words if len(w) > LONGEST]
-    flat, size = encode_words(short, voc)
-    f2, s2 = ([], [])
-    for w in long:
-        f, s = _encode([w], voc)
-        f2.append(f)
-        s2.append(s)
-    flat, sizes = np.concatenate([flat, *f2]), np.concatenate([size, *s2]) if s2 else size
+    flat, sizes = encode_words(words, voc)
     start = np.cumsum(sizes) - sizes
-    rank = np.empty(len(words), np.int64)
-    is_long = np.fromiter((len(w) > LONGEST for w in words), bool, len(words))
-    rank[~is_long] = np.arange(len(short))
-    rank[is_long] = len(short) + np.arange(len(long))
     place = np.empty(len(words), np.int64)
-    place[order] = rank
+    place[order] = np.arange(len(words))
     at = place[coded.indices.to_numpy()]
     rows = lists.offsets.to_numpy()[: len(lists) + 1]
     counts = np.concatenate([[0], np.cumsum(sizes[at])])[rows - rows[0]]

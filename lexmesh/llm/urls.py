@@ -13,7 +13,8 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, shuffle_partitions
+from .components import with_value
 
 #: Fixed values: (verdict, host, path).
 RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -22,8 +23,10 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 DAMPING = 0.85
 #: Change of any host's mass over CUT rounds, as a share of it, at which propagation ends.
 TOLERANCE = 1e-6
-#: Rounds of the SQL, which can't test for the end.
-ROUNDS = 8
+#: Rounds of the SQL, which can't test for the end: 0.85**60 is less than 1e-4.
+ROUNDS = 60
+#: Links up to which a host is never a hub.
+LINKS = 1000
 #: Rounds between two written tables.
 CUT = 4
 
@@ -62,8 +65,9 @@ def host_edges(pages: DataFrame, html_col: str) -> DataFrame:
 def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
     """(host, kind, mass): personalised PageRank of each kind of seed.
 
-    edges has (kind, src, dst, share), shares of a source and kind sum to 1;
-    seeds has (kind, host, mass). The mass of a host without links is lost,
+    edges has (kind, src, dst, share, hub), shares of a source and kind sum to 1;
+    hub marks the links of the few hosts that have most of them: their mass is
+    broadcast, so that the links stay where they are. seeds has (kind, host, mass). The mass of a host without links is lost,
     which scales all hosts of a kind alike. Each round is a join on (kind, host)
     and a sum by it; every few rounds are written, so lineage stays short. Without
     a number of rounds, they end when no host is new and no mass changes by more
@@ -71,8 +75,13 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, dam
     """
     start = seeds.select("kind", "host", "mass")
     mass = before = start
+    keys = ["kind", "src"]
+    rest, hubs = edges.where("not hub"), edges.where("hub")
+    few = F.broadcast(hubs.select(*keys).distinct()) if hubs.limit(1).count() else None
     for k in itertools.count(1) if rounds is None else range(1, rounds + 1):
-        moved = mass.withColumnRenamed("host", "src").join(edges, ["kind", "src"]).select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass"))
+        at = mass.withColumnRenamed("host", "src")
+        met = at.join(rest, keys) if few is None else at.join(rest, keys).unionByName(hubs.join(F.broadcast(at.join(few, keys)), keys))
+        moved = met.select("kind", F.col("dst").alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass"))
         mass = moved.unionByName(start.withColumn("mass", F.col("mass") * (1 - damping))).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
         if k % CUT == 0 or k == rounds:
             mass = materialize(mass, "mass")
@@ -97,8 +106,11 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     by_host = materialize(seen.where("host <> ''").groupBy("host").agg(F.count("*").alias("pages"), F.count_if(F.col("verdict") == "allow").alias("allowed"), F.count_if(F.col("verdict") == "block").alias("blocked")), "hosts")
     edges = host_edges(seen, "_html")
     edges = edges.select(F.lit("trust").alias("kind"), "src", "dst", "weight").unionByName(edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
-    out = edges.groupBy("kind", "src").agg(F.sum("weight").alias("total"))
-    edges = materialize(edges.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("weight") / F.col("total")).alias("share")), "host-edges")
+    edges = materialize(edges, "links")
+    out = materialize(edges.groupBy("kind", "src").agg(F.sum("weight").alias("total"), F.count("*").alias("n")), "sources")
+    hot = (out.agg(F.sum("n").alias("n")).first().n or 0) // (4 * shuffle_partitions(pages.sparkSession)) + 1
+    edges = with_value(edges, out.withColumn("hub", F.col("n") > max(hot, LINKS)), hot, ["kind", "src"])
+    edges = materialize(edges.select("kind", "src", "dst", (F.col("weight") / F.col("total")).alias("share"), "hub"), "host-edges")
     seeds = by_host.select(F.explode(F.array(F.struct(F.lit("trust").alias("kind"), "host", (F.col("allowed") / F.col("pages")).alias("mass")), F.struct(F.lit("distrust").alias("kind"), "host", (F.col("blocked") / F.col("pages")).alias("mass")))).alias("s")).select("s.*").where("mass > 0")
     mass = propagate(edges, materialize(seeds, "seeds"))
     scored = mass.groupBy("host").agg(*(F.sum(F.when(F.col("kind") == k, F.col("mass")).otherwise(0.0)).alias(k) for k in ("trust", "distrust")))

@@ -34,7 +34,24 @@ def test_license_places_are_the_brute_force_ones(spark):
 def test_license_edges(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     twice = spark.createDataFrame([(1, "mit license"), (1, "mit license"), (None, "x")], "doc_id long, text string")
-    assert {(r.doc_id, r.n_base) for r in licenses.scan(twice).collect()} == {(1, 1), (None, 0)}
+    assert sorted((r.doc_id or 0, r.n_base) for r in licenses.scan(twice).collect()) == [(0, 0), (1, 1), (1, 1)]
+    mixed = spark.createDataFrame([(1, None, "a"), (1, "", "b"), (2, "mit license " * 20_000, "c")], "doc_id long, text string, labels string")
+    assert sorted((r.doc_id, r.n_words, r.n_base) for r in licenses.scan(mixed).collect()) == [(1, 0, 0), (1, 0, 0), (2, 40_000, 20_000)]
+
+
+def test_license_texts_match_with_changes_and_not_out_of_order(spark):
+    text = dict(licenses.TEXTS)["mit"].split()
+    changed = [w if i % 40 else "other" for i, w in enumerate(text)]
+    inserted = [x for i, w in enumerate(text) for x in ([w, "new"] if i % 50 == 7 else [w])]
+    mixed = [w for i in range(0, len(text), 6) for w in reversed(text[i : i + 6])]
+    part = text[: len(text) // 2]
+    half = [text[: len(text) // 2], ["filler"] * 400, text[len(text) // 2 :]]
+    rows = [" ".join(x) for x in (text, changed, inserted, mixed, part[30:], sum(half, []))]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: [s for s in r.spans if s.high - s.low > 100] for r in licenses.scan(df).collect()}
+    assert [len(got[i]) for i in range(6)] == [1, 1, 1, 0, 0, 0]
+    own = licenses.scan(spark.createDataFrame([(1, "x one two three four y")], "doc_id long, text string"), more=[("own", "one two three four")]).first()
+    assert (own.labels, own.score) == ("own", 1.0)
 
 
 URLS = [
@@ -74,8 +91,8 @@ def test_distrust_reaches_the_start_of_a_long_chain(spark):
 
 
 def test_mass_is_personalised_pagerank(spark):
-    e = [("t", "a", "b", 1.0), ("t", "b", "a", 0.5), ("t", "b", "c", 0.5)]
-    got = {r.host: r.mass for r in urls.propagate(spark.createDataFrame(e, "kind string, src string, dst string, share double"), spark.createDataFrame([("t", "a", 1.0)], "kind string, host string, mass double"), rounds=6).collect()}
+    e = [("t", "a", "b", 1.0, False), ("t", "b", "a", 0.5, True), ("t", "b", "c", 0.5, True)]
+    got = {r.host: r.mass for r in urls.propagate(spark.createDataFrame(e, "kind string, src string, dst string, share double, hub boolean"), spark.createDataFrame([("t", "a", 1.0)], "kind string, host string, mass double"), rounds=6).collect()}
     m = {"a": 1.0, "b": 0.0, "c": 0.0}
     for _ in range(6):
         m = {"a": 0.15 + 0.85 * 0.5 * m["b"], "b": 0.85 * m["a"], "c": 0.85 * 0.5 * m["b"]}
@@ -116,6 +133,34 @@ def test_vector_edges(spark):
     assert {tuple(r) for r in embeddings.near_duplicates(same).collect()} == {(5, 1, 3, False), (3, 1, 3, True), (9, 0, 9, True)}
 
 
+def test_vector_recall_with_a_tight_group_split_cells_and_mixed_lengths(spark):
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.sqrt((x * x).sum(1))[:, None]
+    x = unit(rng.normal(size=(2500, 32)))
+    side = rng.normal(size=x.shape)
+    side = unit(side - (side * x).sum(1)[:, None] * x)
+    group = unit(unit(rng.normal(size=(1, 32))) + 0.03 * rng.normal(size=(2500, 32)))
+    far = unit(rng.normal(size=(600, 8)))
+    every = [*x, *(0.902 * x + np.sqrt(1 - 0.902**2) * side), *group, *far]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(every)], "vec_id long, embedding array<double>").repartition(5)
+    want = np.zeros(len(every), np.int64)
+    for a, b in ((0, 7500), (7500, len(every))):
+        u = np.stack(every[a:b])
+        hit = u @ u.T >= 0.9
+        want[a:b] = hit.sum(1) - 1
+    for split in (32_768, 1500):
+        got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(df, split=split).collect()}
+        found = np.array([got[i] for i in range(len(every))])
+        assert (found <= want).all() and found.sum() >= 0.99 * want.sum()
+        assert found[:5000].sum() >= 0.97 * want[:5000].sum()
+
+
+def test_vectors_of_other_lengths_null_ids_and_repeats(spark):
+    rows = [(i, [float(i == j) for j in range(3)]) for i in range(3)] + [(10, [1.0, 2.0]), (11, [1.0, 2.001]), (11, [1.0, 2.001]), (None, [1.0, 2.0]), (None, None), (12, []), (13, [5.0])]
+    got = sorted(map(tuple, embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)).collect()), key=str)
+    assert got == sorted([(0, 0, 0, True), (1, 0, 1, True), (2, 0, 2, True), (10, 1, 10, True), (11, 1, 10, False), (12, 0, 12, True), (13, 0, 13, True), (None, 0, None, True), (None, 0, None, True)], key=str)
+
+
 def test_components(spark):
     rng = random.Random(8)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(64)] + [(5000, i) for i in range(2000, 2100)] + [(None, 1)]

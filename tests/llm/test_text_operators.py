@@ -95,6 +95,14 @@ def test_jaccard_join_edges(spark, none):
     assert sorted(r.doc_id or 0 for r in ngrams.one_of_each(df).collect()) == [0, 1]
 
 
+def test_rows_that_repeat_beside_near_copies_count_once(spark):
+    words = [f"w{i}" for i in range(100)]
+    near = " ".join([*words[:99], "other"])
+    rows = [(1, " ".join(words))] * 3 + [(2, near), (2, near), (3, " ".join(reversed(words))), (None, near), (None, near)]
+    got = sorted(map(tuple, ngrams.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 3, 0, True), (None, None, 0, True), (None, None, 0, True)]
+
+
 def test_runs_follow_from_the_recall():
     assert ngrams.runs_for(0.9) < ngrams.runs_for(0.9999) <= 5
 
