@@ -11,8 +11,8 @@ runs follows from the recall that is asked for.
 * A node of one set is dropped; in a node of at most `small` sets all pairs are
   compared (by their 64 samples), and a spanning forest of the links goes on.
 * In a larger node all sets are compared with one pivot. Sets near the pivot
-  are linked with it; those so near that all their partners are linked with the
-  pivot too (Jaccard distance is a metric) leave the node, and the others are
+  are linked with it; those so near that their partners are as a rule linked with
+  the pivot too (Jaccard distance is a metric) leave the node, and the others are
   split further. So a large group of near copies costs one comparison a set.
 
 The links found so are candidates. They only say which sets must meet: within a
@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, binary_array, column_bytes, lean, materialize, mix64, prefix_hash, slices, span_hash, tune, word_spans
-from .components import components
+from .common import ALNUM, LOWER, binary_array, column_bytes, lean, materialize, mix64, prefix_hash, shuffle_partitions, slices, span_hash, tune, word_spans
+from .components import components, with_value
 from .embeddings import forest
 
 WORDS = 5
@@ -41,12 +41,12 @@ SIMILARITY = 0.8
 SAMPLES = 64
 SPLITS = 2
 SMALL = 256
-BLOCK = 1024
+BLOCK = 512
 DEPTH = 12
 #: Similarity estimates: pairs of small nodes above PAIR are candidates; a pivot links what is above LINK and
-#: releases what is above LEAVE. Distances add up to 1 - LEAVE + 0.2, so partners of what leaves are above
-#: LEAVE - 0.2; the rest of the gap is three times the error of the difference of two such estimates (0.05).
-PAIR, LINK, LEAVE = 0.6, 0.45, 0.8
+#: releases what is above LEAVE. LOST is the share of pairs that a run may lose so: one leaves, and the other,
+#: on the far side of the pivot, is not linked. Each node of each run has its own pivot, so runs lose others.
+PAIR, LINK, LEAVE, LOST = 0.6, 0.45, 0.5, 0.1
 
 _rng = np.random.default_rng(20180401)
 _A = (_rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint64) * 2 + 1).astype(np.uint32)
@@ -59,7 +59,7 @@ def runs_for(recall: float, similarity: float = SIMILARITY, splits: int = SPLITS
     q = 1.0
     for _ in range(200):  # the chance to share a leaf of an endless tree
         q = 1 - (1 - similarity * q) ** splits
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - q)))
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - q * (1 - LOST))))
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -198,9 +198,12 @@ def candidates(reps: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataF
     sigs = reps.select("doc", "sig")
     rows = reps.select("doc", F.explode("nodes").alias("node"))  # later levels have sig as well
     edges, small_nodes = spark.createDataFrame([], "a long, b long"), []
+    share = 4 * shuffle_partitions(spark)
     for level in range(depth + 1):
-        sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        live = materialize(rows.join(sizes, "node"), "nodes")
+        sizes = materialize(rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").withColumn("n", F.col("size")), "sizes")
+        seen = sizes.agg(F.sum("size").alias("n"), F.max("size").alias("most")).first()
+        hot = (seen.n or 0) // share + 1
+        live = materialize(with_value(rows, sizes, hot, ["node"]), "nodes")
         small_, big = live.where(F.col("size") <= small), live.where(F.col("size") > small)
         leaves = small_.drop("size")
         if level == depth:  # what is still together is compared in blocks of a small node's size
@@ -210,15 +213,15 @@ def candidates(reps: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataF
         if level == 0:
             leaves = leaves.join(sigs, "doc")
         small_nodes.append(leaves.select("node", "doc", "sig"))
-        if level == depth or not big.limit(1).count():
+        if level == depth or (seen.most or 0) <= small:
             break
-        pivots = big.groupBy("node").agg(F.min(F.struct(F.xxhash64("doc").alias("h"), "doc")).alias("p")).select("node", F.col("p.doc").alias("pivot"))
+        pivots = big.groupBy("node").agg(F.min(F.struct(F.xxhash64("node", "doc").alias("h"), "doc")).alias("p"), F.count("*").alias("n")).select("node", F.col("p.doc").alias("pivot"), "n")
         if level == 0:
             pivots = pivots.join(sigs.select(F.col("doc").alias("pivot"), F.col("sig").alias("psig")), "pivot")
             big = big.join(sigs, "doc")
         else:
             pivots = pivots.join(big.select("node", F.col("doc").alias("pivot"), F.col("sig").alias("psig")), ["node", "pivot"])
-        met = big.join(pivots, "node").select("node", "doc", "sig", "pivot", "psig")
+        met = with_value(big, pivots.select("node", "pivot", "psig", "n"), hot, ["node"]).select("node", "doc", "sig", "pivot", "psig")
         split = materialize(met.mapInArrow(lean(_pivots), "doc long, sig binary, pivot long, next array<long>"), "split")
         edges = edges.unionByName(split.where("pivot is not null and pivot <> doc").select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
         rows = split.where("size(next) > 0").select("doc", "sig", F.explode("next").alias("node"))
@@ -311,7 +314,7 @@ def _verify(similarity: float, words: int):
     return run
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, recall: float = 0.9999, small: int = SMALL, block: int = BLOCK, with_hash: bool = False) -> DataFrame:
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, recall: float = 0.999, small: int = SMALL, block: int = BLOCK, with_hash: bool = False) -> DataFrame:
     """(id, class_id, n_links, kept): one row per distinct (id, text) of docs.
 
     n_links is the number of other documents whose shingle sets have at least
