@@ -81,7 +81,7 @@ def cascade(text: Column, rules: list[tuple[str, str]], default: str) -> Column:
     out = None
     for literal, value in rules:
         out = F.when(text.contains(literal), value) if out is None else out.when(text.contains(literal), value)
-    return out.otherwise(default)
+    return out if default is None else out.otherwise(default)
 
 
 def cascade_patterns(text: Column, rules: list[tuple[str, str]], default: str) -> Column:
@@ -89,7 +89,7 @@ def cascade_patterns(text: Column, rules: list[tuple[str, str]], default: str) -
     out = None
     for value, pattern in rules:
         out = F.when(text.rlike(pattern), value) if out is None else out.when(text.rlike(pattern), value)
-    return out.otherwise(default)
+    return out if default is None else out.otherwise(default)
 
 
 def best_by_keywords(text: Column, table: dict[str, list[str]], default: str) -> Column:

@@ -34,14 +34,27 @@ def capital_entities(sections: DataFrame, body: str = "body", pattern: str = "[A
 
 
 def pattern_entities(sections: DataFrame, keep: tuple[str, ...], body: str = "body", default_layer: Column | None = None, patterns: list[tuple[str, str]] = rules.ENTITY_PATTERNS) -> DataFrame:
-    """(keep, entity, type, layer, context) of every pattern match; all patterns in one pass over the rows."""
+    """(keep, entity, type, layer, context) of every pattern match; all patterns in one pass over the rows.
+
+    The context is the text around each match itself: matches of a pattern don't
+    overlap and come in order, so each is looked for after the one before it.
+    """
+
     def matches(kind: str, pattern: str) -> Column:
-        return F.transform(F.regexp_extract_all(F.col(body), F.lit(pattern), F.lit(1)), lambda e: F.struct(F.lit(kind).alias("type"), e.alias("entity")))
+        none = F.array().cast("array<struct<type:string,entity:string,at:int>>")
+        start = F.struct(F.lit(1).alias("next"), none.alias("hits"))
+
+        def step(s: Column, e: Column) -> Column:
+            at = F.call_function("locate", e, F.col("_body"), s["next"])
+            hit = F.struct(F.lit(kind).alias("type"), e.alias("entity"), at.alias("at"))
+            return F.struct((at + F.length(e)).alias("next"), F.concat(s["hits"], F.array(hit)).alias("hits"))
+
+        return F.aggregate(F.regexp_extract_all(F.col("_body"), F.lit(pattern), F.lit(1)), start, step, lambda s: s["hits"])
 
     found = [matches(t, p) for t, p in patterns]
-    hits = sections.select(*keep, F.col(body).alias("_body"), F.explode(F.flatten(F.array(*found))).alias("hit"))
+    hits = sections.select(*keep, F.col(body).alias("_body")).select(*keep, "_body", F.explode(F.flatten(F.array(*found))).alias("hit"))
     layer = layer_of(F.col("hit.type"), default_layer if default_layer is not None else F.lit("informal"))
-    return hits.select(*keep, "hit.entity", "hit.type", layer.alias("layer"), T.snippet(F.col("_body"), F.expr("locate(hit.entity, _body)"), F.length("hit.entity")).alias("context"))
+    return hits.select(*keep, "hit.entity", "hit.type", layer.alias("layer"), T.snippet(F.col("_body"), F.col("hit.at"), F.length("hit.entity")).alias("context"))
 
 
 def layer_of(kind: Column, default: Column) -> Column:
@@ -69,6 +82,15 @@ def pages_of(docs: DataFrame, key: str, text: str, mark: str = rules.PAGE_MARK)
     return docs.select(key, F.explode(F.arrays_zip(numbers.alias("page"), bodies.alias("body"))).alias("p")).select(key, F.col("p.page").cast("int").alias("page"), T.strip(F.col("p.body")).alias("body")).where("body <> ''")
 
 
+def page_articles(pages: DataFrame, key: str, page: str = "page", body: str = "body", cap: int = 2000) -> DataFrame:
+    """(key, page, number, body): articles of each page by itself, up to the next article or the page's end."""
+    text = F.concat(F.lit("\n"), F.col(body))
+    bodies, numbers = F.split(text, rules.PAGE_ARTICLE), F.regexp_extract_all(text, F.lit(rules.PAGE_ARTICLE), F.lit(1))
+    zipped = F.arrays_zip(numbers.alias("number"), F.slice(bodies, F.lit(2), F.greatest(F.size(bodies), F.lit(1))).alias("body"))
+    rows = pages.select(key, page, F.explode(zipped).alias("a"))
+    return rows.select(key, page, F.col("a.number").cast("int").alias("number"), F.substring(T.strip(F.col("a.body")), 1, cap).alias("body"))
+
+
 def segments(docs: DataFrame, key: str, text: str, mark: str, cap: int = 2000) -> DataFrame:
     """(key, unit, label, body): text from each match of `mark` (group 1 is the label) to the next.
 

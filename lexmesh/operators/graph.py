@@ -7,7 +7,9 @@ a broadcast edge list, and refuse graphs beyond a stated size.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,9 +56,9 @@ def edges(entities: DataFrame, job: str, section: str, entity: str = "entity", l
     """(src, dst, weight, layers, n_documents, transversal)."""
     rows = entities.select(F.col(job).alias("job"), F.col(section).alias("section"), T.node_id(F.col(entity)).alias("nid"), F.col(layer).alias("layer")).where("nid <> ''")
     sets = rows.groupBy("job", "section").agg(F.array_sort(F.collect_set("nid")).alias("ids"), F.collect_set("layer").alias("layers")).where("size(ids) > 1")
-    found = pairs(sets, "ids", "job", "layers")
-    by_job = found.groupBy("src", "dst", "job").agg(F.count("*").alias("w"), F.array_distinct(F.flatten(F.collect_set("layers"))).alias("layers"))
-    out = by_job.groupBy("src", "dst").agg(F.sum("w").alias("weight"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("layers")))).alias("layers"), F.count("*").alias("n_documents"))
+    # summed per pair and layer, so that what is merged are counts and not lists
+    found = pairs(sets, "ids", "job", "layers").groupBy("src", "dst", "job", "layers").agg(F.count("*").alias("w"))
+    out = found.groupBy("src", "dst").agg(F.sum("w").alias("weight"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("layers")))).alias("layers"), F.count_distinct("job").alias("n_documents"))
     return out.withColumn("transversal", F.size("layers") > 1)
 
 
@@ -93,10 +95,11 @@ def density_by_layer(links: DataFrame, layered: DataFrame) -> DataFrame:
     return n.join(m, "layer", "left").select("layer", "n_nodes", F.coalesce("n_edges", F.lit(0)).cast("long").alias("n_edges"), F.round(F.when(k > 1, 2 * F.coalesce("n_edges", F.lit(0)) / (k * (k - 1))).cast("double"), 4).alias("density"))
 
 
-def weak_components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def weak_components(links: DataFrame, rounds: int = 200) -> DataFrame:
     """(node, component): the smallest node that links reach, by minimum labels with pointer jumping.
 
-    Each round is written by checkpoint(), so its plan stays small.
+    Each round is written by checkpoint(), so its plan stays small; labels that
+    have not settled after `rounds` rounds are an error, never a result.
     """
     both = cut(links.select("src", "dst").union(links.select(F.col("dst"), F.col("src"))).toDF("node", "other").distinct())
     label = both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("component"))
@@ -108,32 +111,115 @@ def weak_components(links: DataFrame, rounds: int = 60) -> DataFrame:
         label = cut(low.join(jump, "component", "left").select("node", F.coalesce("up", "component").alias("component")))
         now = label.agg(F.sum(F.xxhash64("node", "component").cast("decimal(38,0)"))).first()[0]
         if now == before:
-            break
+            return label
         before = now
-    return label
+    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def distances(links: DataFrame, sources: DataFrame | None = None, directed: bool = False, depth: int = 64) -> DataFrame:
+def distances(links: DataFrame, sources: DataFrame | None = None, directed: bool = False) -> DataFrame:
     """(source, target, distance) of all reachable pairs, source itself at 0: breadth-first by joins.
 
     Every round joins the frontier of all sources with the edges and keeps what
-    is new, so the work is spread by vertex; meant for graphs whose pairs fit the
-    cluster.
+    is new, until nothing is. The rounds' frontiers are written and put together
+    at the end, none is rewritten. The result has a row per pair, so it is meant
+    for graphs whose pairs fit the cluster; `closeness` needs no pairs.
     """
     e = links.select("src", "dst") if directed else links.select("src", "dst").union(links.select("dst", "src")).distinct()
     e = cut(e)
     start = sources.select(F.col(sources.columns[0]).alias("source")) if sources is not None else links.select(F.explode(F.array("src", "dst")).alias("source")).distinct()
-    seen = start.select("source", F.col("source").alias("target"), F.lit(0).alias("distance"))
-    seen = cut(seen)
-    frontier = seen
-    for d in range(1, depth + 1):
+    seen = cut(start.select("source", F.col("source").alias("target"), F.lit(0).alias("distance")))
+    rounds = [seen]
+    while rounds[-1].limit(1).count():
+        frontier = rounds[-1]
         step = frontier.join(e, frontier.target == e.src).select("source", F.col("dst").alias("target")).distinct()
-        frontier = step.join(seen, ["source", "target"], "left_anti").withColumn("distance", F.lit(d))
-        frontier = cut(frontier)
-        if not frontier.limit(1).count():
-            break
-        seen = cut(seen.union(frontier))
-    return seen
+        # a step can't come back to more than two rounds before, but for directed links
+        old = reduce(DataFrame.unionByName, rounds if directed else rounds[-2:]).select("source", "target")
+        rounds.append(cut(step.join(old, ["source", "target"], "left_anti").withColumn("distance", F.lit(len(rounds)))))
+    return reduce(DataFrame.unionByName, rounds)
+
+
+class _Packed:
+    """A graph as arrays: neighbours of vertex v are to[first[v] : first[v + 1]]."""
+
+    def __init__(self, names: np.ndarray, first: np.ndarray, to: np.ndarray, cost: np.ndarray) -> None:
+        self.names, self.first, self.to, self.cost = names, first, to, cost
+
+    def out(self, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(vertex of the level, neighbour) for every edge that leaves the level."""
+        n = self.first[level + 1] - self.first[level]
+        at = np.repeat(self.first[level] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.repeat(level, n), self.to[at]
+
+
+def _packed(links: DataFrame, directed: bool, weight: str | None = None, inverse: bool = False, reverse: bool = False) -> _Packed:
+    """The edge list, on the driver; more than MOST_EDGES edges are an error."""
+    if (m := links.count()) > MOST_EDGES:
+        raise ValueError(f"{m} edges; metrics over all shortest paths take {MOST_EDGES} at most")
+    got = links.select("src", "dst", *[weight] * bool(weight)).toPandas()
+    names = np.unique(np.concatenate([got["src"].to_numpy(), got["dst"].to_numpy()])) if len(got) else np.array([])
+    a, b = np.searchsorted(names, got["src"].to_numpy()), np.searchsorted(names, got["dst"].to_numpy())
+    length = got[weight].to_numpy(float) if weight else np.ones(len(got))
+    if inverse:
+        length = 1 / length
+    if reverse:
+        a, b = b, a
+    if not directed:
+        a, b, length = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([length, length])
+    order = np.lexsort((length, b, a))
+    a, b, length = a[order], b[order], length[order]
+    first = np.ones(len(a), bool)
+    first[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])  # of parallel edges the shortest
+    a, b, length = a[first], b[first], length[first]
+    return _Packed(names, np.searchsorted(a, np.arange(len(names) + 1)), b, length)
+
+
+def _by_source(links: DataFrame, graph: _Packed, work: Callable[[_Packed, int], tuple[np.ndarray, np.ndarray]], schema: str, share: float = 1.0) -> DataFrame:
+    """Rows (i, value) that `work` gives for each source, or for a share of them, summed per task."""
+    spark, n = links.sparkSession, len(graph.names)
+    sent = spark.sparkContext.broadcast(graph)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n)
+        for batch in batches:
+            for s in batch.column(0).to_pylist():
+                at, value = work(sent.value, s)
+                total[at] += value
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["i", "value"])
+
+    picked = spark.range(n).select(F.col("id").alias("s"))
+    if share < 1:
+        picked = picked.where(F.pmod(F.xxhash64("s"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    tasks = max(1, min(n, spark.sparkContext.defaultParallelism * 2))
+    sums = picked.repartition(tasks, "s").mapInArrow(run, schema).groupBy("i").agg(F.sum("value").alias("value"))
+    kind = links.schema["src"].dataType.simpleString()
+    table = spark.createDataFrame([(i, x.item() if hasattr(x, "item") else x) for i, x in enumerate(graph.names)], f"i long, node {kind}")
+    return table.join(sums, "i", "left").select("node", F.coalesce("value", F.lit(0.0)).alias("value"))
+
+
+def _closeness_of(graph: _Packed, s: int) -> tuple[np.ndarray, np.ndarray]:
+    seen = np.zeros(len(graph.names), bool)
+    seen[s] = True
+    level, d, total, reach = np.array([s]), 0, 0, 0
+    while len(level):
+        total, reach, d = total + d * len(level), reach + len(level), d + 1
+        level = np.unique(graph.out(level)[1])
+        level = level[~seen[level]]
+        seen[level] = True
+    reach -= 1
+    return np.array([s]), np.array([reach / total * reach if total else 0.0])
+
+
+def closeness_centrality(links: DataFrame, vertices: DataFrame, directed: bool = False) -> DataFrame:
+    """(node, closeness) of all vertices (node), as `closeness` gives it, without the pairs.
+
+    The edges are broadcast (at most MOST_EDGES), and a breadth-first search from
+    each vertex, against the links, gives its sum; tasks send back one row per vertex.
+    """
+    found = _by_source(links, _packed(links, directed, reverse=True), _closeness_of, "i long, value double")
+    n = vertices.agg(F.count("*").alias("n"))
+    value = F.coalesce("value", F.lit(0.0)) / F.greatest(F.col("n") - 1, F.lit(1))
+    return vertices.join(found, "node", "left").crossJoin(F.broadcast(n)).select("node", F.round(value, 6).alias("closeness"))
 
 
 def closeness(found: DataFrame, vertices: DataFrame) -> DataFrame:
@@ -160,86 +246,63 @@ def betweenness(links: DataFrame, directed: bool = False, weight: str | None = N
     weight, it is the length of an edge (or 1 / weight with inverse). sources
     below 1 takes that share of the sources and scales (Brandes and Pich, 2007).
     """
-    columns = ["src", "dst"] + ([weight] if weight else [])
-    if (m := links.count()) > MOST_EDGES:
-        raise ValueError(f"{m} edges; betweenness takes {MOST_EDGES} at most")
-    got = links.select(*columns).toPandas()
-    names = np.unique(np.concatenate([got["src"].to_numpy(), got["dst"].to_numpy()])) if len(got) else np.array([])
-    n = len(names)
-    spark = links.sparkSession
-    kind = links.schema["src"].dataType.simpleString()
-    if n < 1:
-        return spark.createDataFrame([], f"node {kind}, betweenness double")
-    a, b = np.searchsorted(names, got["src"].to_numpy()), np.searchsorted(names, got["dst"].to_numpy())
-    length = got[weight].to_numpy(float) if weight else np.ones(len(got))
-    if inverse:
-        length = 1 / length
-    if not directed:
-        a, b, length = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([length, length])
-    order = np.argsort(a, kind="stable")
-    shared = spark.sparkContext.broadcast((np.searchsorted(a[order], np.arange(n + 1)), b[order], length[order]))
-    plain = weight is None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, to, cost = shared.value
-        total = np.zeros(n)
-        for batch in batches:
-            for s in batch.column(0).to_pylist():
-                total += _dependencies(s, n, first, to, None if plain else cost)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["i", "b"])
-
-    picked = spark.range(n).select(F.col("id").alias("s"))
-    if sources < 1:
-        picked = picked.where(F.pmod(F.xxhash64("s"), F.lit(1 << 20)) < int(sources * (1 << 20)))
-    sums = picked.repartition(max(1, min(n, spark.sparkContext.defaultParallelism * 2)), "s").mapInArrow(run, "i long, b double").groupBy("i").agg(F.sum("b").alias("b"))
+    graph = _packed(links, directed, weight, inverse)
+    n = len(graph.names)
+    found = _by_source(links, graph, _dependencies if weight is None else _weighted_dependencies, "i long, value double", sources)
     scale = (1.0 / ((n - 1) * (n - 2)) if n > 2 else 0.0) / sources
-    table = spark.createDataFrame([(i, x.item() if hasattr(x, "item") else x) for i, x in enumerate(names)], f"i long, node {kind}")
-    return table.join(sums, "i", "left").select("node", F.round(F.coalesce(F.col("b"), F.lit(0.0)) * scale, 6).alias("betweenness"))
-
+    return found.select("node", F.round(F.col("value") * scale, 6).alias("betweenness"))
 
-def _dependencies(s: int, n: int, first: np.ndarray, to: np.ndarray, cost: np.ndarray | None) -> np.ndarray:
-    """Brandes' dependencies of source s on every vertex."""
-    import heapq
 
-    dist, paths, before, order = np.full(n, np.inf), np.zeros(n), [[] for _ in range(n)], []
+def _dependencies(graph: _Packed, s: int) -> tuple[np.ndarray, np.ndarray]:
+    """Brandes' dependencies of source s on every vertex: levels forth, then back."""
+    n = len(graph.names)
+    dist, paths, steps = np.full(n, -1), np.zeros(n), []
     dist[s], paths[s] = 0, 1
-    if cost is None:
-        level = [s]
-        while level:
-            order += level
-            nxt = []
-            for v in level:
-                for w in to[first[v] : first[v + 1]].tolist():
-                    if np.isinf(dist[w]):
-                        dist[w] = dist[v] + 1
-                        nxt.append(w)
-                    if dist[w] == dist[v] + 1:
-                        paths[w] += paths[v]
-                        before[w].append(v)
-            level = nxt
-    else:
-        queue, done = [(0.0, s)], np.zeros(n, bool)
-        while queue:
-            d, v = heapq.heappop(queue)
-            if done[v]:
-                continue
-            done[v] = True
-            order.append(v)
-            for w, c in zip(to[first[v] : first[v + 1]].tolist(), cost[first[v] : first[v + 1]].tolist(), strict=True):
-                far = d + c
-                if far < dist[w] - 1e-12:
-                    dist[w], paths[w], before[w] = far, paths[v], [v]
-                    heapq.heappush(queue, (far, w))
-                elif abs(far - dist[w]) <= 1e-12 and not done[w]:
-                    paths[w] += paths[v]
-                    before[w].append(v)
+    level, d = np.array([s]), 0
+    while len(level):
+        a, b = graph.out(level)
+        level = np.unique(b[dist[b] < 0])
+        d += 1
+        dist[level] = d
+        tight = dist[b] == d
+        a, b = a[tight], b[tight]
+        paths += np.bincount(b, paths[a], n)
+        steps.append((a, b))
     out = np.zeros(n)
-    for w in reversed(order):
-        for v in before[w]:
-            out[v] += paths[v] / paths[w] * (1 + out[w])
+    for a, b in reversed(steps):
+        out += np.bincount(a, paths[a] / paths[b] * (1 + out[b]), n)
+    out[s] = 0
+    at = np.flatnonzero(out)
+    return at, out[at]
+
+
+def _weighted_dependencies(graph: _Packed, s: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same by Dijkstra's order, for lengths above 0."""
+    n = len(graph.names)
+    dist, done, order, queue = np.full(n, np.inf), np.zeros(n, bool), [], [(0.0, s)]
+    dist[s] = 0
+    while queue:
+        _, v = heapq.heappop(queue)
+        if done[v]:
+            continue
+        done[v] = True
+        order.append(v)
+        to, far = graph.to[graph.first[v] : graph.first[v + 1]], dist[v] + graph.cost[graph.first[v] : graph.first[v + 1]]
+        nearer = far < dist[to] - 1e-12
+        dist[to[nearer]] = far[nearer]
+        for w, x in zip(to[nearer].tolist(), far[nearer].tolist(), strict=True):
+            heapq.heappush(queue, (x, w))
+    paths, out, after = np.zeros(n), np.zeros(n), {}
+    paths[s] = 1
+    for v in order:
+        to = graph.to[graph.first[v] : graph.first[v + 1]]
+        after[v] = to[np.abs(dist[v] + graph.cost[graph.first[v] : graph.first[v + 1]] - dist[to]) <= 1e-12]
+        paths[after[v]] += paths[v]
+    for v in reversed(order):
+        out[v] = (paths[v] / paths[after[v]] * (1 + out[after[v]])).sum()
     out[s] = 0
-    return out
+    at = np.flatnonzero(out)
+    return at, out[at]
 
 
 def communities(links: DataFrame, weight: str = "weight") -> DataFrame:

@@ -19,6 +19,13 @@ def shared_words(left: DataFrame, right: DataFrame, lkey: str, rkey: str, ltext:
     return a.join(b, "_w").groupBy("left", "right").agg(F.count("*").alias("common"), F.first("n_left").cast("long").alias("n_left"), F.first("n_right").cast("long").alias("n_right"))
 
 
+def duplicates(units: DataFrame, key: str, text: str) -> DataFrame:
+    """(a, b): every unit b whose matching key is that of an earlier unit, with the first such unit a."""
+    keyed = units.select(F.col(key).alias("b"), F.sha2(T.match_key(F.col(text)).cast("binary"), 256).alias("_k"))
+    first = keyed.groupBy("_k").agg(F.min("b").alias("a"))
+    return keyed.join(first, "_k").where("b <> a").select("a", "b")
+
+
 def overlapping(pairs: DataFrame, least: int = 2) -> DataFrame:
     """Rows of `left` that share at least `least` words with some right."""
     return pairs.where(F.col("common") >= least).select("left").distinct()

@@ -182,6 +182,11 @@ def latest(rows: DataFrame, keys: tuple[str, ...], order: str) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))).where("_n = 1").drop("_n")
 
 
+def sequence(rows: DataFrame, keys: tuple[str, ...], order: str, name: str = "n") -> DataFrame:
+    """rows with their number, from 1, among those of their keys."""
+    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order)).cast("long"))
+
+
 def pending(expected: DataFrame, decisions: DataFrame, keys: tuple[str, ...], order: str = "id", decision: str = "decision", approved: str = "aprobado") -> DataFrame:
     """(keys, state): expected gates whose last decision is missing or no approval."""
     last = latest(decisions, keys, order).select(*keys, F.col(decision).alias("_d"))

@@ -104,18 +104,15 @@ def density_by_layer(spark, sf_dir):
 
 # ------------------------------------------------------------------ nation flows: a directed, weighted graph
 
-FLOW = "flow AS (SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS weight FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2), links AS (SELECT src, dst, weight FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY weight DESC, dst) AS r FROM flow) WHERE r <= 4)"
-BFS = f"{FLOW}, hop AS (SELECT src AS a, dst AS b FROM links WHERE src <> dst), RECS"
+FLOW = "flow AS (SELECT s_nationkey AS src, c_nationkey AS dst, count(*) AS weight FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2), links AS (SELECT src, dst, weight FROM flow)"
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(src, dst, weight): the four strongest customer nations of each supplier nation."""
+    """(src, dst, weight): order lines from the suppliers of one nation to the customers of another."""
     t = lambda n: table(spark, sf_dir, n)
     rows = t("lineitem").select("l_orderkey", "l_suppkey").join(t("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("src")), "l_suppkey")
     to = t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").join(t("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("dst")), "o_custkey")
-    counts = rows.join(to, "l_orderkey").groupBy("src", "dst").agg(F.count("*").alias("weight"))
-    w = Window.partitionBy("src").orderBy(F.desc("weight"), "dst")
-    return counts.withColumn("r", F.row_number().over(w)).where("r <= 4").drop("r")
+    return rows.join(to, "l_orderkey").groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,49 +139,79 @@ def directed_density(spark, sf_dir):
     return graph.density(flows(spark, sf_dir), nations(spark, sf_dir), directed=True)
 
 
-REACH = "WITH RECURSIVE {flow}, e AS ({e}), walk(source, target, d) AS (SELECT node, node, 0 FROM (SELECT src AS node FROM links UNION SELECT dst FROM links) UNION SELECT source, e.b, d + 1 FROM walk JOIN e ON e.a = target WHERE d < 24), dist AS (SELECT source, target, min(d) AS distance FROM walk GROUP BY 1, 2)"
-UNDIRECTED = REACH.format(flow=FLOW, e="SELECT src AS a, dst AS b FROM links UNION SELECT dst, src FROM links")
-DIRECTED = REACH.format(flow=FLOW, e="SELECT DISTINCT src AS a, dst AS b FROM links")
+# ------------------------------------------------------------------ paths in the entity graph
 
+#: Sections that two entities share at least to be tied: the graph of ties grows with the corpus.
+TIE = 3
+TIES = f"{EDGES}, ties AS (SELECT src, dst, weight FROM edges WHERE weight >= {TIE}), e AS (SELECT src AS a, dst AS b, weight AS w FROM ties UNION ALL SELECT dst, src, weight FROM ties), v AS (SELECT DISTINCT a AS node FROM e)"
+RECURSIVE = "WITH RECURSIVE " + TIES
+DIST = RECURSIVE + ", dist(source, target, distance) USING KEY (source, target) AS (SELECT node, node, 0 FROM v UNION SELECT d.source, e.b, d.distance + 1 FROM dist d JOIN e ON e.a = d.target LEFT JOIN recurring.dist r ON r.source = d.source AND r.target = e.b WHERE r.target IS NULL)"
+FAR = RECURSIVE + ", dist(source, target, distance) USING KEY (source, target) AS (SELECT node, node, 0 FROM v UNION SELECT n.source, n.b, min(n.far) FROM (SELECT d.source, e.b, d.distance + e.w AS far FROM dist d JOIN e ON e.a = d.target) n LEFT JOIN recurring.dist r ON r.source = n.source AND r.target = n.b WHERE r.target IS NULL OR n.far < r.distance GROUP BY 1, 2)"
+_BETWEEN = ", tight AS (SELECT x.source, e.a, e.b FROM dist x JOIN e ON e.a = x.target JOIN dist y ON y.source = x.source AND y.target = e.b AND y.distance = x.distance + {step}), cnt(source, target, hops, paths) AS (SELECT node, node, 0, 1::DOUBLE FROM v UNION ALL SELECT c.source, t.b, c.hops + 1, sum(c.paths) FROM cnt c JOIN tight t ON t.source = c.source AND t.a = c.target GROUP BY 1, 2, 3), sp AS (SELECT c.source, c.target, any_value(d.distance) AS d, sum(paths) AS paths FROM cnt c JOIN dist d ON d.source = c.source AND d.target = c.target GROUP BY 1, 2), k AS (SELECT p.target AS node, sum(p.paths * q.paths / t.paths) AS x FROM sp t JOIN sp p ON p.source = t.source AND p.target NOT IN (t.source, t.target) JOIN sp q ON q.source = p.target AND q.target = t.target AND p.d + q.d = t.d WHERE t.source <> t.target GROUP BY 1), n AS (SELECT count(*) AS n FROM v) SELECT v.node, round(coalesce(x, 0) / ((n - 1) * (n - 2)), 6) AS betweenness FROM v LEFT JOIN k USING (node), n"
 
-@query(DIRECTED + " SELECT source, target, distance FROM dist")
+
+def ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, dst, weight): entities that share at least TIE sections."""
+    return entity_edges(spark, sf_dir).where(F.col("weight") >= TIE)
+
+
+def tied(links: DataFrame) -> DataFrame:
+    return links.select(F.explode(F.array("src", "dst")).alias("node")).distinct()
+
+
+@query(DIST + " SELECT source, target, distance FROM dist")
 def shortest_paths(spark, sf_dir):
-    return graph.distances(flows(spark, sf_dir), directed=True)
+    return graph.distances(ties(spark, sf_dir))
 
 
-@query(DIRECTED + ", c AS (SELECT target AS node, sum(distance)::DOUBLE AS t, count(*) AS r FROM dist WHERE distance > 0 GROUP BY 1) SELECT n_nationkey AS node, round(coalesce((r / t) * (r / ((SELECT count(*) FROM nation) - 1)), 0), 6) AS closeness FROM nation LEFT JOIN c ON node = n_nationkey")
+@query(DIST + ", c AS (SELECT target AS node, sum(distance)::DOUBLE AS t, count(*) AS r FROM dist WHERE distance > 0 GROUP BY 1) SELECT node, round(coalesce((r / t) * (r / ((SELECT count(*) FROM v) - 1)), 0), 6) AS closeness FROM v LEFT JOIN c USING (node)")
 def closeness(spark, sf_dir):
-    return graph.closeness(graph.distances(flows(spark, sf_dir), directed=True), nations(spark, sf_dir))
+    links = ties(spark, sf_dir)
+    return graph.closeness_centrality(links, tied(links))
 
 
-@query(UNDIRECTED + ", s AS (SELECT max(distance) AS d, avg(distance) AS g, count(*) AS p, (SELECT count(*) FROM nation) AS n FROM dist WHERE distance > 0) SELECT CASE WHEN p = n * (n - 1) THEN d END::BIGINT AS diameter, CASE WHEN p = n * (n - 1) THEN round(g, 4) END AS mean_geodesic FROM s")
-def diameter(spark, sf_dir):
-    return graph.path_summary(graph.distances(flows(spark, sf_dir)), nations(spark, sf_dir))
+@query(DIST + ", c AS (SELECT target AS node, sum(distance)::DOUBLE AS t, count(*) AS r FROM dist WHERE distance > 0 GROUP BY 1) SELECT node, round(coalesce((r / t) * (r / ((SELECT count(*) FROM v) - 1)), 0), 6) AS closeness FROM v LEFT JOIN c USING (node)")
+def closeness_of_pairs(spark, sf_dir):
+    """The same from the pairs' distances."""
+    links = ties(spark, sf_dir)
+    return graph.closeness(graph.distances(links), tied(links))
 
 
-@query(UNDIRECTED + " SELECT source AS node, min(target) AS component FROM dist GROUP BY 1")
-def components(spark, sf_dir):
-    return graph.weak_components(flows(spark, sf_dir).select("src", "dst"))
+@query(DIST + ", comp AS (SELECT source AS node, min(target) AS component FROM dist GROUP BY 1), big AS (SELECT component FROM comp GROUP BY 1 ORDER BY count(*) DESC, component LIMIT 1), s AS (SELECT max(distance) AS d, avg(distance) AS g FROM dist JOIN comp ON comp.node = dist.source JOIN big USING (component) WHERE distance > 0) SELECT d::BIGINT AS diameter, round(g, 4) AS mean_geodesic FROM s")
+def diameter(spark, sf_dir):
+    """Of the largest component, the first by name among equals."""
+    links = ties(spark, sf_dir)
+    parts = graph.weak_components(links)
+    big = parts.groupBy("component").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "component").limit(1).select("component")
+    inside = parts.join(F.broadcast(big), "component").select("node")
+    return graph.path_summary(graph.distances(links.join(inside.withColumnRenamed("node", "src"), "src", "left_semi")), inside)
 
 
-SIGMA = UNDIRECTED + ", cnt(source, target, d, paths) AS (SELECT source, target, 0, 1::DOUBLE FROM dist WHERE source = target UNION ALL SELECT c.source, e.b, c.d + 1, sum(c.paths) FROM cnt c JOIN e ON e.a = c.target JOIN dist x ON x.source = c.source AND x.target = e.b AND x.distance = c.d + 1 GROUP BY 1, 2, 3), sp AS (SELECT source, target, d, sum(paths) AS paths FROM cnt GROUP BY 1, 2, 3), b AS (SELECT v.target AS node, sum(v.paths * w.paths / t.paths) AS x FROM sp t JOIN sp v ON v.source = t.source AND v.target NOT IN (t.source, t.target) JOIN sp w ON w.source = v.target AND w.target = t.target AND v.d + w.d = t.d WHERE t.source <> t.target GROUP BY 1), n AS (SELECT count(*) AS n FROM (SELECT src FROM links UNION SELECT dst FROM links)) SELECT s.source AS node, round(coalesce(x, 0) / ((n - 1) * (n - 2)), 6) AS betweenness FROM (SELECT DISTINCT source FROM dist) s LEFT JOIN b ON b.node = s.source, n"
+@query(DIST + " SELECT source AS node, min(target) AS component FROM dist GROUP BY 1")
+def components(spark, sf_dir):
+    return graph.weak_components(ties(spark, sf_dir))
 
 
-@query(SIGMA)
+@query(DIST + _BETWEEN.format(step="1"))
 def betweenness_unweighted(spark, sf_dir):
-    links = flows(spark, sf_dir).where("src <> dst")
-    both = links.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
-    return graph.betweenness(both)
+    return graph.betweenness(ties(spark, sf_dir))
 
 
-@query()
+@query(FAR + _BETWEEN.format(step="e.w"))
 def betweenness_weighted(spark, sf_dir):
-    return graph.betweenness(flows(spark, sf_dir).where("src <> dst"), directed=True, weight="weight")
+    """The weight is an edge's length."""
+    return graph.betweenness(ties(spark, sf_dir), weight="weight")
+
+
+@query(DIST + _BETWEEN.format(step="1") + " ORDER BY betweenness DESC, node LIMIT 10")
+def top_betweenness(spark, sf_dir):
+    """The ten entities between most others (a top-k report)."""
+    return graph.betweenness(ties(spark, sf_dir)).orderBy(F.desc("betweenness"), "node").limit(10)
 
 
 @query()
 def communities_modularity(spark, sf_dir):
-    links = flows(spark, sf_dir).where("src <> dst")
+    links = ties(spark, sf_dir)
     parts = graph.communities(links)
     return parts.crossJoin(F.broadcast(graph.modularity(links, parts)))
 
@@ -195,11 +222,17 @@ def edge_scaling(spark, sf_dir):
     return flows(spark, sf_dir).agg(F.count("*").alias("m"), F.max("weight").alias("w")).crossJoin(n).select(F.round(F.col("m") / F.col("n"), 4).alias("edges_per_node"), F.round(0.5 + 2.5 * F.col("w") / 10, 2).alias("widest"))
 
 
-@query("WITH x AS (SELECT DISTINCT user_id, event_type FROM events) SELECT user_id AS actor, " + ", ".join(f"max(CASE WHEN event_type = '{s}' THEN 'X' ELSE '' END) AS \"{s}\"" for s in ("view", "click", "purchase", "signup", "error")) + ", count(DISTINCT event_type) AS n_stages FROM x GROUP BY 1")
+KINDS = ("view", "click", "purchase", "signup", "error")
+
+
+@query("WITH n AS (SELECT user_id, event_type, lead(user_id) OVER (ORDER BY event_id) AS next FROM events), l AS (SELECT user_id AS src, next AS dst, event_type FROM n WHERE next IS NOT NULL AND next <> user_id), x AS (SELECT DISTINCT actor, event_type FROM (SELECT src AS actor, event_type FROM l UNION ALL SELECT dst, event_type FROM l UNION ALL SELECT user_id, event_type FROM events WHERE value > 50) WHERE actor % 3 <> 0) SELECT actor, " + ", ".join(f"max(CASE WHEN event_type = '{s}' THEN 'X' ELSE '' END) AS \"{s}\"" for s in KINDS) + ", count(DISTINCT event_type) AS n_stages FROM x GROUP BY 1")
 def incidence_matrix(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("actor"), F.col("event_type").alias("stage"))
-    none = spark.createDataFrame([], "src long, dst long, stage string")
-    return graph.incidence(none, e, e.select("actor").distinct(), ["view", "click", "purchase", "signup", "error"])
+    """Stages of each known actor: of its edges, to the user of the next event, and of its memberships."""
+    e = table(spark, sf_dir, "events")
+    following = e.select((F.col("event_id") - 1).alias("event_id"), F.col("user_id").alias("dst"))
+    links = e.join(following, "event_id").select(F.col("user_id").alias("src"), "dst", F.col("event_type").alias("stage")).where("src <> dst")
+    members = e.where("value > 50").select(F.col("user_id").alias("actor"), F.col("event_type").alias("stage"))
+    return graph.incidence(links, members, e.select(F.col("user_id").alias("actor")).distinct().where("actor % 3 <> 0"), list(KINDS))
 
 
 @query(f"WITH {FLOW} SELECT n_nationkey AS node FROM nation UNION SELECT src FROM links UNION SELECT dst FROM links")
@@ -289,11 +322,14 @@ def coverage(spark, sf_dir):
     return both.select("page_id", records.coverage(F.col("t"), F.col("html")).alias("coverage"), (T.n_words(F.col("t")) / F.greatest(T.n_words(F.col("html")), F.lit(1)) >= 0.85).alias("passes"))
 
 
-@query("WITH p AS (SELECT b.item_id AS key, b.text AS a, d.text AS t FROM benchmark b JOIN documents d ON d.doc_id = b.item_id), w AS (SELECT key, x, count(*) AS n FROM (SELECT key, unnest(regexp_split_to_array(lower(a), '[^\\p{L}\\p{N}]+')) AS x FROM p) WHERE length(x) >= 4 GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, x) AS rn FROM w) SELECT key, count(*) AS n_keywords, count(*) FILTER (contains(lower(t), x)) AS kept, round(count(*) FILTER (contains(lower(t), x)) / count(*), 4) AS rate FROM r JOIN p USING (key) WHERE rn <= 20 GROUP BY 1")
+HTML_TEXT = "trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query(f"WITH {PAGES_MD}, p AS (SELECT page_id AS key, {HTML_TEXT} AS a, t FROM pages JOIN md USING (page_id)), w AS (SELECT key, x, count(*) AS n FROM (SELECT key, unnest(regexp_split_to_array(lower(a), '[^\\p{{L}}\\p{{N}}]+')) AS x FROM p) WHERE length(x) >= 4 GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n DESC, x) AS rn FROM w) SELECT key, count(*) AS n_keywords, count(*) FILTER (contains(lower(t), x)) AS kept, round(count(*) FILTER (contains(lower(t), x)) / count(*), 4) AS rate FROM r JOIN p USING (key) WHERE rn <= 20 GROUP BY 1")
 def keyword_preservation(spark, sf_dir):
-    b, d = table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents")
-    pairs = b.select(F.col("item_id").alias("key"), F.col("text").alias("a")).join(d.select(F.col("doc_id").alias("key"), F.col("text").alias("t")), "key")
-    return records.keyword_preservation(pairs, "key", "a", "t")
+    """Of each page's most frequent words, the share that its Markdown keeps."""
+    pairs = pages_md(spark, sf_dir).join(table(spark, sf_dir, "pages").select("page_id", readers.html_text(F.col("html")).alias("a")), "page_id")
+    return records.keyword_preservation(pairs.withColumnRenamed("page_id", "key"), "key", "a", "t")
 
 
 _FENCE = "regexp_matches(line, '^\\s*```')"
@@ -316,9 +352,9 @@ def job_totals(spark, sf_dir):
     return table(spark, sf_dir, "labels").agg(F.round(F.avg("quality"), 4).alias("mean_quality"), F.count_if(F.col("toxic") == 1).alias("n_warn"), F.count_if(F.col("quality") == 0).alias("n_fail"), F.count("*").alias("n"))
 
 
-@query()
+@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 1.0 WHEN page_id % 3 = 1 THEN 0.0 ELSE round(2.0 * 40 / (40 + 60), 4) END::DOUBLE AS ratio FROM pages")
 def text_similarity(spark, sf_dir):
-    """Sequence-matching ratio of each benchmark item and the document of the same number."""
+    """Sequence-matching ratio of each page's text with a copy, with a text that shares no character, and with parts of one known ratio."""
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("double")
@@ -327,9 +363,11 @@ def text_similarity(spark, sf_dir):
 
         return pd.Series([round(T.similarity_ratio(x, y), 4) for x, y in zip(a, b, strict=True)])
 
-    b, d = table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents")
-    pairs = b.select(F.col("item_id").alias("key"), F.col("text").alias("a")).join(d.select(F.col("doc_id").alias("key"), F.col("text").alias("t")), "key")
-    return pairs.select("key", ratio("a", "t").alias("ratio"))
+    text = F.concat(F.lit("x"), readers.html_text(F.col("html")))
+    part = F.repeat(F.lit("ab"), 20)
+    a = F.when(F.col("page_id") % 3 == 2, part).otherwise(text)
+    b = F.when(F.col("page_id") % 3 == 0, text).when(F.col("page_id") % 3 == 1, F.lit("\u0001\u0002")).otherwise(F.concat(part, F.repeat(F.lit("z"), 20)))
+    return table(spark, sf_dir, "pages").select("page_id", ratio(a, b).alias("ratio"))
 
 
 # ------------------------------------------------------------------ fuzzy joins of names
@@ -507,22 +545,61 @@ def allcaps(spark, sf_dir):
     return lines.where(T.is_caps(F.col("body")) & (T.n_words(F.col("body")) > 3)).groupBy("doc_id").agg(F.count("*").alias("n_caps"))
 
 
-STYLED = "CASE conv_id % 4 WHEN 0 THEN 'Cabe destacar que, según la pag. ' || turn || ' todo sigue' WHEN 1 THEN 'Yo considero que Art. 28.5 aplica' WHEN 2 THEN 'dice \"la ley orgánica de los estados\" aquí' ELSE text END"
+STYLED = "text || CASE conv_id % 4 WHEN 0 THEN ' Cabe destacar que, según la pag. ' || turn || ' todo sigue' WHEN 1 THEN ' Yo considero que Art. 28.5 aplica' WHEN 2 THEN ' dice \"la ley orgánica de los estados\" aquí' ELSE '' END"
+QUOTED = """list_filter(regexp_extract_all(t, '"([^"]{20,})"', 1), lambda q: NOT (contains(q, 'http') OR contains(q, 'www.')) AND (""" + " OR ".join(f"contains(q, '{w}')" for w in style.LEGAL) + "))"
+SENTENCES = "list_filter(list_transform(regexp_split_to_array(t, '[.!?]+'), lambda x: trim(regexp_replace(x, '\\s+', ' ', 'g'))), lambda x: x <> '' AND len(string_split(x, ' ')) > 35)"
 
 
 def styled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc, par, text): every turn with its whole text, and in three of four a phrase that the rules know."""
     return table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.col("turn").alias("par"), F.expr(STYLED).alias("text"))
 
 
-@query("WITH s AS (SELECT conv_id % 4 AS k FROM conversations) SELECT rule, severity, count(*) AS n FROM (SELECT unnest(CASE k WHEN 0 THEN [('filler', 'WARNING'), ('page', 'ERROR')] WHEN 1 THEN [('first_person', 'ERROR'), ('bis', 'ERROR')] ELSE [('quotes', 'WARNING')] END) AS r FROM s WHERE k < 3), LATERAL (SELECT r[1] AS rule, r[2] AS severity) GROUP BY 1, 2".replace("r[1]", "struct_extract(r, 1)").replace("r[2]", "struct_extract(r, 2)"))
+@query(f"WITH s AS (SELECT conv_id, turn, conv_id % 4 AS k, {STYLED} AS t FROM conversations), f AS (SELECT unnest(CASE k WHEN 0 THEN ['filler', 'page'] WHEN 1 THEN ['first_person', 'bis'] ELSE [] END) AS rule FROM s UNION ALL SELECT 'quotes' FROM s, unnest({QUOTED}) UNION ALL SELECT 'long_sentence' FROM s, unnest({SENTENCES}) UNION ALL SELECT 'capitals' FROM s WHERE t = upper(t) AND t <> lower(t) AND len(string_split(trim(regexp_replace(t, '\\s+', ' ', 'g')), ' ')) > 3) SELECT rule, CASE WHEN rule IN ('page', 'first_person', 'bis') THEN 'ERROR' ELSE 'WARNING' END AS severity, count(*) AS n FROM f GROUP BY 1, 2")
 def style_findings(spark, sf_dir):
-    found = style.findings(styled(spark, sf_dir).where("doc % 4 < 3"))
-    return found.groupBy("rule", "severity").agg(F.count("*").alias("n"))
+    """Findings of all rules over all turns."""
+    return style.findings(styled(spark, sf_dir)).groupBy("rule", "severity").agg(F.count("*").alias("n"))
+
 
+FIXED = """regexp_replace(regexp_replace({}, '(?i)\\bp[aá]g\\.?\\s+(\\d+)', 'p. \\1', 'g'), '"([^"]{{20,}})"', '«\\1»', 'g')"""
 
-@query("SELECT conv_id AS doc, turn AS par, CASE conv_id % 4 WHEN 0 THEN 'según la p. ' || turn || ' todo sigue' WHEN 1 THEN 'Yo considero que Art. 28 Bis aplica' ELSE 'dice «la ley orgánica de los estados» aquí' END AS fixed FROM conversations WHERE conv_id % 4 < 3")
+
+@query("SELECT conv_id AS doc, turn AS par, md5(regexp_replace(regexp_replace(replace(replace(" + FIXED.format(STYLED) + ", 'Art. 28.5', 'Art. 28 Bis'), 'Cabe destacar que, ', ''), ' {2,}', ' ', 'g'), '^\\s+|\\s+$', '', 'g')) AS digest FROM conversations")
 def style_fix(spark, sf_dir):
-    return styled(spark, sf_dir).where("doc % 4 < 3").select("doc", "par", style.fixed(F.col("text")).alias("fixed"))
+    return styled(spark, sf_dir).select("doc", "par", F.md5(style.fixed(F.col("text")).cast("binary")).alias("digest"))
+
+
+@query(f"WITH s AS (SELECT conv_id, turn, {STYLED} AS t FROM conversations), f AS (SELECT CASE WHEN k = 0 THEN 'page' ELSE 'first_person' END AS rule, doc, par, m FROM (SELECT conv_id AS doc, turn AS par, conv_id % 4 AS k, CASE conv_id % 4 WHEN 0 THEN 'pag. ' || turn ELSE 'considero' END AS m FROM s) WHERE k < 2), r AS (SELECT *, row_number() OVER (PARTITION BY rule ORDER BY doc, par, m) AS n FROM f) SELECT rule, doc, par, m AS \"match\", n FROM r WHERE n <= 5")
+def style_examples(spark, sf_dir):
+    """The first five findings of two rules (a report's limit)."""
+    found = style.findings(styled(spark, sf_dir)).where("rule in ('page', 'first_person')")
+    return style.examples(found).select("rule", "doc", "par", "match", F.col("n").cast("long").alias("n"))
+
+
+TABLED = "CASE WHEN turn % 3 = 0 AND conv_id % 2 = 0 THEN ['', ' ', 'x'] ELSE ['a', text] END"
+
+
+@query(f"WITH c AS (SELECT conv_id AS doc, turn, min(turn) OVER (PARTITION BY conv_id) AS first, {TABLED} AS cells FROM conversations) SELECT doc, turn AS row, 'table_header' AS rule, 'WARNING' AS severity, '' AS match FROM c WHERE turn = first AND len(list_filter(cells, lambda x: trim(x) = '')) > len(cells) * 0.5 UNION ALL SELECT doc, turn, 'long_cell', 'INFO', substr(x, 1, 100) FROM (SELECT doc, turn, first, regexp_replace(unnest(cells), '^\\s+|\\s+$', '', 'g') AS x FROM c) WHERE turn > first AND length(x) > 500")
+def style_tables(spark, sf_dir):
+    """Headers that are mostly blank, and cells that are too long; each conversation is a table of its turns."""
+    cells = F.when((F.col("turn") % 3 == 0) & (F.col("conv_id") % 2 == 0), F.array(F.lit(""), F.lit(" "), F.lit("x"))).otherwise(F.array(F.lit("a"), F.col("text")))
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.lit(0).alias("tab"), F.col("turn").alias("row"), cells.alias("cells"))
+    return style.table_findings(c).select("doc", "row", "rule", "severity", "match")
+
+
+@query("SELECT conv_id AS doc, 'no_references' AS rule, 'WARNING' AS severity FROM conversations GROUP BY 1 HAVING NOT bool_or(contains(lower(text), 'referencias') OR conv_id % 5 = 0)")
+def style_references(spark, sf_dir):
+    """Documents without a section of references."""
+    p = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.when((F.col("conv_id") % 5 == 0) & (F.col("turn") == 0), F.concat("text", F.lit("\nReferencias"))).otherwise(F.col("text")).alias("text"))
+    return style.missing_references(p)
+
+
+@query("SELECT conv_id AS doc, a AS acronym FROM (SELECT DISTINCT conv_id FROM conversations), (VALUES ('ASF', 0), ('SHCP', 1)) v(a, k) WHERE conv_id % 2 = k")
+def style_acronyms(spark, sf_dir):
+    """Acronyms that a document uses and never defines."""
+    used = F.when(F.col("conv_id") % 2 == 0, " La ASF revisa; la SHCP (Secretaría) paga").otherwise(" La SHCP paga; la ASF (Auditoría) revisa")
+    p = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc"), F.concat("text", used).alias("text"))
+    return style.undefined_acronyms(p)
 
 
 @query("SELECT doc_id, CASE WHEN len(string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')) < 500 AND NOT regexp_matches(text, '(?m)^#{1,6}\\s') THEN 'fragmento' ELSE 'documento' END AS mode FROM documents")
@@ -555,23 +632,3 @@ def graphml_export(spark, sf_dir):
 def upsert(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "value")
     return writers.upsert(e, e.where("event_id % 10 = 0").withColumn("value", -F.col("value")), ["event_id"]).select("user_id", "event_id", "value")
-
-
-@query("SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
-def stream_tumbling(spark, sf_dir):
-    return ingest.tumbling(table(spark, sf_dir, "events"), "ts", "1 hour", ["event_type"])
-
-
-@query("SELECT s AS start, event_type, count(*) AS n FROM (SELECT event_type, unnest([time_bucket(INTERVAL '30 minutes', ts), time_bucket(INTERVAL '30 minutes', ts) - INTERVAL '30 minutes']) AS s FROM events) GROUP BY 1, 2")
-def stream_sliding(spark, sf_dir):
-    return ingest.sliding(table(spark, sf_dir, "events"), "ts", "1 hour", "30 minutes", ["event_type"])
-
-
-@query("WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL '10 minutes' THEN 1 ELSE 0 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(b) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM s GROUP BY user_id, k")
-def stream_sessions(spark, sf_dir):
-    return ingest.sessions(table(spark, sf_dir, "events"), "ts", "10 minutes", ["user_id"])
-
-
-@query("SELECT user_id, event_type, min(event_id) AS first_id FROM events GROUP BY 1, 2")
-def stream_dedup(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("first_id"))

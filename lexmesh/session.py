@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +16,22 @@ def local_session(cpus: int | str = "*", partitions: int = 8, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+_made: list[str] = []
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the folder that spark.checkpoint.dir names; a folder of its own only where Spark runs in one JVM without it."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or "cluster" in master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not _made:
+            _made.append(tempfile.mkdtemp(prefix="written-"))
+        root = _made[0]
+    return f"{root.rstrip('/')}/written/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the folder that spark.checkpoint.dir names.
 

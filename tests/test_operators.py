@@ -180,10 +180,11 @@ def test_records(spark):
 
 
 def test_gates_and_ids(spark):
-    expected = spark.createDataFrame(rules.GATES, "stage string, profile string")
-    d = spark.createDataFrame([(1, *rules.GATES[0], "aprobado"), (2, *rules.GATES[1], "aprobado"), (3, *rules.GATES[1], "rechazado")], "id int, stage string, profile string, decision string")
+    gates = list(dict.fromkeys((s, p) for s, p, _ in rules.GATES))
+    expected = spark.createDataFrame(gates, "stage string, profile string")
+    d = spark.createDataFrame([(1, *gates[0], "aprobado"), (2, *gates[1], "aprobado"), (3, *gates[1], "rechazado")], "id int, stage string, profile string, decision string")
     got = {(r.stage, r.profile): r.state for r in records.pending(expected, d, ("stage", "profile")).collect()}
-    assert len(got) == 7 and got[rules.GATES[1]] == "rechazado" and got[rules.GATES[2]] == "nunca_registrado"
+    assert len(rules.GATES) == 15 and len(got) == 7 and got[gates[1]] == "rechazado" and got[gates[2]] == "nunca_registrado"
     a = spark.createDataFrame([(1, "X"), (2, "X"), (3, " ")], "i int, n string")
     assert [(r.i, r.aliases) for r in records.actor_ids(a, "n", "i").collect()] == [(1, ["X"])]
     t = spark.createDataFrame([(1, "Doe", "1999", "law"), (2, "Doe", "1999", "law")], "i int, a string, y string, w string")
@@ -288,10 +289,83 @@ def test_entity_issues(spark):
 
 
 def test_layout_blocks(spark, tmp_path):
-    from lexmesh.sources.blocks import BlockSource
+    from lexmesh.sources import documents
 
     (tmp_path / "a.jsonl").write_text('{"page":1,"text":"TITULO","max_font_size":20}\n{"page":1,"text":"1) uno","max_font_size":10}\n{"page":2,"text":"texto","max_font_size":10}\n')
-    spark.dataSource.register(BlockSource)
-    blocks = spark.read.format("layout_blocks").option("path", str(tmp_path)).load()
+    blocks = documents.blocks(spark, str(tmp_path), "*.jsonl", documents.json_blocks)
     md = records.blocks_to_markdown(blocks, "path", "pos", "text", "max_font_size").first().md
     assert md == "\n# TITULO\n\n1. uno\ntexto\n"
+
+
+def test_documents_come_back(spark, tmp_path):
+    from lexmesh.sources import documents
+
+    lines = [("Ley (uno) \\ dos", 20.0), ("artículo 1º", 9.0)]
+    assert [(p, t, s) for p, t, s, _ in documents.pdf_blocks(writers.pdf([lines, lines[:1]]))] == [(1, *lines[0]), (1, *lines[1]), (2, *lines[0])]
+    data = writers.docx([("Título & más", 1), ("texto", 0)], [["a", "<b>"], ["", "c"]])
+    assert [(t, s) for _, t, s, _ in documents.docx_blocks(data)] == [("Título & más", 18.0), ("texto", 11.0)]
+    assert [c for _, c in documents.docx_rows(data)] == [["a", "<b>"], ["", "c"]]
+    assert [c for _, c in documents.xlsx_rows(writers.xlsx([["a", ""], ["ñ", "<"]]))] == [["a", ""], ["ñ", "<"]]
+    writers.save_bytes(spark, f"{tmp_path}/x.docx", data)
+    found = documents.blocks(spark, str(tmp_path), "*.docx", documents.docx_blocks, lambda _: [(1, "otro", 0.0, [])], force=True)
+    assert [r.text for r in found.collect()] == ["otro"]
+    assert readers.json_text(spark, '{"a": 1, "b": ["x"]}', "a int, b array<string>").first().b == ["x"]
+    with pytest.raises(ValueError):
+        writers.report(spark.range(writers.OFFICE_ROWS + 1), f"{tmp_path}/y.xlsx", "t")
+
+
+def test_paths_longer_than_any_bound(spark):
+    n = 90
+    links = spark.createDataFrame([(i, i + 1) for i in range(n)], "src int, dst int")
+    found = graph.distances(links.where("src < 70"))
+    assert found.agg(F.max("distance")).first()[0] == 70
+    assert {r.component for r in graph.weak_components(links).collect()} == {0}
+    v = spark.createDataFrame([(i,) for i in range(n + 1)], "node int")
+    far = {r.node: r.closeness for r in graph.closeness_centrality(links, v, directed=True).collect()}
+    assert far[0] == 0 and far[n] == pytest.approx(n / (n * (n + 1) / 2), abs=1e-6)
+
+
+def test_betweenness_is_the_brute_force_one(spark):
+    import itertools
+    import random
+    from collections import defaultdict
+
+    rng = random.Random(3)
+    pairs = {(a, b): rng.choice([1.0, 2.0, 3.0]) for a, b in itertools.combinations(range(9), 2) if rng.random() < 0.4}
+    near = defaultdict(dict)
+    for (a, b), w in pairs.items():
+        near[a][b] = near[b][a] = w
+
+    def best(s, t, cost):
+        found, low = [], float("inf")
+        def walk(path, total):
+            nonlocal found, low
+            if path[-1] == t:
+                if total < low:
+                    found, low = [path], total
+                elif total == low:
+                    found.append(path)
+                return
+            for v, w in near[path[-1]].items():
+                if v not in path:
+                    walk([*path, v], total + (w if cost else 1))
+        walk([s], 0)
+        return found
+
+    links = spark.createDataFrame([(a, b, w) for (a, b), w in pairs.items()], "src int, dst int, w double")
+    n = len(near)
+    for weight in (None, "w"):
+        want = defaultdict(float)
+        for s, t in itertools.permutations(near, 2):
+            paths = best(s, t, weight)
+            for p in paths:
+                for v in p[1:-1]:
+                    want[v] += 1 / len(paths)
+        got = {r.node: r.betweenness for r in graph.betweenness(links, weight=weight).collect()}
+        assert got == pytest.approx({v: want[v] / ((n - 1) * (n - 2)) for v in near}, abs=2e-6)
+
+
+def test_contexts_are_those_of_the_match(spark):
+    s = spark.createDataFrame([("j", "Titular uno " + "x " * 60 + "Titular dos")], "k string, body string")
+    got = [r.context for r in corpus.pattern_entities(s, ("k",)).where("type = 'CARGO'").collect()]
+    assert got[0].startswith("Titular uno") and got[1].endswith("Titular dos") and "uno" not in got[1]

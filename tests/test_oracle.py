@@ -7,7 +7,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from lexmesh.plans import catalog
+from lexmesh.plans import catalog, norms, outputs  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
