@@ -29,6 +29,19 @@ SELECT v AS vec_id, coalesce(n_links, 0) AS n_links, component_id, v = component
 """
 
 
+#: Bytes are pairs of hex digits here; windows are compared by two hashes of theirs.
+OP2 = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+w AS (SELECT doc_id, i, hash(s) AS k, hash(s || 'x') AS k2 FROM (SELECT doc_id, i, substr(h, 2 * i + 1, 400) AS s FROM (SELECT doc_id, h, unnest(range(0, greatest(n - 199, 0))) AS i FROM b))),
+r AS (SELECT doc_id, i FROM w JOIN (SELECT k, k2 FROM w GROUP BY 1, 2 HAVING count(*) > 1) USING (k, k2)),
+o AS (SELECT *, coalesce((i > lag(i) OVER d + 200)::INT, 1) AS begins FROM r WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+u AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS z FROM (SELECT *, sum(begins) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM o) GROUP BY doc_id, run),
+g AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS after FROM u),
+c AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, (2 * after + 1)::BIGINT, (2 * (a - after))::BIGINT), '' ORDER BY a) || substr(any_value(h), (2 * max(z) + 1)::BIGINT) AS kept FROM g JOIN b USING (doc_id) GROUP BY 1)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM b LEFT JOIN c USING (doc_id)
+"""
+
+
 def _op6() -> str:
     kinds, grams = licenses.template_grams()
     quoted = lambda x: "NULL" if x is None else f"'{x}'"
@@ -74,4 +87,4 @@ SELECT page_id, p.host, path, rule, coalesce(v, CASE WHEN bad THEN 'block' ELSE
 """
 
 
-ORACLES = {"op1_ngrams": OP1, "op6_licenses": _op6(), "op8_urls": _op8(), "op9_embeddings": OP9}
+ORACLES = {"op1_ngrams": OP1, "op2_suffixes": OP2, "op6_licenses": _op6(), "op8_urls": _op8(), "op9_embeddings": OP9}
