@@ -417,7 +417,7 @@ def alias_normalisation(spark, sf_dir):
     """Tokens resolved through an alias table."""
     known = table(spark, sf_dir, "region").select(F.explode(F.array(F.lower("r_name"), F.lit("example"), F.lit("html"), F.lit("page"))).alias("w")).distinct()
     k = table(spark, sf_dir, "pages").select("page_id", F.explode(F.regexp_extract_all("url", F.lit("[a-z]{4,}"), F.lit(0))).alias("w"))
-    return k.join(F.broadcast(known), "w").groupBy("page_id").agg(F.count_distinct("w").alias("n_words"))
+    return k.join(known, "w").groupBy("page_id").agg(F.count_distinct("w").alias("n_words"))
 
 
 # ------------------------------------------------------------------ records, gates, constraints
