@@ -45,10 +45,15 @@ class Vocabulary:
         self.pieces, self.merges = pieces, merges
         self.scores = np.array(scores)
         self.byte_ids = np.array(byte_ids, np.int64)
-        self.longest = max((len(p) for p, ok in zip(pieces, normal, strict=True) if ok), default=1)
         ids = [i for i, ok in enumerate(normal) if ok]
         self.index = {pieces[i]: i for i in ids}
         self.sizes = np.array([len(p) for p in pieces])
+        # lengths of the pieces that end in three characters, longest first, so that few strings are looked up in vain
+        ends: dict[str, set[int]] = {}
+        for p in self.index:
+            if len(p) > 2:
+                ends.setdefault(p[-3:], set()).add(len(p))
+        self.ends = {k: (*sorted(v, reverse=True), 2, 1) for k, v in ends.items()}
         # rank: the order in which merges happen; single characters come before all
         best = sorted(ids, key=lambda i: (-scores[i], i))
         self.rank = np.zeros(len(pieces), np.int64)
@@ -157,7 +162,7 @@ def encode_words(words: list[str], voc: Vocabulary) -> tuple[np.ndarray, np.ndar
     forward values along the path to the present node; going on to the next word
     drops those below the prefix that both share, and no node is computed twice.
     """
-    index, whole, longest, merges, scores, byte_ids = voc.index, voc.whole.tolist(), voc.longest, voc.merges, voc.scores.tolist(), voc.byte_ids.tolist()
+    index, whole, ends_of, merges, scores, byte_ids = voc.index, voc.whole.tolist(), voc.ends, voc.merges, voc.scores.tolist(), voc.byte_ids.tolist()
     apart, known, count = voc.apart, getattr(voc, "known", {}), len(voc.pieces)
     sizes, byte_score = voc.sizes.tolist(), float(voc.scores.min()) - 10.0
     last, total, before = [-1], [0.0], ""
@@ -168,10 +173,10 @@ def encode_words(words: list[str], voc: Vocabulary) -> tuple[np.ndarray, np.ndar
         del last[d + 1 :], total[d + 1 :]
         for e in range(d + 1, len(w) + 1):
             value = -1  # the bytes of one character
+            lengths = ends_of.get(w[e - 3 : e], (2, 1)) if e > 2 else (2, 1)
             if merges:
-                for m in range(min(longest, e), 0, -1):
-                    t = index.get(w[e - m : e])
-                    if t is None or not whole[t]:
+                for m in lengths:
+                    if m > e or (t := index.get(w[e - m : e])) is None or not whole[t]:
                         continue
                     s = last[e - m]
                     if m == e or s < 0:
@@ -184,9 +189,8 @@ def encode_words(words: list[str], voc: Vocabulary) -> tuple[np.ndarray, np.ndar
                         break
             else:
                 best = total[e - 1] + byte_score
-                for m in range(1, min(longest, e) + 1):
-                    t = index.get(w[e - m : e])
-                    if t is not None and (m == 1 or total[e - m] + scores[t] > best):
+                for m in reversed(lengths):
+                    if m <= e and (t := index.get(w[e - m : e])) is not None and (m == 1 or total[e - m] + scores[t] > best):
                         best, value = total[e - m] + scores[t], t
                 total.append(best)
             last.append(value)
