@@ -2,13 +2,14 @@
 
 Counts of all training tokens are summed by hash over the whole corpus. A
 log-bilinear model (Mnih and Hinton, 2007) predicts a token's item, one of the
-most frequent words or "other", from the two items before it; it is trained in
+most frequent words or a class of all others, from the two items before it. A word's
+class is made from its last two bytes, so that words that inflect alike share one. It is trained in
 numpy by noise-contrastive estimation (Gutmann and Hyvarinen, 2010; Mnih and Teh,
 2012) on all training documents: first in the driver on a bounded sample, which is
 the start of every task's pass over all tokens of its documents; the tasks' models
 are averaged by tokens (McDonald et al., 2010). Batched matrix products then give
 the normaliser of every pair of items, so that the probabilities sum to one; a
-word within "other" has its smoothed share of the counts. Scoring is table look-ups.
+word within a class has its smoothed share of the class's counts. Scoring is table look-ups.
 
 Frequent words' counts travel with the tasks (a bounded table). Other words go,
 packed, to the task that holds their counts, and come back as sums per document.
@@ -31,24 +32,28 @@ END = np.uint64(0x0123456789ABCDEF)
 #: Items of the neural model at least; words whose counts are broadcast; tokens that train the start.
 ITEMS, FREQUENT, TRAIN_TOKENS = 512, 1 << 16, 1_500_000
 #: One item for so many distinct words, and items at most: the tables have items squared values.
-WORDS_PER_ITEM, MOST_ITEMS = 16, 2048
+WORDS_PER_ITEM, MOST_ITEMS = 16, 1792
+#: Classes of the other words.
+CLASSES = 256
 SMOOTH = 0.1
 
-COUNT = np.dtype([("h", "<u8"), ("c", "<u8")])
+COUNT = np.dtype([("h", "<u8"), ("c", "<u8"), ("k", "<u2")])
 ASK = np.dtype([("h", "<u8"), ("d", "<u2")])
 SUM = np.dtype([("rid", "<i8"), ("logs", "<f8"), ("known", "<i8")])
 
 
-def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of the tokens of each row, its end last, one row after another; row offsets)."""
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the tokens of each row, its end last, one row after another; their classes; row offsets)."""
     low = LOWER[data]
     starts, ends, rows = word_spans(low, offsets, SOLID)
     pre, down = prefix_hash(low)
     h = span_hash(pre, down, starts, ends)
-    return np.insert(h, rows[1:], END), rows + np.arange(len(rows))
+    last = low[ends - 1].astype(np.uint64) * np.uint64(256) + low[np.maximum(ends - 2, starts)]
+    k = (mix64(last) % np.uint64(CLASSES)).astype(np.uint16)
+    return np.insert(h, rows[1:], END), np.insert(k, rows[1:], 0), rows + np.arange(len(rows))
 
 
-def _texts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray]]:
+def _texts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, int, int, np.ndarray, np.ndarray, np.ndarray]]:
     for batch in batches:
         offsets, data = column_bytes(batch.column(at))
         for a, b in slices(offsets):
@@ -56,16 +61,19 @@ def _texts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.Reco
 
 
 def count_tokens(train: DataFrame, parts: int) -> DataFrame:
-    """(pid, counts, n_distinct, n_tokens, top): token counts by hash, packed per part; top are its most frequent."""
+    """(pid, counts, n_distinct, n_tokens, top, classes): token counts by hash, packed per part.
+
+    top are a part's most frequent tokens, classes the tokens and distinct tokens of each class.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def merged() -> np.ndarray:
             both = np.concatenate(held)
-            keys, at = np.unique(both["h"], return_inverse=True)
+            keys, first, at = np.unique(both["h"], return_index=True, return_inverse=True)
             out = np.zeros(len(keys), COUNT)
-            out["h"], out["c"] = keys, np.bincount(at, both["c"], len(keys)).astype(np.uint64)
+            out["h"], out["c"], out["k"] = keys, np.bincount(at, both["c"], len(keys)).astype(np.uint64), both["k"][first]
             return out
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -75,10 +83,10 @@ def count_tokens(train: DataFrame, parts: int) -> DataFrame:
             for some in np.split(order, np.flatnonzero(np.diff(pid[order])) + 1):
                 yield pa.RecordBatch.from_arrays([pa.array([pid[some[0]]], pa.int32()), pa.array([out[some].tobytes()], pa.binary())], ["pid", "blob"])
 
-        for _, _, _, h, _ in _texts(batches, 0):
-            keys, c = np.unique(h, return_counts=True)
+        for _, _, _, h, k, _ in _texts(batches, 0):
+            keys, first, c = np.unique(h, return_index=True, return_counts=True)
             part = np.zeros(len(keys), COUNT)
-            part["h"], part["c"] = keys, c
+            part["h"], part["c"], part["k"] = keys, c, k[first]
             held.append(part)
             if sum(map(len, held)) > 2_000_000:
                 held[:] = [merged()]
@@ -91,16 +99,18 @@ def count_tokens(train: DataFrame, parts: int) -> DataFrame:
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pid, rows in by_part(batches):
             both = np.concatenate([np.frombuffer(blob, COUNT) for batch in rows for blob in batch.column(1).to_pylist()])
-            keys, at = np.unique(both["h"], return_inverse=True)
+            keys, first, at = np.unique(both["h"], return_index=True, return_inverse=True)
             out = np.zeros(len(keys), COUNT)
-            out["h"], out["c"] = keys, np.bincount(at, both["c"].astype(float), len(keys)).astype(np.uint64)
+            out["h"], out["c"], out["k"] = keys, np.bincount(at, both["c"].astype(float), len(keys)).astype(np.uint64), both["k"][first]
             # hashes deal words evenly, so twice a part's share of the frequent ones is more than it has of them
             top = out[np.lexsort((out["h"], -out["c"].astype(np.int64)))[: 2 * FREQUENT // parts + 1000]]
-            words = pa.StructArray.from_arrays([pa.array(top["h"].astype(np.int64)), pa.array(top["c"].astype(np.int64))], ["h", "c"])
+            words = pa.StructArray.from_arrays([pa.array(top["h"].astype(np.int64)), pa.array(top["c"].astype(np.int64)), pa.array(top["k"].astype(np.int32))], ["h", "c", "k"])
             lists = pa.ListArray.from_arrays(pa.array([0, len(top)], pa.int32()), words)
-            yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([out.tobytes()], pa.binary()), pa.array([len(out)], pa.int64()), pa.array([int(out["c"].sum())], pa.int64()), lists], ["pid", "counts", "n_distinct", "n_tokens", "top"])
+            by_class = pa.StructArray.from_arrays([pa.array(np.bincount(out["k"], out["c"].astype(float), CLASSES).astype(np.int64)), pa.array(np.bincount(out["k"], minlength=CLASSES))], ["n", "v"])
+            classes = pa.ListArray.from_arrays(pa.array([0, CLASSES], pa.int32()), by_class)
+            yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([out.tobytes()], pa.binary()), pa.array([len(out)], pa.int64()), pa.array([int(out["c"].sum())], pa.int64()), lists, classes], ["pid", "counts", "n_distinct", "n_tokens", "top", "classes"])
 
-    return dealt(train.mapInArrow(lean(send), "pid int, blob binary"), parts).mapInArrow(lean(merge), "pid int, counts binary, n_distinct long, n_tokens long, top array<struct<h: long, c: long>>")
+    return dealt(train.mapInArrow(lean(send), "pid int, blob binary"), parts).mapInArrow(lean(merge), "pid int, counts binary, n_distinct long, n_tokens long, top array<struct<h: long, c: long, k: int>>, classes array<struct<n: long, v: long>>")
 
 
 @dataclass
@@ -111,16 +121,17 @@ class Model:
     distinct: int
     keys: np.ndarray  # frequent words' hashes, ascending
     counts: np.ndarray
-    item: np.ndarray  # the item of each frequent word; `other` for most
+    item: np.ndarray  # the item of each frequent word; `words` for those that only have their class
+    words: int  # items that are words; the classes follow
     first: np.ndarray  # score of (item two before, item)
     second: np.ndarray  # score of (item before, item), with the item's bias
     normaliser: np.ndarray
-    other_total: float
-    other_distinct: float
+    whole: np.ndarray  # log10 of what the counts of each class's words are shares of
 
     @property
-    def other(self) -> int:
-        return self.first.shape[1] - 1
+    def start(self) -> int:
+        """The item that stands before a text."""
+        return self.words + CLASSES
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(is frequent, place in keys) of hashes."""
@@ -129,9 +140,10 @@ class Model:
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         return self.keys[at] == h, at
 
-    def items(self, h: np.ndarray) -> np.ndarray:
-        hit, at = self.find(h)
-        return np.where(hit, self.item[at] if len(self.keys) else 0, self.other)
+    def items(self, h: np.ndarray, k: np.ndarray, found: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+        hit, at = found or self.find(h)
+        own = np.where(hit, self.item[at] if len(self.keys) else 0, self.words)
+        return np.where(own < self.words, own, self.words + k.astype(np.int64))
 
 
 def contexts(items: np.ndarray, rows: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -227,22 +239,30 @@ def fit(docs: DataFrame, text_col: str, counts: DataFrame, items: int | None = N
     """
     totals = counts.agg(F.sum("n_tokens").alias("n"), F.sum("n_distinct").alias("v"), F.count("*").alias("parts")).first()
     total, distinct = totals.n or 0, totals.v or 0
-    rows = counts.select(F.explode("top").alias("t")).select("t.h", "t.c").orderBy(F.desc("c"), "h").limit(frequent).toArrow()
-    keys, c = rows.column("h").to_numpy().view(np.uint64), rows.column("c").to_numpy()
+    rows = counts.select(F.explode("top").alias("t")).select("t.h", "t.c", "t.k").orderBy(F.desc("c"), "h").limit(frequent).toArrow()
+    keys, c, k = rows.column("h").to_numpy().view(np.uint64), rows.column("c").to_numpy(), rows.column("k").to_numpy()
     m = min(items or min(MOST_ITEMS, max(ITEMS, distinct // WORDS_PER_ITEM)), len(keys))
     item = np.full(len(keys), m)
     item[:m] = np.arange(m)
-    share = np.concatenate([c[:m].astype(float), [max(1.0, total - c[:m].sum())]])
+    # what the classes keep when the items are taken out
+    by_class = counts.select(F.posexplode("classes").alias("k", "s")).groupBy("k").agg(F.sum("s.n").alias("n"), F.sum("s.v").alias("v")).toArrow()
+    left, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
+    at = by_class.column("k").to_numpy()
+    left[at], kinds[at] = by_class.column("n").to_numpy(), by_class.column("v").to_numpy()
+    left -= np.bincount(k[:m], c[:m].astype(float), CLASSES)
+    kinds -= np.bincount(k[:m], minlength=CLASSES)
+    share = np.concatenate([c[:m].astype(float), np.maximum(left, 0) + 0.5])
     order = np.argsort(keys)
-    known = Model(total, distinct, keys[order], c[order], item[order], np.zeros((m + 2, m + 1), np.float32), np.zeros((m + 2, m + 1), np.float32), np.zeros((m + 2, m + 2)), float(total - c[:m].sum()), float(distinct - m))
+    size = m + CLASSES
+    known = Model(total, distinct, keys[order], c[order], item[order], m, np.zeros((size + 1, size), np.float32), np.zeros((size + 1, size), np.float32), np.full((size + 1, size + 1), np.log(size)), np.log10(np.maximum(left, 0) + SMOOTH * (np.maximum(kinds, 0) + 1)))
     noise = share / share.sum()
     if not m:
         return known
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, h, at in _texts(batches, 0):
-            got = known.items(h)
-            two, one = contexts(got, at, m + 1)
+        for _, _, _, h, k_, at_ in _texts(batches, 0):
+            got = known.items(h, k_)
+            two, one = contexts(got, at_, known.start)
             yield pa.RecordBatch.from_arrays([pa.array([np.stack([two, one, got]).astype(np.int16).tobytes()], pa.binary())], ["seen"])
 
     # whole documents, chosen by a hash of the row number, with about train_tokens tokens in all, train the start
@@ -256,9 +276,8 @@ def fit(docs: DataFrame, text_col: str, counts: DataFrame, items: int | None = N
     learned = trainer.params
     if total > train_tokens:
         learned = _train_all(docs.select(text_col), known, trainer)
-    # row m of the words is "other", row m + 1 the start; a target is never the start
-    words = np.concatenate([learned[0], np.zeros((m + 2 - len(learned[0]), learned[0].shape[1]))])
-    known.first, known.second, known.normaliser = tables(words, *learned[1:])
+    known.first, known.second, whole = tables(*learned)
+    known.normaliser = whole.astype(np.float32)
     return known
 
 
@@ -269,9 +288,9 @@ def _train_all(texts: DataFrame, known: Model, start: Trainer, most: int = 1 <<
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, begin = sent.value
         trainer, held, waiting, n = begin.copy(TaskContext.get().partitionId()), [], 0, 0
-        for _, _, _, h, at in _texts(batches, 0):
-            got = model.items(h)
-            held.append(np.stack([*contexts(got, at, model.other + 1), got]))
+        for _, _, _, h, k, at in _texts(batches, 0):
+            got = model.items(h, k)
+            held.append(np.stack([*contexts(got, at, model.start), got]))
             waiting += len(got)
             if waiting >= most:
                 trainer.learn(*np.concatenate(held, axis=1))
@@ -314,8 +333,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of documents (rid, id, held_out, sums) and messages (pid, rids, blob)."""
         m, part, row = sent.value, TaskContext.get().partitionId(), 0
-        names = ["rid", "id", "held_out", "n_tokens", "n_known", "logs", "logs_other", "n_other", "neural", "pid", "rids", "blob"]
-        kinds = [pa.int64(), None, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.int32(), pa.binary(), pa.binary()]
+        names = ["rid", "id", "held_out", "n_tokens", "n_known", "logs", "logs_other", "neural", "pid", "rids", "blob"]
+        kinds = [pa.int64(), None, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int32(), pa.binary(), pa.binary()]
         ask, rids, waiting = [], [], 0
 
         def flush(id_kind: pa.DataType) -> Iterator[pa.RecordBatch]:
@@ -328,24 +347,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
                 docs_, at = np.unique(d[some], return_inverse=True)
                 out = np.zeros(len(some), ASK)
                 out["h"], out["d"] = h[some], at
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, id_kind if t is None else t) for t in kinds[:9]), pa.array([pid[some[0]]], pa.int32()), pa.array([who[docs_].tobytes()], pa.binary()), pa.array([out.tobytes()], pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(1, id_kind if t is None else t) for t in kinds[:8]), pa.array([pid[some[0]]], pa.int32()), pa.array([who[docs_].tobytes()], pa.binary()), pa.array([out.tobytes()], pa.binary())], names)
             ask.clear(), rids.clear()
             waiting = 0
 
-        for batch, a, b, h, rows in _texts(batches, 2):
+        for batch, a, b, h, k, rows in _texts(batches, 2):
             n = b - a
             rid = (part << 33) + row + np.arange(n)
             row += n
             doc = np.repeat(np.arange(n), np.diff(rows))
             hit, at = m.find(h)
-            got = np.where(hit, m.item[at] if len(m.keys) else 0, m.other)
+            got = m.items(h, k, (hit, at))
             logs = np.where(hit, np.log10((m.counts[at] if len(m.keys) else np.zeros(len(h))) + SMOOTH), 0.0)
-            two, one = contexts(got, rows, m.other + 1)
-            neural = m.first[two, got].astype(float) + m.second[one, got] - m.normaliser[two, one]
-            other = got == m.other
+            two, one = contexts(got, rows, m.start)
+            other = got >= m.words
+            neural = (m.first[two, got].astype(float) + m.second[one, got] - m.normaliser[two, one]) / np.log(10) - np.where(other, m.whole[k], 0.0)
             add = lambda x: np.bincount(doc, x, n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rid), batch.column(0).slice(a, n), batch.column(1).slice(a, n), pa.array(np.diff(rows)), pa.array(add(hit.astype(float)).astype(np.int64)), pa.array(add(logs)), pa.array(add(logs * other)), pa.array(add(other.astype(float)).astype(np.int64)), pa.array(add(neural) / np.log(10)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
+                [pa.array(rid), batch.column(0).slice(a, n), batch.column(1).slice(a, n), pa.array(np.diff(rows)), pa.array(add(hit.astype(float)).astype(np.int64)), pa.array(add(logs)), pa.array(add(logs * other)), pa.array(add(neural)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
                 names,
             )
             if not hit.all():
@@ -358,7 +377,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
         if ask:
             yield from flush(id_kind)
 
-    schema = f"rid long, id {kind}, held_out boolean, n_tokens long, n_known long, logs double, logs_other double, n_other long, neural double, pid int, rids binary, blob binary"
+    schema = f"rid long, id {kind}, held_out boolean, n_tokens long, n_known long, logs double, logs_other double, neural double, pid int, rids binary, blob binary"
     seen = materialize(docs.select(F.col(id_col), held_out, F.col(text_col)).mapInArrow(lean(look), schema), "looked")
 
     def sums(held: list[np.ndarray]) -> np.ndarray:
@@ -409,7 +428,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
     more = dealt(answers, parts, "to").mapInArrow(lean(gather), "rid long, more_logs double, more_known long")
     n, v = model.total, model.distinct
     whole = float(np.log10(n + SMOOTH * (v + 1)))
-    rest = float(np.log10(max(model.other_total, 0.0) + SMOOTH * (max(model.other_distinct, 0.0) + 1)))
     extra = F.coalesce("more_logs", F.lit(0.0))
     return (
         seen.where("blob is null")
@@ -421,6 +439,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", items
             (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
             F.lit(n).cast("long").alias("train_tokens"),
             (F.col("logs") + extra - F.col("n_tokens") * whole).alias("base_score"),
-            (F.col("neural") + F.col("logs_other") + extra - F.col("n_other") * rest).alias("score"),
+            (F.col("neural") + F.col("logs_other") + extra).alias("score"),
         )
     )

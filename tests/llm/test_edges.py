@@ -141,20 +141,24 @@ def test_neural_scores_are_the_plain_ones(spark):
     counts = common.materialize(lm.count_tokens(train.select("text"), 4), "counts")
     model = lm.fit(train, "text", counts, items=6)
     got = {r.doc_id: r.score for r in lm.score(docs, items=6).collect()}
-    key = lambda w: lm.END if w is None else lm.tokens(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0][0]
-    other, start = model.other, model.other + 1
-    n_other = sum(c.values()) - sum(v for w, v in c.items() if int(model.items(np.array([key(w)], np.uint64))[0]) != other)
-    n_other = sum(c.values()) - sum(v for w, v in c.items() if int(model.items(np.array([key(w)], np.uint64))[0]) < other)
-    kinds = sum(1 for w in c if int(model.items(np.array([key(w)], np.uint64))[0]) == other)
+
+    def key(w):
+        h, k, _ = lm.tokens(np.frombuffer((w or "").encode(), np.uint8), np.array([0, len((w or "").encode())]))
+        return (h[:1], k[:1])
+
+    item_of = {w: int(model.items(*key(w))[0]) for t in tokens for w in t}
+    class_of = {w: int(key(w)[1][0]) for w in item_of}
+    inside = [w for w in c if item_of[w] >= model.words]
     for i in (0, 7, 33, 60, 61):
-        two = one = start
+        two = one = model.start
         total = 0.0
         for w in tokens[i]:
-            item = int(model.items(np.array([key(w)], np.uint64))[0])
-            z = sum(math.exp(model.first[two, k] + model.second[one, k]) for k in range(other + 1))
+            item = item_of[w]
+            z = sum(math.exp(model.first[two, j] + model.second[one, j]) for j in range(model.start))
             total += math.log10(math.exp(model.first[two, item] + model.second[one, item]) / z)
-            if item == other:
-                total += math.log10((c[w] + lm.SMOOTH) / (n_other + lm.SMOOTH * (kinds + 1)))
+            if item >= model.words:
+                mates = [x for x in inside if class_of[x] == class_of[w]]
+                total += math.log10((c[w] + lm.SMOOTH) / (sum(c[x] for x in mates) + lm.SMOOTH * (len(mates) + 1)))
             two, one = one, item
         assert got[i] == pytest.approx(total, abs=1e-3 * max(1, abs(total)))
 
