@@ -225,14 +225,15 @@ def edge_scaling(spark, sf_dir):
 KINDS = ("view", "click", "purchase", "signup", "error")
 
 
-@query("WITH n AS (SELECT user_id, event_type, lead(user_id) OVER (ORDER BY event_id) AS next FROM events), l AS (SELECT user_id AS src, next AS dst, event_type FROM n WHERE next IS NOT NULL AND next <> user_id), x AS (SELECT DISTINCT actor, event_type FROM (SELECT src AS actor, event_type FROM l UNION ALL SELECT dst, event_type FROM l UNION ALL SELECT user_id, event_type FROM events WHERE value > 50) WHERE actor % 3 <> 0) SELECT actor, " + ", ".join(f"max(CASE WHEN event_type = '{s}' THEN 'X' ELSE '' END) AS \"{s}\"" for s in KINDS) + ", count(DISTINCT event_type) AS n_stages FROM x GROUP BY 1")
+@query("WITH n AS (SELECT user_id, event_type, lead(user_id) OVER (ORDER BY event_id) AS next FROM events), l AS (SELECT user_id AS src, next AS dst, event_type FROM n WHERE next IS NOT NULL AND next <> user_id), x AS (SELECT DISTINCT actor, event_type FROM (SELECT src AS actor, event_type FROM l UNION ALL SELECT dst, event_type FROM l UNION ALL SELECT user_id, event_type FROM events WHERE value > 50) WHERE actor IN (SELECT user_id FROM events WHERE event_type = 'error' AND value > 60)) SELECT actor, " + ", ".join(f"max(CASE WHEN event_type = '{s}' THEN 'X' ELSE '' END) AS \"{s}\"" for s in KINDS) + ", count(DISTINCT event_type) AS n_stages FROM x GROUP BY 1")
 def incidence_matrix(spark, sf_dir):
     """Stages of each known actor: of its edges, to the user of the next event, and of its memberships."""
     e = table(spark, sf_dir, "events")
     following = e.select((F.col("event_id") - 1).alias("event_id"), F.col("user_id").alias("dst"))
     links = e.join(following, "event_id").select(F.col("user_id").alias("src"), "dst", F.col("event_type").alias("stage")).where("src <> dst")
+    known = e.where("event_type = 'error' and value > 60").select(F.col("user_id").alias("actor")).distinct()
     members = e.where("value > 50").select(F.col("user_id").alias("actor"), F.col("event_type").alias("stage"))
-    return graph.incidence(links, members, e.select(F.col("user_id").alias("actor")).distinct().where("actor % 3 <> 0"), list(KINDS))
+    return graph.incidence(links, members, known, list(KINDS))
 
 
 @query(f"WITH {FLOW} SELECT n_nationkey AS node FROM nation UNION SELECT src FROM links UNION SELECT dst FROM links")

@@ -262,11 +262,11 @@ def node_first_last(spark, sf_dir):
     return graph.nodes(e, "entity", "type", "lang", "pos").join(once, "nid").select("nid", "label", "layer", "frequency")
 
 
-@query(f"WITH {ARTS} SELECT doc_id, i AS section, 'SIN TIPO' AS entity, issue FROM (SELECT doc_id, i, unnest(CASE WHEN i % 5 = 0 THEN ['type', 'section'] ELSE ['type'] END) AS issue FROM arts WHERE i % 7 = 0 OR i % 5 = 0) WHERE issue = 'type' AND i % 7 = 0 OR issue = 'section'")
+@query(f"WITH {ARTS} SELECT doc_id, i AS section, 'SIN TIPO' AS entity, issue FROM (SELECT doc_id, i, unnest(CASE WHEN i % 5 = 0 THEN ['type', 'section'] ELSE ['type'] END) AS issue FROM arts) WHERE issue = 'type' AND i % 7 = 0 OR issue = 'section'")
 def entity_file_issues(spark, sf_dir):
     """Entities of unknown types, and those of sections that don't exist."""
     a = norm_articles(spark, sf_dir).select(F.col("doc_id").alias("job"), F.col("number").cast("long").alias("section"))
-    e = a.where("section % 7 = 0 or section % 5 = 0").withColumn("entity", F.lit("SIN TIPO")).withColumn("type", F.expr("CASE WHEN section % 7 = 0 THEN 'OTRO' ELSE 'CARGO' END")).withColumn("layer", F.lit("informal"))
+    e = a.withColumn("entity", F.lit("SIN TIPO")).withColumn("type", F.expr("CASE WHEN section % 7 = 0 THEN 'OTRO' ELSE 'CARGO' END")).withColumn("layer", F.lit("informal"))
     return records.entity_issues(e, a.where("section % 5 <> 0")).withColumnRenamed("job", "doc_id")
 
 
@@ -339,19 +339,16 @@ def job_sources(spark, sf_dir):
 # ------------------------------------------------------------------ bibliographic records
 
 
-PAPER_TEXT = "'Revista de Pruebas' || chr(10) || 'Palabras clave: uno, dos' || chr(10) || 'EL TÍTULO DEL ARTÍCULO ' || doc_id || chr(10) || 'y su segunda parte' || chr(10) || 'Ana Pérez ' || ['Gil', 'Ruiz', 'Sol'][doc_id % 3 + 1] || CASE WHEN doc_id % 4 = 0 THEN '' ELSE '*' END || chr(10) || text"
-
-
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.concat(F.lit("Revista de Pruebas\nPalabras clave: uno, dos\nEL TÍTULO DEL ARTÍCULO "), F.col("doc_id").cast("string"), F.lit("\ny su segunda parte\nAna Pérez "), _one_of(["Gil", "Ruiz", "Sol"], F.col("doc_id")), F.when(F.col("doc_id") % 4 == 0, "").otherwise("*"), F.lit("\n"), F.col("text"))
+    text = F.concat(F.lit("Revista de Pruebas\nPalabras clave: uno, dos\nEL TÍTULO DEL ARTÍCULO "), F.col("doc_id").cast("string"), F.lit("\ny su segunda parte\nAna Pérez "), _one_of(["Gil", "Ruiz", "Sol"], F.col("doc_id")), F.lit("*\n"), F.col("text"))
     return table(spark, sf_dir, "documents").select("doc_id", text.alias("t"))
 
 
-@query("SELECT doc_id, 'Palabras clave: uno, dos EL TÍTULO DEL ARTÍCULO ' || doc_id || ' y su segunda parte' AS title, 'Ana Pérez ' || ['Gil', 'Ruiz', 'Sol'][doc_id % 3 + 1] AS author FROM documents WHERE doc_id % 4 <> 0")
+@query("SELECT doc_id, 'Palabras clave: uno, dos EL TÍTULO DEL ARTÍCULO ' || doc_id || ' y su segunda parte' AS title, 'Ana Pérez ' || ['Gil', 'Ruiz', 'Sol'][doc_id % 3 + 1] AS author FROM documents")
 def paper_titles(spark, sf_dir):
     """Title and author of scientific papers: the lines above the author's, down to the text's second."""
     p = biblio.paper(F.col("t"))
-    return papers(spark, sf_dir).where("doc_id % 4 <> 0").select("doc_id", p["title"].alias("title"), p["author"].alias("author"))
+    return papers(spark, sf_dir).select("doc_id", p["title"].alias("title"), p["author"].alias("author"))
 
 
 TITLES = [

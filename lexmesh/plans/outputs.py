@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexmesh import rules
 from lexmesh.functions import text as T
 from lexmesh.operators import articles, graph, match, norms, records, reports
-from lexmesh.plans.catalog import EDGES, ENTS, FLOW, SETS, entity_edges, flows, line_entities, nations, query, table
+from lexmesh.plans.catalog import EDGES, ENTS, FLOW, SETS, entity_edges, flows, line_entities, query, table
 from lexmesh.session import scratch_folder
 from lexmesh.sources import documents, readers, writers
 from lexmesh.streaming import ingest
@@ -108,12 +108,12 @@ def dictionary_order(spark, sf_dir):
     return readers.dictionary(spark, path).coalesce(1).select("entry", (F.monotonically_increasing_id() + 1).alias("pos"))
 
 
-@query("SELECT 'd' || doc_id || '.pdf' AS name, octet_length(encode(text))::BIGINT AS size, substr(sha256(text), 1, 16) AS sha FROM documents WHERE doc_id <= 40")
+@query("SELECT 'd' || n_nationkey || '.pdf' AS name, octet_length(encode(n_name))::BIGINT AS size, substr(sha256(n_name), 1, 16) AS sha FROM nation")
 def file_manifest(spark, sf_dir):
-    """Names, sizes and hashes of the files below a folder: forty files, as each is a file."""
+    """Names, sizes and hashes of the files below a folder: one for each nation."""
     path = scratch_folder(spark, "manifest")
-    for r in table(spark, sf_dir, "documents").where("doc_id <= 40").select("doc_id", "text").toLocalIterator():
-        writers.save_bytes(spark, f"{path}/a/d{r.doc_id}.pdf", r.text.encode())
+    for r in table(spark, sf_dir, "nation").collect():  # 25 nations
+        writers.save_bytes(spark, f"{path}/{r.n_regionkey}/d{r.n_nationkey}.pdf", r.n_name.encode())
     return readers.manifest(spark, path).select("name", "size", "sha")
 
 
@@ -306,10 +306,10 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.expr(BLOCK).alias("text"), F.expr(SIZE).cast("double").alias("size"), (F.floor(F.col("turn") / 3) + 1).alias("page"))
 
 
-@query("SELECT conv_id, turn, CASE WHEN turn % 4 = 0 THEN 1 WHEN turn % 8 = 1 THEN 3 WHEN turn % 8 = 5 THEN 2 ELSE 0 END AS level FROM conversations WHERE turn % 4 <> 3")
+@query("SELECT conv_id, turn, CASE WHEN turn % 4 = 0 THEN 1 WHEN turn % 8 = 1 THEN 3 WHEN turn % 8 = 5 THEN 2 WHEN turn % 4 = 3 AND text = upper(text) AND text <> lower(text) AND n < 20 THEN CASE WHEN n < 12 THEN 1 ELSE 2 END ELSE 0 END AS level FROM (SELECT *, len(string_split(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' ')) AS n FROM conversations)")
 def heading_levels(spark, sf_dir):
-    """Heading levels by size, capitals and words, of blocks of known kinds."""
-    return blocks(spark, sf_dir).where("turn % 4 <> 3").select("conv_id", "turn", records.heading_level(F.col("text"), F.col("size")).alias("level"))
+    """Heading levels by size, capitals and words, of blocks of known kinds and of the turns' texts."""
+    return blocks(spark, sf_dir).select("conv_id", "turn", records.heading_level(F.col("text"), F.col("size")).alias("level"))
 
 
 @query(f"SELECT conv_id, md5(string_agg({MARKED}, chr(10) ORDER BY turn)) AS digest FROM conversations GROUP BY 1")
@@ -334,10 +334,10 @@ def conversion_report(spark, sf_dir):
     return d.select("doc_id", pick("no_heading_at_start").alias("a"), pick("no_inner_heading").alias("b"), F.array_join("c", ",").alias("missing"))
 
 
-@query("SELECT conv_id, turn, md5(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS digest FROM conversations WHERE NOT regexp_matches(text, '(?m)^```')")
+@query("SELECT conv_id, turn, md5(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS digest FROM conversations")
 def clean_responses(spark, sf_dir):
     """Responses without their reasoning and fences."""
-    c = table(spark, sf_dir, "conversations").where("not text rlike '(?m)^```'")
+    c = table(spark, sf_dir, "conversations")
     wrapped = F.concat(F.lit("<think>no\nesto</think>\n```md\n"), "text", F.lit("\n```\n"))
     return c.select("conv_id", "turn", F.md5(articles.cleaned_response(wrapped).cast("binary")).alias("digest"))
 
@@ -443,11 +443,11 @@ def gate_profiles(spark, sf_dir):
 GATE_VALUES = ", ".join(f"({i}, '{s}', '{p}', '{t}')" for i, (s, p, t) in enumerate(rules.GATES))
 
 
-@query(f"WITH g(i, etapa, perfil, texto) AS (VALUES {GATE_VALUES}), e AS (SELECT event_id % 15 AS i, arg_max(CASE WHEN value > 50 THEN 'aprobado' ELSE 'rechazado' END, event_id) AS d FROM events WHERE event_id % 15 < 12 GROUP BY 1) SELECT etapa, perfil, texto, coalesce(d, 'nunca_registrado') AS state FROM g LEFT JOIN e USING (i) WHERE d IS NULL OR d <> 'aprobado'")
+@query(f"WITH g(i, etapa, perfil, texto) AS (VALUES {GATE_VALUES}), e AS (SELECT event_id % 12 AS i, arg_max(CASE WHEN value > 50 THEN 'aprobado' ELSE 'rechazado' END, event_id) AS d FROM events GROUP BY 1) SELECT etapa, perfil, texto, coalesce(d, 'nunca_registrado') AS state FROM g LEFT JOIN e USING (i) WHERE d IS NULL OR d <> 'aprobado'")
 def expected_gates(spark, sf_dir):
     """All expected gates whose last decision is missing or no approval."""
     gates = spark.createDataFrame([(i, *g) for i, g in enumerate(rules.GATES)], "i long, etapa string, perfil string, texto string")
-    e = table(spark, sf_dir, "events").where("event_id % 15 < 12").select((F.col("event_id") % 15).alias("i"), F.col("event_id").alias("id"), F.when(F.col("value") > 50, "aprobado").otherwise("rechazado").alias("decision"))
+    e = table(spark, sf_dir, "events").select((F.col("event_id") % 12).alias("i"), F.col("event_id").alias("id"), F.when(F.col("value") > 50, "aprobado").otherwise("rechazado").alias("decision"))
     found = records.pending(gates.select("i"), e, ("i",))
     return gates.join(found, "i").select("etapa", "perfil", "texto", "state")
 
@@ -482,10 +482,10 @@ def small_corpus(spark, sf_dir):
     return norms.small_corpus(d).unionByName(norms.small_corpus(spark.range(3)))
 
 
-@query(f"WITH {FLOW} SELECT 20::BIGINT AS n_nodes, count(*) AS n_edges, count(*) FILTER (src >= 20 OR dst >= 20) AS n_lost, (SELECT count(*) FROM range(20) r(i) WHERE i NOT IN (SELECT src FROM links UNION SELECT dst FROM links)) AS n_isolated, round(2 * count(*) / (20 * 19), 6) AS density FROM links")
+@query(f"WITH {FLOW}, v AS (SELECT n_nationkey AS i FROM nation WHERE n_regionkey > 0) SELECT (SELECT count(*) FROM v) AS n_nodes, count(*) AS n_edges, count(*) FILTER (src NOT IN (SELECT i FROM v) OR dst NOT IN (SELECT i FROM v)) AS n_lost, (SELECT count(*) FROM v WHERE i NOT IN (SELECT src FROM links UNION SELECT dst FROM links)) AS n_isolated, round(2 * count(*) / ((SELECT count(*) FROM v) * ((SELECT count(*) FROM v) - 1)), 6) AS density FROM links")
 def graph_file_check(spark, sf_dir):
-    """What a graph holds, edges to nodes that it lacks, and nodes without edges."""
-    v = nations(spark, sf_dir).where("node < 20").select(F.col("node").alias("nid"))
+    """What a graph of four regions holds, edges to nodes that it lacks, and nodes without edges."""
+    v = table(spark, sf_dir, "nation").where("n_regionkey > 0").select(F.col("n_nationkey").alias("nid"))
     return norms.graph_check(v, flows(spark, sf_dir))
 
 
