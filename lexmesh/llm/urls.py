@@ -22,7 +22,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 DAMPING = 0.85
 #: Change of any host's mass over CUT rounds, as a share of it, at which propagation ends.
-TOLERANCE = 1e-6
+TOLERANCE = 1e-4
 #: Rounds of the SQL, which can't test for the end: 0.85**60 is less than 1e-4.
 ROUNDS = 60
 #: Links up to which a host is never a hub.
