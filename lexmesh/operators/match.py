@@ -11,8 +11,11 @@ from lexmesh.functions import text as T
 def shared_words(left: DataFrame, right: DataFrame, lkey: str, rkey: str, ltext: str, rtext: str, least: int = 5) -> DataFrame:
     """(lkey, rkey, common, n_left, n_right) of all pairs that share a word of `least` characters.
 
-    Words are the join keys, so pairs without one are never met; very frequent
-    words should be removed by the caller as stop words.
+    Words are the join keys, so pairs without one are never met. The result has
+    every pair that shares a word, so a word of all rows makes all pairs: very
+    frequent words should be removed by the caller as stop words. A word of many
+    rows is split by adaptive execution (spark.sql.adaptive.skewJoin), as both
+    sides come straight from their exchanges.
     """
     sets = lambda df, key, text, name: df.select(F.col(key).alias(name), T.keywords(F.col(text), least).alias("_w")).select(name, F.size("_w").alias(f"n_{name}"), F.explode("_w").alias("_w"))
     a, b = sets(left, lkey, ltext, "left"), sets(right, rkey, rtext, "right")

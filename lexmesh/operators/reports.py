@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import struct
+import zlib
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,3 +131,28 @@ def dashboard_page(counts: DataFrame, quality: DataFrame, audit: DataFrame) -> D
     one = parts[0].withColumnRenamed("t", "a").crossJoin(parts[1].withColumnRenamed("t", "b")).crossJoin(parts[2].withColumnRenamed("t", "c"))
     body = F.concat(F.lit("<h2>Tablas</h2>"), "a", F.lit("<h2>Normas</h2>"), "b", F.lit("<h2>Bitácora</h2>"), "c")
     return one.select(_page("Tablero FASP", body).alias("html"))
+
+
+def sociogram_png(nodes: DataFrame, links: DataFrame, side: int = 800, most: int = 200) -> bytes:
+    """A picture of the `most` largest nodes (id, level, betweenness) on a circle, in size order, and the links (src, dst, weight) between them."""
+    top = norms.styled_nodes(nodes).orderBy(F.desc("size"), "id").limit(most).select("id", "size", "colour").collect()
+    place = {r.id: i for i, r in enumerate(top)}
+    names = F.broadcast(nodes.sparkSession.createDataFrame([(k,) for k in place], "id string"))
+    inside = links.join(names.withColumnRenamed("id", "src"), "src", "left_semi").join(names.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    drawn = norms.styled_edges(inside).select("src", "dst", "width").collect() if place else []  # most squared at most
+    angle = 2 * np.pi * np.arange(max(1, len(top))) / max(1, len(top))
+    x, y = side / 2 + 0.42 * side * np.cos(angle), side / 2 + 0.42 * side * np.sin(angle)
+    image = np.full((side, side, 3), 255, np.uint8)
+    for e in drawn:
+        a, b = place[e.src], place[e.dst]
+        t = np.linspace(0, 1, 2 * side)
+        for shift in range(-int(min(e.width, 6) / 2), int(min(e.width, 6) / 2) + 1):
+            row, col = (y[a] + t * (y[b] - y[a]) + shift).astype(int), (x[a] + t * (x[b] - x[a])).astype(int)
+            image[row.clip(0, side - 1), col.clip(0, side - 1)] = (153, 153, 153)
+    rows, cols = np.mgrid[:side, :side]
+    for i, r in enumerate(top):
+        radius = 4 + 16 * min(1.0, (r["size"] - 200) / 3000)
+        image[(rows - y[i]) ** 2 + (cols - x[i]) ** 2 <= radius**2] = [int(r.colour[k : k + 2], 16) for k in (1, 3, 5)]
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    raw = np.concatenate([np.zeros((side, 1), np.uint8), image.reshape(side, -1)], axis=1).tobytes()
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", side, side, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw)) + chunk(b"IEND", b"")

@@ -280,6 +280,18 @@ def sociogram_nodes(spark, sf_dir):
     return found.select("n.label", F.col("n.color").alias("colour"), "n.size")
 
 
+@query("SELECT 800 AS width, 800 AS height, 3 AS n_channels, true AS drawn")
+def sociogram_picture(spark, sf_dir):
+    """The sociogram as a picture, read back: its size, and that the colours of the levels are in it."""
+    path = scratch_folder(spark, "picture")
+    nodes = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("id"), F.expr(LEVEL).alias("level"), (F.col("n_nationkey") / 100).alias("betweenness"))
+    links = flows(spark, sf_dir).select(F.col("src").cast("string").alias("src"), F.col("dst").cast("string").alias("dst"), "weight")
+    writers.save_bytes(spark, f"{path}/s.png", reports.sociogram_png(nodes, links))
+    image = spark.read.format("image").load(path).select("image.*")
+    has = lambda r, g, b: F.instr(F.hex("data"), f"{b:02X}{g:02X}{r:02X}" * 3) > 0
+    return image.select("width", "height", F.col("nChannels").alias("n_channels"), (has(0x1A, 0x44, 0x80) & has(0x99, 0x99, 0x99)).alias("drawn"))
+
+
 @query(f"WITH {FLOW} SELECT src, dst, weight, round(0.5 + 2.5 * weight / 10, 2)::DOUBLE AS width FROM links")
 def edge_widths(spark, sf_dir):
     return norms.styled_edges(flows(spark, sf_dir)).select("src", "dst", "weight", "width")
