@@ -253,7 +253,7 @@ def _diverse(train: DataFrame, keys: np.ndarray, scores: np.ndarray) -> tuple[np
 
 
 def _calibrate(model: Model, surprise: np.ndarray, y: np.ndarray) -> None:
-    """A ridge logistic curve over the surprise."""
+    """A ridge logistic curve over the surprise, moved so that its middle makes the fewest errors."""
     x = np.minimum(surprise, 60)
     w = np.array([-2.0, 0.5])
     design = np.stack([np.ones(len(x)), x], 1)
@@ -267,7 +267,18 @@ def _calibrate(model: Model, surprise: np.ndarray, y: np.ndarray) -> None:
         if np.abs(step).max() < 1e-8:
             break
     if w[1] > 0:
-        model.weights = (float(w[0]), float(w[1]))
+        model.weights = (float(-w[1] * _cut(x, y)), float(w[1]))
+
+
+def _cut(x: np.ndarray, y: np.ndarray) -> float:
+    """The value that parts y = 0 from y = 1 with the fewest errors, the highest among equals: in doubt a text is clean."""
+    order = np.argsort(x, kind="stable")
+    x, y = x[order], y[order]
+    errors = np.concatenate([[0], np.cumsum(y)]) + (y == 0).sum() - np.concatenate([[0], np.cumsum(y == 0)])
+    free = np.concatenate([[False], x[1:] > x[:-1], [True]])  # a cut can't part equal values
+    at = np.flatnonzero(free)
+    best = int(at[len(at) - 1 - np.argmin(errors[at][::-1])])
+    return float((x[best - 1] + x[best]) / 2) if best < len(x) else float(x[-1] + 1)
 
 
 def _best(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text", with_text: bool = False) -> DataFrame:
