@@ -33,6 +33,8 @@ WINDOW = 2048
 END_ID = 1
 #: Bytes of text that are encoded and packed together; bounds a task's memory.
 SHARD_BYTES = 32 << 20
+#: Words whose ids a worker keeps from shard to shard.
+KNOWN = 300_000
 #: Width of a length bucket.
 STEP = 32
 SEPARATOR = "~"
@@ -57,9 +59,26 @@ class WordEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         (self.mark,) = self.tok.encode(SEPARATOR, add_special_tokens=False).ids
+        # the first KNOWN words with their ids: most words of a shard were in one before
+        self.known: dict[str, int] = {}
+        self.flat, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, number of ids of each word)."""
+        get = self.known.get
+        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        ids, sizes = self._new_ids([words[i] for i in new.tolist()])
+        at[new] = len(self.sizes) + np.arange(len(new))
+        flat, size = np.concatenate([self.flat, ids]), np.concatenate([self.sizes, sizes])
+        start = np.cumsum(size) - size
+        out = ragged(flat, start[at], size[at]), size[at]
+        if room := min(len(new), KNOWN - len(self.known)):
+            self.known.update((words[i], len(self.sizes) + k) for k, i in enumerate(new[:room].tolist()))
+            self.flat, self.sizes = np.concatenate([self.flat, ids[: int(sizes[:room].sum())]]), np.concatenate([self.sizes, sizes[:room]])
+        return out
+
+    def _new_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         parts, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for k in range(0, len(words), 20_000):
             some = words[k : k + 20_000]
