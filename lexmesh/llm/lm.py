@@ -36,6 +36,8 @@ WORDS_PER_ITEM, MOST_ITEMS = 16, 1792
 #: Classes of the other words.
 CLASSES = 256
 SMOOTH = 0.1
+#: Noise items that serve a batch.
+NOISE = 128
 
 COUNT = np.dtype([("h", "<u8"), ("c", "<u8"), ("k", "<u2")])
 ASK = np.dtype([("h", "<u8"), ("d", "<u2")])
@@ -199,7 +201,7 @@ class Trainer:
         r2, r1 = words[two], words[one]
         q = r2 @ c2 + r1 @ c1
         # one set of noise items serves the batch, each weighed k / len(set)
-        drawn = np.searchsorted(self.cumulative, self.rng.random(256)).clip(0, n - 1)
+        drawn = np.searchsorted(self.cumulative, self.rng.random(NOISE)).clip(0, n - 1)
         good = (q * targets[item]).sum(1) + bias[item]
         bad = q @ targets[drawn].T + bias[drawn]
         weight = self.k / len(drawn)
