@@ -120,6 +120,13 @@ def drop_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
     written[:] = [] if paths is None else [x for x in written if x not in paths]
 
 
+def give_back() -> None:
+    """Free memory goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """run, giving memory back to the system at its end: workers live on between tasks."""
 
@@ -128,9 +135,7 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            give_back()
 
     return trimmed
 

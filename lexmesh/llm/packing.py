@@ -27,14 +27,14 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import lean, ragged, tune
+from .common import give_back, lean, ragged, tune
 
 WINDOW = 2048
 END_ID = 1
 #: Bytes of text that are encoded and packed together; bounds a task's memory.
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 24 << 20
 #: Words whose ids a worker keeps from shard to shard.
-KNOWN = 300_000
+KNOWN = 150_000
 #: Width of a length bucket.
 STEP = 32
 SEPARATOR = "~"
@@ -319,8 +319,11 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                 return
             table = pa.Table.from_batches(held).combine_chunks()
             held.clear()
-            name = table.column(0).combine_chunks()
-            ids, n = enc.encode(table.column(1).combine_chunks().cast(pa.large_string()))
+            name, texts = table.column(0).combine_chunks(), table.column(1).combine_chunks().cast(pa.large_string())
+            del table
+            ids, n = enc.encode(texts)
+            del texts
+            give_back()
             ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
             first = np.cumsum(n) - n
             pieces = plan(n, window)
