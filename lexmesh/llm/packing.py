@@ -32,9 +32,9 @@ from .common import give_back, lean, ragged, tune
 WINDOW = 2048
 END_ID = 1
 #: Bytes of text that are encoded and packed together; bounds a task's memory.
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 8 << 20
 #: Words whose ids a worker keeps from shard to shard.
-KNOWN = 150_000
+KNOWN = 250_000
 #: Width of a length bucket.
 STEP = 32
 SEPARATOR = "~"
