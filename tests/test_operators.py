@@ -170,6 +170,9 @@ def test_records(spark):
     assert one(spark, records.date_of(F.col("a")), a="a 5 de Marzo de 2021") == "2021-03-05"
     assert one(spark, records.date_of(F.col("a")), a="el 5/3/2021") == "2021-03-05"
     assert one(spark, records.date_of(F.col("a")), a="de 1999") == "1999-01-01"
+    for none in ("nada https://doi.org/10.1234/d1903.", "en https://a.mx/2019/x", "doi 10.2014/x", "lote 119035", "d1903"):
+        assert one(spark, records.date_of(F.col("a")), a=none) is None
+    assert one(spark, records.date_of(F.col("a")), a="https://a.mx/2019/x, México,2014.") == "2014-01-01"
     assert one(spark, records.document_type(F.col("a")), a="convenio de coordinación") == "Convenio"
     assert one(spark, records.parse_name(F.col("a")), a="FASP_2026_P1_MEX_INFORME_V1.0.docx").ok
     assert not one(spark, records.parse_name(F.col("a")), a="FASP_2026_P9_MEX_INFORME_V1.0.docx").ok
