@@ -141,7 +141,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, z: floa
     """A model from `sample_rows` labelled rows at most, none with crc32(doc_id) % 5 = 0.
 
     Rows whose id or label is null teach nothing, nor do ids with both labels.
-    Without rows of both classes nothing is toxic.
+    Without rows of both classes, or without a feature that tells them apart, nothing is toxic.
     """
     spark = docs.sparkSession
     some = labelled_sample(labels.where(crc_mod("doc_id", 5) != 0), "toxic", sample_rows)
@@ -186,6 +186,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, z: floa
     keys, odds_of = _diverse(train, top["h"].to_numpy(np.int64).view(np.uint64), top["score"].to_numpy(float))
     order = np.argsort(keys)
     model = Model(keys[order], odds_of[order])
+    if not len(keys):
+        return model
     model.rate = _rate(train.where("toxic = 0").select("text"), model)
     got = _best(train, model, ["toxic"]).select("toxic", "found", "n").toPandas()
     y, n = got["toxic"].to_numpy(int), got["n"].to_numpy(float)
@@ -266,7 +268,7 @@ def _calibrate(model: Model, surprise: np.ndarray, y: np.ndarray) -> None:
         w = w + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
-    if w[1] > 0:
+    if w[1] > 1e-6:  # a flat curve would give every text the middle, which is toxic
         model.weights = (float(-w[1] * _cut(x, y)), float(w[1]))
 
 

@@ -300,6 +300,15 @@ def test_toxicity_edges(spark, none, docs, texts):
     assert len(got) == len(texts) and {r.predicted for r in got} == {0} and all(0 <= r.score <= 1 for r in got)
 
 
+def test_without_telling_words_nothing_is_toxic(spark):
+    docs = spark.createDataFrame([(i, f"plain words of text {i} here") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = toxicity.learn(docs, labels)
+    assert {r.predicted for r in toxicity.score(docs, model).collect()} == {0}
+    toxicity._calibrate(model, np.zeros(60), np.arange(60) % 6 == 0)
+    assert model.probability(np.zeros(1))[0] < 0.5
+
+
 # ------------------------------------------------------------------ language model
 
 
