@@ -13,10 +13,16 @@ def with_value(edges: DataFrame, values: DataFrame, hot: int, key: list[str]) ->
 
     Keys of more than `hot` edges are broadcast, so their edges stay where they
     are; with `hot` a share of all edges these are no more than that share allows.
+    The driver asks for these keys' hashes, so that edges are parted by a filter:
+    each is joined once, and not at all with the hubs where there are none.
     """
-    hubs = F.broadcast(values.where(F.col("n") > hot).drop("n"))
-    rest = edges.join(hubs.select(*key), key, "left_anti").join(values.where(F.col("n") <= hot).drop("n"), key)
-    return edges.join(hubs, key).unionByName(rest)
+    h = F.xxhash64(*key)
+    hubs = [r.h for r in values.where(F.col("n") > hot).select(h.alias("h")).distinct().collect()]
+    values = values.drop("n")
+    if not hubs:
+        return edges.join(values, key)
+    rest = edges.where(~h.isin(hubs)).join(values.where(~h.isin(hubs)), key)
+    return edges.where(h.isin(hubs)).join(F.broadcast(values.where(h.isin(hubs))), key).unionByName(rest)
 
 
 def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
@@ -26,7 +32,7 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
     matter. Every round is two sums by vertex and two joins, and is written to
     the shared folder; the number of rounds grows with the logarithm of the
     number of vertices. Vertices with more than a small share of all edges are
-    broadcast, at most four for each shuffle partition. Nothing is collected.
+    broadcast, at most four for each shuffle partition; the driver gets only their hashes.
     """
     clean = edges.where("a is not null and b is not null").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now = materialize(clean, "edges")
@@ -42,7 +48,7 @@ def components(edges: DataFrame, most_rounds: int = 40) -> DataFrame:
             break
         hot = seen.n // share + 1
         large = materialize(with_value(up, least.drop("below"), hot, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
-        lower = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        lower = materialize(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "lower")
         small = with_value(large, lower, hot, ["u"]).select(F.explode(F.array(F.struct(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
         now = materialize(small, "edges")
     else:

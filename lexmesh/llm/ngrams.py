@@ -221,7 +221,7 @@ def candidates(reps: DataFrame, small: int = SMALL, depth: int = DEPTH) -> DataF
             big = big.join(sigs, "doc")
         else:
             pivots = pivots.join(big.select("node", F.col("doc").alias("pivot"), F.col("sig").alias("psig")), ["node", "pivot"])
-        met = with_value(big, pivots.select("node", "pivot", "psig", "n"), hot, ["node"]).select("node", "doc", "sig", "pivot", "psig")
+        met = with_value(big, materialize(pivots.select("node", "pivot", "psig", "n"), "pivots"), hot, ["node"]).select("node", "doc", "sig", "pivot", "psig")
         split = materialize(met.mapInArrow(lean(_pivots), "doc long, sig binary, pivot long, next array<long>"), "split")
         edges = edges.unionByName(split.where("pivot is not null and pivot <> doc").select(F.col("doc").alias("a"), F.col("pivot").alias("b")))
         rows = split.where("size(next) > 0").select("doc", "sig", F.explode("next").alias("node"))

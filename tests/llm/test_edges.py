@@ -262,5 +262,8 @@ def test_hub_edges_are_joined_where_they_are(spark):
     values = spark.createDataFrame([(0, "a", 399), (500, "b", 1)], "u long, x string, n long")
     got = with_value(edges, values, 10, ["u"])
     assert got.groupBy("x").count().orderBy("x").collect() == [("a", 399), ("b", 1)]
+    for hot in (10, 1000):  # edges are parted by a filter; an anti join would pass on all but the hubs' once more
+        assert "LeftAnti" not in with_value(edges, values, hot, ["u"])._jdf.queryExecution().toString()
+    assert with_value(edges, values, 1000, ["u"]).count() == 400
     found = {r.v: r.root for r in components(edges.toDF("a", "b")).collect()}
     assert set(found.values()) == {0, 500} and found[399] == 0
