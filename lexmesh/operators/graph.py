@@ -2,7 +2,8 @@
 
 Sums by vertex and by edge are plain aggregates. Metrics over all shortest paths
 are at least n times m work: they run source by source in Arrow functions over
-a broadcast edge list, and refuse graphs beyond a stated size.
+a broadcast edge list. Beyond MOST_EDGES edges distances are joins, and
+betweenness and communities refuse the graph.
 """
 
 from __future__ import annotations
@@ -15,12 +16,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lexmesh.functions import text as T
 from lexmesh.session import cut
 
 #: Edges that a shortest-path metric broadcasts at most.
 MOST_EDGES = 2_000_000
+#: Sources of one breadth-first search, a bit each.
+TOGETHER = 64
 
 
 def nodes(entities: DataFrame, entity: str = "entity", kind: str = "type", layer: str = "layer", position: str = "pos") -> DataFrame:
@@ -117,13 +121,25 @@ def weak_components(links: DataFrame, rounds: int = 200) -> DataFrame:
 
 
 def distances(links: DataFrame, sources: DataFrame | None = None, directed: bool = False) -> DataFrame:
-    """(source, target, distance) of all reachable pairs, source itself at 0: breadth-first by joins.
+    """(source, target, distance) of all reachable pairs, source itself at 0, breadth-first.
 
-    Every round joins the frontier of all sources with the edges and keeps what
-    is new, until nothing is. The rounds' frontiers are written and put together
-    at the end, none is rewritten. The result has a row per pair, so it is meant
-    for graphs whose pairs fit the cluster; `closeness` needs no pairs.
+    The edges are broadcast, and each task sends the pairs of its sources as it
+    finds them; none is shuffled or kept. With given sources, or beyond MOST_EDGES
+    edges, every round joins the frontier of all sources with the edges and keeps
+    what is new, until nothing is; the rounds' frontiers are written and put
+    together at the end. The result has a row per pair; `path_sums` needs no pairs.
     """
+    if sources is None and links.count() <= MOST_EDGES:
+        kind = links.schema["src"].dataType
+
+        def run(graph: _Packed, names: pa.Array, block: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for d, front in _levels(graph, block):
+                at = np.flatnonzero(front)
+                for some in np.array_split(at, len(at) // 8192 + 1):
+                    row, k = np.nonzero(_bits(front[some]))
+                    yield pa.RecordBatch.from_arrays([names.take(pa.array(block[k])), names.take(pa.array(some[row])), pa.array(np.full(len(row), d, np.int32))], ["source", "target", "distance"])
+
+        return _by_block(links, _packed(links, directed, reverse=True), run, f"source {kind.simpleString()}, target {kind.simpleString()}, distance int")
     e = links.select("src", "dst") if directed else links.select("src", "dst").union(links.select("dst", "src")).distinct()
     e = cut(e)
     start = sources.select(F.col(sources.columns[0]).alias("source")) if sources is not None else links.select(F.explode(F.array("src", "dst")).alias("source")).distinct()
@@ -173,6 +189,67 @@ def _packed(links: DataFrame, directed: bool, weight: str | None = None, inverse
     return _Packed(names, np.searchsorted(a, np.arange(len(names) + 1)), b, length)
 
 
+def _levels(graph: _Packed, sources: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(distance, vertices as bits of the sources) of at most TOGETHER searches: along the links from each vertex to the source."""
+    some = np.flatnonzero(np.diff(graph.first))
+    seen = np.zeros(len(graph.names), np.uint64)
+    seen[sources] = np.uint64(1) << np.arange(len(sources), dtype=np.uint64)
+    front, d = seen.copy(), 0
+    while front.any():
+        yield d, front
+        near = np.zeros_like(front)
+        if len(some):
+            near[some] = np.bitwise_or.reduceat(front[graph.to], graph.first[some])
+        front, d = near & ~seen, d + 1
+        seen |= front
+
+
+def _bits(front: np.ndarray) -> np.ndarray:
+    """A row of TOGETHER zeros and ones for each vertex."""
+    return np.unpackbits(front.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+
+
+def _by_block(links: DataFrame, graph: _Packed, run: Callable[[_Packed, pa.Array, np.ndarray], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What `run` gives for blocks of TOGETHER vertices, with the vertices' names."""
+    spark, n = links.sparkSession, len(graph.names)
+    sent = spark.sparkContext.broadcast(graph)
+    kind = to_arrow_type(links.schema["src"].dataType)
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array(sent.value.names.tolist(), kind)
+        for batch in batches:
+            for b in batch.column(0).to_pylist():
+                yield from run(sent.value, names, np.arange(b * TOGETHER, min(n, (b + 1) * TOGETHER)))
+
+    count = -(-n // TOGETHER)
+    tasks = max(1, min(count, spark.sparkContext.defaultParallelism * 4))
+    return spark.range(0, count, 1, tasks).mapInArrow(blocks, schema)
+
+
+def path_sums(links: DataFrame, directed: bool = False) -> DataFrame:
+    """(node, total, reach, far): sum, number and largest of the distances above 0 to each vertex from those that reach it.
+
+    The edges are broadcast and tasks send back one row per vertex, so no pair is
+    ever a row; beyond MOST_EDGES edges the sums are taken of joined pairs.
+    """
+    if links.count() > MOST_EDGES:
+        found = distances(links, directed=directed)
+        away = F.col("distance") > 0
+        return found.groupBy(F.col("target").alias("node")).agg(F.sum("distance").cast("long").alias("total"), F.count_if(away).alias("reach"), F.max("distance").cast("long").alias("far"))
+
+    def run(graph: _Packed, names: pa.Array, block: np.ndarray) -> Iterator[pa.RecordBatch]:
+        total, reach, far = np.zeros((3, len(block)), np.int64)
+        for d, front in _levels(graph, block):
+            if d:
+                n = np.zeros(len(block), np.int64)
+                for some in np.array_split(front[front != 0], len(front) // 65536 + 1):
+                    n += _bits(some).sum(0, dtype=np.int64)[: len(block)]
+                total, reach, far = total + d * n, reach + n, np.where(n > 0, d, far)
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(block)), pa.array(total), pa.array(reach), pa.array(far)], ["node", "total", "reach", "far"])
+
+    return _by_block(links, _packed(links, directed), run, f"node {links.schema['src'].dataType.simpleString()}, total long, reach long, far long")
+
+
 def _by_source(links: DataFrame, graph: _Packed, work: Callable[[_Packed, int], tuple[np.ndarray, np.ndarray]], schema: str, share: float = 1.0) -> DataFrame:
     """Rows (i, value) that `work` gives for each source, or for a share of them, summed per task."""
     spark, n = links.sparkSession, len(graph.names)
@@ -197,28 +274,11 @@ def _by_source(links: DataFrame, graph: _Packed, work: Callable[[_Packed, int],
     return table.join(sums, "i", "left").select("node", F.coalesce("value", F.lit(0.0)).alias("value"))
 
 
-def _closeness_of(graph: _Packed, s: int) -> tuple[np.ndarray, np.ndarray]:
-    seen = np.zeros(len(graph.names), bool)
-    seen[s] = True
-    level, d, total, reach = np.array([s]), 0, 0, 0
-    while len(level):
-        total, reach, d = total + d * len(level), reach + len(level), d + 1
-        level = np.unique(graph.out(level)[1])
-        level = level[~seen[level]]
-        seen[level] = True
-    reach -= 1
-    return np.array([s]), np.array([reach / total * reach if total else 0.0])
-
-
 def closeness_centrality(links: DataFrame, vertices: DataFrame, directed: bool = False) -> DataFrame:
-    """(node, closeness) of all vertices (node), as `closeness` gives it, without the pairs.
-
-    The edges are broadcast (at most MOST_EDGES), and a breadth-first search from
-    each vertex, against the links, gives its sum; tasks send back one row per vertex.
-    """
-    found = _by_source(links, _packed(links, directed, reverse=True), _closeness_of, "i long, value double")
+    """(node, closeness) of all vertices (node), as `closeness` gives it, without the pairs."""
+    found = path_sums(links, directed)
     n = vertices.agg(F.count("*").alias("n"))
-    value = F.coalesce("value", F.lit(0.0)) / F.greatest(F.col("n") - 1, F.lit(1))
+    value = F.when(F.col("total") > 0, (F.col("reach") / F.col("total")) * (F.col("reach") / F.greatest(F.col("n") - 1, F.lit(1)))).otherwise(F.lit(0.0))
     return vertices.join(found, "node", "left").crossJoin(F.broadcast(n)).select("node", F.round(value, 6).alias("closeness"))
 
 
@@ -231,11 +291,17 @@ def closeness(found: DataFrame, vertices: DataFrame) -> DataFrame:
 
 
 def path_summary(found: DataFrame, vertices: DataFrame) -> DataFrame:
-    """(diameter, mean_geodesic): over ordered pairs; null unless all vertices reach each other."""
+    """(diameter, mean_geodesic) of `distances`: over ordered pairs; null unless all vertices reach each other."""
+    one = found.where("distance > 0").agg(F.sum("distance").alias("total"), F.count("*").alias("reach"), F.max("distance").alias("far"))
+    return sums_summary(one, vertices)
+
+
+def sums_summary(sums: DataFrame, vertices: DataFrame) -> DataFrame:
+    """The same of `path_sums`."""
     n = vertices.agg(F.count("*").alias("n"))
-    one = found.where("distance > 0").agg(F.max("distance").alias("d"), F.avg("distance").alias("g"), F.count("*").alias("pairs")).crossJoin(n)
-    whole = F.col("pairs") == F.col("n") * (F.col("n") - 1)
-    return one.select(F.when(whole, F.col("d")).cast("long").alias("diameter"), F.when(whole, F.round("g", 4)).alias("mean_geodesic"))
+    one = sums.agg(F.max("far").cast("long").alias("d"), F.sum("total").alias("total"), F.sum("reach").alias("pairs")).crossJoin(n)
+    whole = (F.col("pairs") > 0) & (F.col("pairs") == F.col("n") * (F.col("n") - 1))
+    return one.select(F.when(whole, F.col("d")).alias("diameter"), F.when(whole, F.round(F.col("total") / F.col("pairs"), 4)).alias("mean_geodesic"))
 
 
 def betweenness(links: DataFrame, directed: bool = False, weight: str | None = None, inverse: bool = False, sources: float = 1.0) -> DataFrame:

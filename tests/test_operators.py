@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -328,6 +329,21 @@ def test_paths_longer_than_any_bound(spark):
     assert far[0] == 0 and far[n] == pytest.approx(n / (n * (n + 1) / 2), abs=1e-6)
 
 
+@pytest.mark.parametrize("directed", [False, True])
+def test_distances_and_their_sums_are_those_of_joins(spark, monkeypatch, directed):
+    links = spark.createDataFrame([(f"v{i}", f"v{j}") for i in range(150) for j in ((i * 7 + 1) % 150, (i * i) % 150) if i % 50 and i < j], "src string, dst string")
+    v = links.selectExpr("explode(array(src, dst)) AS node").distinct()
+    rows = lambda d: sorted(map(tuple, d.collect()))
+    made = lambda: (graph.distances(links, directed=directed), graph.path_sums(links, directed))
+    pairs, sums = made()
+    assert "Join" not in pairs._jdf.queryExecution().toString() and "Exchange" not in sums._jdf.queryExecution().toString()
+    got = rows(pairs), rows(sums), rows(graph.closeness(pairs, v))
+    assert got[2] == rows(graph.closeness_centrality(links, v, directed))
+    assert rows(graph.sums_summary(sums, v)) == rows(graph.path_summary(pairs, v))
+    monkeypatch.setattr(graph, "MOST_EDGES", 3)
+    assert [rows(d) for d in made()] == [*got[:2]]
+
+
 def test_betweenness_is_the_brute_force_one(spark):
     import itertools
     import random
