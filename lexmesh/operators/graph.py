@@ -8,7 +8,6 @@ betweenness and communities refuse the graph.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -343,29 +342,36 @@ def _dependencies(graph: _Packed, s: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _weighted_dependencies(graph: _Packed, s: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same by Dijkstra's order, for lengths above 0."""
+    """The same for lengths above 0: distances nearest first, then paths over the tight edges once all before are counted."""
     n = len(graph.names)
-    dist, done, order, queue = np.full(n, np.inf), np.zeros(n, bool), [], [(0.0, s)]
-    dist[s] = 0
-    while queue:
-        _, v = heapq.heappop(queue)
-        if done[v]:
-            continue
-        done[v] = True
-        order.append(v)
-        to, far = graph.to[graph.first[v] : graph.first[v + 1]], dist[v] + graph.cost[graph.first[v] : graph.first[v + 1]]
+    dist, wait = np.full(n, np.inf), np.array([s])
+    dist[s], span = 0, graph.cost.mean() if len(graph.cost) else 0
+    while len(wait):
+        now = dist[wait] <= dist[wait].min() + span  # of any span: who gets nearer later on waits again
+        level, wait = wait[now], wait[~now]
+        k = graph.first[level + 1] - graph.first[level]
+        at = np.repeat(graph.first[level] - np.cumsum(k) + k, k) + np.arange(k.sum())
+        to, far = graph.to[at], np.repeat(dist[level], k) + graph.cost[at]
         nearer = far < dist[to] - 1e-12
-        dist[to[nearer]] = far[nearer]
-        for w, x in zip(to[nearer].tolist(), far[nearer].tolist(), strict=True):
-            heapq.heappush(queue, (x, w))
-    paths, out, after = np.zeros(n), np.zeros(n), {}
+        np.minimum.at(dist, to[nearer], far[nearer])
+        wait = np.unique(np.concatenate([wait, to[nearer]]))
+    reached = np.isfinite(dist)
+    src = np.repeat(np.arange(n), np.diff(graph.first))
+    tight = np.flatnonzero(reached[src])
+    tight = tight[np.abs(dist[src[tight]] + graph.cost[tight] - dist[graph.to[tight]]) <= 1e-12]
+    tree = _Packed(graph.names, np.searchsorted(src[tight], np.arange(n + 1)), graph.to[tight], graph.cost[tight])
+    missing, paths, steps, level = np.bincount(tree.to, minlength=n), np.zeros(n), [], np.array([s])
     paths[s] = 1
-    for v in order:
-        to = graph.to[graph.first[v] : graph.first[v + 1]]
-        after[v] = to[np.abs(dist[v] + graph.cost[graph.first[v] : graph.first[v + 1]] - dist[to]) <= 1e-12]
-        paths[after[v]] += paths[v]
-    for v in reversed(order):
-        out[v] = (paths[v] / paths[after[v]] * (1 + out[after[v]])).sum()
+    while len(level):
+        a, b = tree.out(level)
+        np.add.at(paths, b, paths[a])
+        np.subtract.at(missing, b, 1)
+        steps.append((a, b))
+        level = np.unique(b)
+        level = level[missing[level] == 0]
+    out = np.zeros(n)
+    for a, b in reversed(steps):
+        np.add.at(out, a, paths[a] / paths[b] * (1 + out[b]))
     out[s] = 0
     at = np.flatnonzero(out)
     return at, out[at]
