@@ -139,5 +139,6 @@ def norm_name(text: Column) -> Column:
 
 def relevant(units: DataFrame, norm: str, number: str, body: str, top: int = 8, least: int = 1) -> DataFrame:
     """The `top` units of each norm by relevance, then number."""
-    scored = units.withColumn("score", T.pattern_score(T.strip_accents(F.col(body)), [p for p in rules.RELEVANCE_PATTERNS])).where(F.col("score") >= least)
+    # a generator's column: the filter can't be moved below it, where it would compute the score again
+    scored = units.select("*", F.explode(F.array(T.pattern_score(T.strip_accents(F.col(body)), rules.RELEVANCE_PATTERNS))).alias("score")).where(F.col("score") >= least)
     return scored.withColumn("rank", F.row_number().over(Window.partitionBy(norm).orderBy(F.desc("score"), number))).where(F.col("rank") <= top)

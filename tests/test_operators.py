@@ -49,6 +49,18 @@ def test_entities_and_layers(spark):
     assert any(t == "DOCUMENTO" and layer == "operativo" for t, _, layer in got)
 
 
+def test_patterns_are_tried_only_where_a_literal_of_theirs_is(spark):
+    patterns = [*rules.RELEVANCE_PATTERNS, r"\d+", r"\p{Lu}x"]
+    assert T.needles(r"Ce?rcar|(?:Uno|dos) x") == ["rcar", "uno", "dos"] and T.needles(r"a?\d+") == [] and T.needles(r"\p{Lu}x") == []
+    texts = ["El FASP y la SEGURIDAD PUBLICA, plazo de 30 dias", "Gobernador que celebre acuerdos; cercar", "nada", "", None, "Coordinacion con las entidades 15", "REINSENCIN"]
+    d = spark.createDataFrame([(x,) for x in texts], "t string").select(T.pattern_score(F.col("t"), patterns).alias("n"), sum((F.col("t").rlike(f"(?i){p}").cast("int") for p in patterns), F.lit(0)).cast("long").alias("want"))
+    got = d.collect()
+    assert [r.n for r in got] == [r.want for r in got] and got[0].n >= 4 and got[4].n is None
+    units = spark.createDataFrame([(1, i, x) for i, x in enumerate(texts)], "norm long, number int, body string")
+    plan = corpus.relevant(units, "norm", "number", "body")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("sesnsp") <= 2  # the score stands there once: its literal and its pattern
+
+
 def test_dictionary_entities(spark):
     s = spark.createDataFrame([("j", 1, "La Guardia Nacional y guardia nacional."), ("j", 2, "guardias nacionales")], "k string, n int, body string")
     d = spark.createDataFrame([("GUARDIA NACIONAL",), ("Nacional",)], "entry string")
