@@ -91,10 +91,10 @@ def entity_jsonl(spark, sf_dir):
 def whole_texts(spark, sf_dir):
     """Whole texts of files, a row each: documents written as text files and listed by name."""
     path = scratch_folder(spark, "texts")
-    d = table(spark, sf_dir, "documents").select("doc_id", "text").where("text <> ''")
-    d.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc"), F.encode("text", "utf-8").alias("value")).select("doc", F.base64("value").alias("value")).write.partitionBy("doc").text(path)
+    d = table(spark, sf_dir, "documents").where("text <> ''").select(F.concat(F.lit("d"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("name"), F.base64(F.encode("text", "utf-8")).alias("text"))
+    writers.save_texts(d, path)
     t = readers.whole_texts(spark, path, "*.txt")
-    return t.select(F.regexp_extract("path", r"doc=d(\d+)/", 1).cast("long").alias("doc_id"), F.md5(F.unbase64(F.regexp_replace("text", r"\s", ""))).alias("digest"))
+    return t.select(F.regexp_extract("path", r"[/=]d(-?\d*)\.\d+(?:/[^/]*|\.txt)$", 1).try_cast("long").alias("doc_id"), F.md5(F.unbase64(F.regexp_replace("text", r"\s", ""))).alias("digest"))
 
 
 @query("SELECT entry, row_number() OVER (ORDER BY length(entry) DESC, entry) AS pos FROM (SELECT DISTINCT n_name AS entry FROM nation UNION SELECT r_name FROM region)")

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import io
+import os
+import uuid
 import zipfile
 import zlib
+from collections.abc import Iterator
 from xml.sax.saxutils import escape
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +53,38 @@ def save_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     out.close()
 
 
+def save_texts(rows: DataFrame, folder: str, parts: int = 256) -> int:
+    """A file `folder/<part>/<name>.<number>.txt` of each row (name, text), whose name has no slash; their number.
+
+    The tasks write the files, dealt to `parts` by their names, each under a name
+    of its own first, so that tasks that run again or twice do no harm. The
+    folder is one that all executors share, by a path or a file: URI; in other
+    stores Spark's writer makes a folder of one file for each name, which ends
+    in a line feed that its text does not have.
+    """
+    # the number tells rows of the same name apart, and is the same if a task runs again
+    rows = rows.select(F.concat(F.coalesce("name", F.lit("")), F.lit("."), F.monotonically_increasing_id().cast("string")).alias("name"), "text")
+    if "://" in folder.removeprefix("file://"):
+        rows.write.partitionBy("name").option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
+        return rows.count()
+    root = "/" + folder.removeprefix("file:").lstrip("/")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = 0
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()), strict=True):
+                place = f"{root}/{zlib.crc32(name.encode()) % parts:03x}"
+                os.makedirs(place, exist_ok=True)
+                own = f"{place}/.{uuid.uuid4().hex}"
+                with open(own, "wb") as out:
+                    out.write(text.as_buffer())
+                os.replace(own, f"{place}/{name}.txt")
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([n])], ["n"])
+
+    return rows.mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def _zipped(parts: dict[str, str]) -> bytes:
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:

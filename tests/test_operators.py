@@ -313,6 +313,18 @@ def test_layout_blocks(spark, tmp_path):
     assert md == "\n# TITULO\n\n1. uno\ntexto\n"
 
 
+def test_whole_texts_of_odd_documents(spark, tmp_path):
+    import hashlib
+
+    from lexmesh.plans import catalog, outputs  # noqa: F401
+
+    texts = [(1, "a\r\nb\n"), (1, "a\r\nb\n"), (1, "otro"), (-2, "ñ\u2028 "), (None, "x"), (3, ""), (4, None), (5, "y" * 100_000)]
+    spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.QUERIES["whole_texts"](spark, str(tmp_path)).collect()
+    order = lambda rows: sorted(rows, key=str)
+    assert order(map(tuple, got)) == order((i, hashlib.md5(t.encode()).hexdigest()) for i, t in texts if t)
+
+
 def test_documents_come_back(spark, tmp_path):
     from lexmesh.sources import documents
 
